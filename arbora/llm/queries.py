@@ -6,15 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from arbora.llm import simhash
+from arbora.llm import quality_rules, simhash
 from arbora.llm.shared import read
 
 
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.quality_verdicts(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicate_classes(read(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op6_quality_rules": op6_quality_rules,
     "op8_simhash": op8_simhash,
 }
 
