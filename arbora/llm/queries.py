@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from arbora.llm import quality_rules, simhash
+from arbora.llm import language_id, quality_rules, simhash
 from arbora.llm.shared import read
 
 
@@ -18,9 +18,14 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicate_classes(read(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
 
 
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_quality_rules": op6_quality_rules,
     "op8_simhash": op8_simhash,
+    "op9_language_id": op9_language_id,
 }
 
 ORACLE_SQL: dict[str, str] = {}
