@@ -232,11 +232,13 @@ def scored_spans(field: Field, texts: list[str | None], with_spans: bool) -> tup
 
 def with_toxicity(docs: DataFrame, field: Field, text: str = "text", name: str = "_toxicity") -> DataFrame:
     """Adds a struct of score, predicted and spans (start, end, probability) of every whole text."""
-    shared = docs.sparkSession.sparkContext.broadcast(field)
+    shared = docs.sparkSession.sparkContext.broadcast(vars(field))  # plain arrays, so that executors need no copy of this module
 
     def judge(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        own = Field()
+        vars(own).update(shared.value)
         for texts in batches:
-            scores, spans = scored_spans(shared.value, texts.tolist(), True)
+            scores, spans = scored_spans(own, texts.tolist(), True)
             cells = [[{"start": a, "end": b, "probability": p} for a, b, p in s] for s in spans]
             yield pd.DataFrame({"score": scores, "predicted": (scores >= 0.5).astype("int32"), "spans": cells})
 
