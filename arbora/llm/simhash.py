@@ -132,15 +132,16 @@ def links(prints: DataFrame, total: int, tau: int = TAU, pair_limit: int = PAIR_
     keys = F.array(*[F.col("fp").bitwiseAND(F.lit(_signed(m)).cast("long")) for m in masks])
     rows = prints.select("fp", F.posexplode(keys).alias("mask", "key"))
     sizes = materialize(rows.groupBy("mask", "key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "buckets")
-    small = rows.join(sizes.where(F.col("n") <= pair_limit).select("mask", "key"), ["mask", "key"], "left_semi")
+    crowded = materialize(rows.join(sizes, ["mask", "key"]), "crowded")
+    small = crowded.where(F.col("n") <= pair_limit)
     a, b = small.withColumnRenamed("fp", "a"), small.withColumnRenamed("fp", "b")
     near = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= tau
     pairs = a.join(b, (a["mask"] == b["mask"]) & (a["key"] == b["key"]) & (F.col("a") < F.col("b")) & near).select("a", "b")
-    large = rows.join(sizes.where(F.col("n") > pair_limit).select("mask", "key"), ["mask", "key"], "left_semi").select("fp").distinct()
+    large = crowded.where(F.col("n") > pair_limit).select("fp").distinct()
     flips = F.array(F.col("fp"), *[F.col("fp").bitwiseXOR(F.lit(_signed(1 << i)).cast("long")) for i in range(BITS)])
     balls = large.select("fp", F.explode(flips).alias("center")).groupBy("center").agg(F.collect_list("fp").alias("fps")).where("size(fps) > 1")
     stars = balls.select(F.array_min("fps").alias("a"), F.explode("fps").alias("b")).where("a < b")
-    return pairs.unionByName(stars).distinct()
+    return materialize(pairs.unionByName(stars).distinct(), "links")
 
 
 def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
