@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from arbora.llm import language_id, quality_rules, simhash, toxicity
+from arbora.llm import cotraining, language_id, quality_rules, simhash, toxicity
 from arbora.llm.shared import read
 
 
@@ -26,11 +26,16 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(read(spark, sf_dir, "documents"))
 
 
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cotraining.quality_scores(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op6_quality_rules": op6_quality_rules,
     "op8_simhash": op8_simhash,
     "op9_language_id": op9_language_id,
+    "op10_quality_classifier": op10_quality_classifier,
 }
 
 ORACLE_SQL: dict[str, str] = {}

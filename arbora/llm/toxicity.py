@@ -25,6 +25,8 @@ FOLDS, HELD_OUT = 5, 0
 SAMPLE_TOXIC, SAMPLE_CLEAN = 1_200, 1_800
 EXCERPT = 6_000
 SIZE = 1 << 18
+#: A cue must be found in so many toxic documents that the log of the chance of none of them being clean is below this.
+LUCK = -6.0
 CHAIN = 128
 ROUNDS = 40
 
@@ -34,17 +36,14 @@ def word_features(word: str) -> list[int]:
 
 
 def cues(lists: list[list[str]], toxic: np.ndarray, least: int = 3) -> set[str]:
-    """Words ("w..."), and prefixes ("4...", "5..."), that mark toxic documents."""
+    """Words ("w..."), and prefixes ("4...", "5..."), found often in toxic documents and hardly in others."""
     there, other = Counter(), Counter()
     for words, y in zip(lists, toxic, strict=True):
         seen = {f"w{w}" for w in set(words)} | {f"{k}{w[:k]}" for w in set(words) for k in (4, 5) if len(w) >= k}
         (there if y else other).update(seen)
     n_there, n_other = max(1, int(toxic.sum())), max(1, int(len(toxic) - toxic.sum()))
-    marks = set()
-    for c, n in there.items():
-        if n >= least and n / n_there >= 25 * (other[c] + 0.3) / n_other:
-            marks.add(c)
-    return marks
+    chance = np.log(n_there / (n_there + n_other))
+    return {c for c, n in there.items() if n >= least and n / n_there >= 20 * (other[c] + 0.3) / n_other and n * chance <= LUCK}
 
 
 def is_cue(word: str, marks: set[str]) -> bool:
