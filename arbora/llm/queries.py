@@ -6,14 +6,24 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from arbora.llm import cotraining, language_id, quality_rules, simhash, toxicity
+from arbora.llm import cotraining, language_id, packing, quality_rules, simhash, toxicity
 from arbora.llm.shared import read
 
 
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(read(spark, sf_dir, "documents"), tokenizer_path())
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_verdicts(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
@@ -32,6 +42,7 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
+    "op4_packing": op4_packing,
     "op6_quality_rules": op6_quality_rules,
     "op8_simhash": op8_simhash,
     "op9_language_id": op9_language_id,
