@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from arbora.llm import cotraining, language_id, packing, quality_rules, simhash, toxicity
+from arbora.llm import cotraining, language_id, packing, quality_rules, simhash, toxicity, warc
 from arbora.llm.shared import read
 
 
@@ -24,6 +24,10 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_round_trip(read(spark, sf_dir, "pages"))
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_verdicts(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
@@ -43,6 +47,7 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op4_packing": op4_packing,
+    "op5_warc": op5_warc,
     "op6_quality_rules": op6_quality_rules,
     "op8_simhash": op8_simhash,
     "op9_language_id": op9_language_id,
