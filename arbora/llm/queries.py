@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from arbora.llm import cotraining, language_id, packing, quality_rules, simhash, toxicity, warc
+from arbora.llm import cotraining, flac, language_id, packing, quality_rules, simhash, toxicity, warc
 from arbora.llm.shared import read
 
 
@@ -20,6 +20,10 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op3_flac(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return flac.media_digests(read(spark, sf_dir, "documents"))
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"), tokenizer_path())
 
@@ -46,6 +50,7 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
+    "op3_flac": op3_flac,
     "op4_packing": op4_packing,
     "op5_warc": op5_warc,
     "op6_quality_rules": op6_quality_rules,
