@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from arbora.llm import cotraining, flac, language_id, packing, quality_rules, simhash, toxicity, warc
+from arbora.llm import cotraining, flac, language_id, mixing, packing, quality_rules, simhash, toxicity, warc
 from arbora.llm.shared import read
 
 
@@ -36,6 +36,10 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_verdicts(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixture(read(spark, sf_dir, "documents"))
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicate_classes(read(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
 
@@ -54,9 +58,31 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_packing": op4_packing,
     "op5_warc": op5_warc,
     "op6_quality_rules": op6_quality_rules,
+    "op7_mixing": op7_mixing,
     "op8_simhash": op8_simhash,
     "op9_language_id": op9_language_id,
     "op10_quality_classifier": op10_quality_classifier,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+#: Bits of a hexadecimal digest, dealt five by five to the base32 alphabet.
+_BASE32 = (
+    "array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + "
+    "list_sum(list_transform(range(0, 5), lambda b: (1 << (4 - b)) * substr(bits, 1 + 5 * i + b, 1)::INTEGER))::INTEGER, 1)), '')"
+)
+_WARC = f"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS h FROM pages),
+f AS (SELECT h, min(page_id) AS first_id FROM p GROUP BY h),
+b AS (SELECT h, first_id, array_to_string(list_transform(range(1, 41), lambda i:
+  ['0000', '0001', '0010', '0011', '0100', '0101', '0110', '0111', '1000', '1001', '1010', '1011', '1100', '1101', '1110', '1111']
+  [strpos('0123456789abcdef', substr(h, i, 1))]), '') AS bits FROM f),
+d AS (SELECT h, first_id, {_BASE32} AS payload_digest FROM b)
+SELECT page_id, strlen(html)::BIGINT AS payload_bytes, payload_digest,
+  CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> first_id THEN first_id END AS refers_to
+FROM p JOIN d USING (h)
+"""
+
+ORACLE_SQL: dict[str, str] = {
+    "op5_warc": _WARC,
+    "op7_mixing": mixing.oracle_sql(),
+}
