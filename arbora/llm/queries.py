@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from arbora.llm import cotraining, flac, language_id, mixing, packing, quality_rules, simhash, toxicity, warc
+from arbora.llm import cotraining, flac, html_text, language_id, mixing, packing, quality_rules, simhash, toxicity, warc
 from arbora.llm.shared import read
 
 
@@ -20,6 +20,10 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(read(spark, sf_dir, "pages"))
+
+
 def op3_flac(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flac.media_digests(read(spark, sf_dir, "documents"))
 
@@ -54,6 +58,7 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
+    "op2_html_text": op2_html_text,
     "op3_flac": op3_flac,
     "op4_packing": op4_packing,
     "op5_warc": op5_warc,
