@@ -15,7 +15,6 @@ import hashlib
 import struct
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -23,6 +22,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from arbora.llm.tokens import memo
+
 BLOCK = 1152
 UNIT = 192
 RATE = 16_000
@@ -68,7 +69,7 @@ def crc16(buffer: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarr
     return out
 
 
-@lru_cache(100_000)
+@memo(100_000)
 def frame_header(number: int, size: int) -> bytes:
     if number < 0x80:
         coded = bytes([number])
@@ -81,7 +82,7 @@ def frame_header(number: int, size: int) -> bytes:
     return head + bytes([crc8(head)])
 
 
-@lru_cache(100_000)
+@memo(100_000)
 def read_header(head: bytes) -> tuple[int, int]:
     """Block size of a whole frame header, and its length; raises ValueError."""
     if head[0] != 0xFF or head[1] != 0xF8 or head[3] not in (0x02, 0x00):

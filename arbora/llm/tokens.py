@@ -27,6 +27,25 @@ def slices(texts: list[str | None], most: int = SLICE) -> Iterator[tuple[int, li
         yield start, run
 
 
+def memo(most: int):
+    """Remembers up to ``most`` results; unlike functools' cache the wrapped function can be pickled by value."""
+
+    def wrap(fn):
+        known: dict = {}
+
+        def call(*args):
+            if args not in known:
+                if len(known) >= most:
+                    known.clear()
+                known[args] = fn(*args)
+            return known[args]
+
+        call.clear = known.clear
+        return call
+
+    return wrap
+
+
 def encode(lists: list[list[str]]) -> tuple[np.ndarray, np.ndarray, list[str]]:
     """Codes of all words, where each text's words start (one more than texts), and the distinct words."""
     starts = np.zeros(len(lists) + 1, dtype=np.int64)
