@@ -38,14 +38,14 @@ def history_checks(presence: DataFrame, tree: dict[str, DataFrame]) -> DataFrame
     on_path = presence.join(tree["paths"], "tip").select("topology", "feature", "tip", F.col("node").alias("origin")).join(found.select("topology", "feature", "origin"), ["topology", "feature", "origin"])
     expected = presence.join(tree["nodes"].where("is_tip").select("topology", F.col("node").alias("tip")), "tip")
     by_state = states.groupBy("topology").agg(*[F.sum((F.col("state") == s).cast("long")).alias(s) for s in "PL"])
-    sums = edges.groupBy("topology").agg(F.sum("conserved").alias("c"), F.sum("lost").alias("l"))
+    sums = edges.groupBy("topology").agg(F.sum("conserved").alias("kept"), F.sum("lost").alias("gone"))
     member = presence.select("feature", "tip", F.lit(True).alias("_in"))
     ends = strings.join(member, ["feature", "tip"], "left").withColumn("_last", F.right("path_state", F.lit(1)))
     per = states.where("state <> 'O'").groupBy("topology", "feature").agg(F.count(F.lit(1)).alias("n"))
     eligible = found.select("topology", "feature", F.col("origin").alias("ancestor")).join(history.descendant_edges(tree), ["topology", "ancestor"]).groupBy("topology", "feature").agg(F.count(F.lit(1)).alias("m"))
     return report(
         violations("inherited is conserved and lost", edges.where("inherited <> conserved + lost or conserved > inherited")),
-        violations("edge sums equal state sums", by_state.join(sums, "topology").where("P <> c or L <> l")),
+        violations("edge sums equal state sums", by_state.join(sums, "topology").where("P <> kept or L <> gone")),
         violations("each feature in the tree has one origin", expected.select("topology", "feature").distinct().join(found, ["topology", "feature"], "left_anti")),
         violations("the origin is on every member's path", expected.join(on_path, ["topology", "feature", "tip"], "left_anti")),
         violations("P, L and X cover the origin's clade", eligible.join(per, ["topology", "feature"], "left").where("coalesce(n, 0) <> m")),

@@ -142,8 +142,8 @@ def numbered(groups: DataFrame, prefix: str, width: int = 5) -> DataFrame:
     return keys.select(F.concat(F.lit(prefix), F.lpad(k.cast("string"), width, "0")).alias("group_id"), "group_key", "n")
 
 
-def definitions(annotations: DataFrame) -> Column:
-    """``definition ==code; ...``, first occurrences in order of code."""
+def definitions() -> Column:
+    """Aggregate: ``definition ==code; ...`` of a group's rows, each once, sorted."""
     text = F.concat(F.coalesce("definition", F.lit("")), F.lit(" =="), F.col("code"))
     return F.array_join(F.array_distinct(F.array_sort(F.collect_list(F.when(F.col("definition").isNotNull(), text)))), "; ")
 
