@@ -5,20 +5,25 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def stage(df: DataFrame, name: str = "stage") -> DataFrame:
-    """Writes ``df`` under spark.checkpoint.dir, which all executors share, and reads it back; own folder in local mode only."""
-    spark = df.sparkSession
+def stage_root(spark: SparkSession) -> str:
+    """spark.checkpoint.dir, which all executors share; a folder of our own in local mode only."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = "file://" + tempfile.mkdtemp(prefix="arbora-")
         spark.sparkContext.setCheckpointDir(root)
-    path = f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    return root.rstrip("/")
+
+
+def stage(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Writes ``df`` under the shared folder and reads it back."""
+    spark = df.sparkSession
+    path = f"{stage_root(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -85,7 +85,11 @@ def parallel_lists(rows: DataFrame, key: str, list_column: str, lookup: DataFram
     items = rows.select(key, F.posexplode(list_column).alias("_at", lookup_key)).join(lookup, lookup_key, "left")
     slot = F.struct("_at", *[F.coalesce(F.col(v).cast("string"), F.lit(na)).alias(v) for v in values])
     got = items.groupBy(key).agg(F.array_sort(F.collect_list(slot)).alias("_s"))
-    return rows.join(got, key, "left").select(*rows.columns, *[F.array_join(F.transform("_s", lambda x, v=v: x[v]), ",").alias(v) for v in values])
+
+    def cell(v: str) -> Column:
+        return F.array_join(F.transform("_s", lambda x: x[v]), ",").alias(v)
+
+    return rows.join(got, key, "left").select(*rows.columns, *map(cell, values))
 
 
 def top_values(rows: DataFrame, key: str, order: list[Column], value: str, k: int = 10) -> DataFrame:

@@ -108,7 +108,7 @@ def group_checks(spark, sf):
 # intervals
 def _spans(spark, sf):
     """Events as intervals of whole seconds."""
-    start = F.unix_timestamp("ts")
+    start = F.expr("timestampdiff(SECOND, timestamp_ntz'1970-01-01', ts)")
     return table(spark, sf, "events").select("user_id", start.alias("start"), (start + F.floor(F.col("value") * 60)).alias("stop"))
 
 

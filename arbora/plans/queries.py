@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from arbora.plans import q_groups, q_history
+from arbora.plans import q_groups, q_history, q_integrate, q_stats
 
-QUERIES = {**q_history.QUERIES, **q_groups.QUERIES}
-SQL = {**q_history.SQL, **q_groups.SQL}
+QUERIES = {**q_history.QUERIES, **q_groups.QUERIES, **q_stats.QUERIES, **q_integrate.QUERIES}
+SQL = {**q_history.SQL, **q_groups.SQL, **q_stats.SQL, **q_integrate.SQL}

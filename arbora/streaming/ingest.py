@@ -15,7 +15,7 @@ def new_memberships(stream: DataFrame, feature: str, tip: str, time: str, delay:
 
 def window_counts(stream: DataFrame, time: str, key: str, value: str, width: str = "1 hour", delay: str = "2 hours") -> DataFrame:
     rows = stream.withWatermark(time, delay).groupBy(F.window(time, width).alias("w"), key)
-    out = rows.agg(F.count(F.lit(1)).alias("n"), F.bround(F.sum(value), 2).alias("total"))
+    out = rows.agg(F.count(F.lit(1)).alias("n"), F.bround(F.sum(value).cast("double"), 2).alias("total"))
     return out.select(F.unix_timestamp("w.start").alias("window_start"), key, "n", "total")
 
 
