@@ -18,17 +18,40 @@ def presence_of(rows: DataFrame, feature: str, tip: str) -> DataFrame:
     return rows.select(F.col(feature).alias("feature"), F.col(tip).alias("tip")).where("feature is not null and tip is not null").distinct()
 
 
+def _signatures(presence: DataFrame, paths: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Features with a signature, the set of clades that hold all their tips, and each signature's origin by topology.
+
+    Topologies share most clades, so features are counted once a distinct clade (by its tips), not once a topology;
+    and features with one signature have one origin, so origins are found for the few signatures alone.
+    """
+    tips = F.md5(F.array_join(F.array_sort(F.collect_set("tip")), "\x1f"))
+    clades = paths.groupBy("topology", "node", "depth").agg(tips.alias("clade"))
+    roots = clades.where("depth = 0").select("topology", F.col("clade").alias("root"))
+    clades = clades.join(roots, "topology")
+    inside = paths.join(clades, ["topology", "node", "depth"]).select("root", "clade", "tip").distinct()
+    counts = presence.join(inside, "tip").groupBy("feature", "root", "clade").agg(F.count(F.lit(1)).alias("k"))
+    # the root holds every tip, so the largest count is the number of tips
+    whole = counts.withColumn("n_tips", F.max("k").over(Window.partitionBy("feature", "root"))).where("k = n_tips")
+    per = whole.groupBy("feature", "root").agg(F.max("n_tips").alias("n_tips"), F.array_sort(F.collect_list("clade")).alias("clades")).withColumn("sig", F.md5(F.array_join("clades", "")))
+    some = per.select("root", "sig", "clades").distinct().select("root", "sig", F.explode("clades").alias("clade"))
+    found = some.join(clades, ["root", "clade"]).groupBy("topology", "root", "sig").agg(F.max_by("node", "depth").alias("origin"), F.max("depth").alias("depth"))
+    return per.select("feature", "root", "sig", "n_tips"), found
+
+
 def origins(presence: DataFrame, paths: DataFrame) -> DataFrame:
     """(topology, feature, n_tips, origin, depth): the deepest node on the paths of all the feature's tips.
 
     Tips outside the tree do not count; a feature without any tip in a tree has no row there.
     """
-    on = presence.join(paths, "tip")
-    shared = on.groupBy("topology", "feature", "node", "depth").agg(F.count(F.lit(1)).alias("k"))
-    every = Window.partitionBy("topology", "feature")
-    # the root is on every path, so the largest count is the number of tips
-    ranked = shared.withColumn("n_tips", F.max("k").over(every)).where("k = n_tips")
-    return ranked.groupBy("topology", "feature").agg(F.max("n_tips").alias("n_tips"), F.max_by("node", "depth").alias("origin"), F.max("depth").alias("depth"))
+    per, found = _signatures(presence, paths)
+    return per.join(found, ["root", "sig"]).select("topology", "feature", "n_tips", "origin", "depth")
+
+
+def origin_counts(presence: DataFrame, paths: DataFrame) -> DataFrame:
+    """(topology, origin, features), without a row for each feature and topology."""
+    per, found = _signatures(presence, paths)
+    sizes = per.groupBy("root", "sig").agg(F.count(F.lit(1)).alias("n"))
+    return found.join(sizes, ["root", "sig"]).groupBy("topology", "origin").agg(F.sum("n").alias("features"))
 
 
 def origin_table(presence: DataFrame, tree: dict[str, DataFrame]) -> DataFrame:

@@ -153,11 +153,23 @@ def topology_aggregate(spark, sf):
     return history.topology_aggregate(totals, ["conserved", "lost"], [])
 
 
-@query("origins_all_topologies")
+def _all() -> list[tuple[str, T.Node]]:
+    comb = T.Node(REGIONS[0])
+    for name in REGIONS[1:]:
+        comb = T.Node("", [comb, T.Node(name)])
+    found = T.numbered_topologies(comb)
+    T.name_inner(found)
+    return found
+
+
+_EDGES = ", ".join(f"('{t}', '{p}', '{c}')" for t, n in _all() for p, c in T.edges_of(n))
+ALL = TOPOLOGIES3.replace(_EDGES3, _EDGES)
+
+
+@query("origins_all_topologies", sql(ALL, PRESENCE, ORIGIN3, "SELECT topology, origin, count(*) AS features FROM origin3 GROUP BY ALL"))
 def origins_all_topologies(spark, sf):
     """Origins by topology and node, counted: 105 topologies in one job."""
-    found = history.origins(presence(spark, sf), T.tables(spark, topologies(spark, sf))["paths"])
-    return found.groupBy("topology", "origin").agg(F.count(F.lit(1)).alias("features"))
+    return history.origin_counts(presence(spark, sf), T.tables(spark, topologies(spark, sf))["paths"])
 
 
 @query("ambiguous_nodes", sql(TOPOLOGIES3, "SELECT node, count(DISTINCT topology) AS topologies, 3::BIGINT AS \"of\" FROM paths3 GROUP BY node HAVING count(DISTINCT topology) < 3"))
