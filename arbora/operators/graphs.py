@@ -1,47 +1,39 @@
-"""Connected components of undirected graphs by label spreading and jumping, materialised each round."""
+"""Connected components of undirected graphs by hooking and shortcutting, staged each round, and transitive closure."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from arbora.operators.skew import lookup, stage, stage_root
 
-def stage_root(spark: SparkSession) -> str:
-    """spark.checkpoint.dir, which all executors share; a folder of our own in local mode only."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        root = "file://" + tempfile.mkdtemp(prefix="arbora-")
-        spark.sparkContext.setCheckpointDir(root)
-    return root.rstrip("/")
-
+__all__ = ["closure_sql", "components", "stage", "stage_root"]
 
-def stage(df: DataFrame, name: str = "stage") -> DataFrame:
-    """Writes ``df`` under the shared folder and reads it back."""
-    spark = df.sparkSession
-    path = f"{stage_root(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
 
+def components(edges: DataFrame, a: str = "a", b: str = "b", most_rounds: int = 100) -> DataFrame:
+    """(node, comp): each node of an edge and the smallest node of its component.
 
-def components(edges: DataFrame, a: str = "a", b: str = "b", most_rounds: int = 64) -> DataFrame:
-    """(node, comp): each node of an edge and the smallest node of its component."""
+    Every node points to a node not larger than itself.  In a round a node's least neighbouring grandparent becomes
+    its own parent and that of its parent (hooking), and grandparents become parents (shortcutting), so that chains of
+    any order take logarithmically many rounds.
+    """
     one = edges.select(F.col(a).alias("x"), F.col(b).alias("y")).where("x is not null and y is not null")
     both = stage(one.unionByName(one.select(F.col("y").alias("x"), F.col("x").alias("y"))).distinct(), "edges")
     labels = stage(both.groupBy(F.col("x").alias("node")).agg(F.least(F.min("x"), F.min("y")).alias("comp")), "labels")
-    for _ in range(most_rounds):
-        near = both.join(labels.select(F.col("node").alias("y"), "comp"), "y").groupBy(F.col("x").alias("node")).agg(F.min("comp").alias("near"))
-        spread = stage(labels.join(near, "node").select("node", F.col("comp").alias("was"), F.least("comp", "near").alias("comp")), "spread")
-        jump = spread.select(F.col("node").alias("comp"), F.col("comp").alias("next"))
-        labels = stage(spread.join(jump, "comp", "left").select("node", "was", F.least(F.col("comp"), F.coalesce("next", "comp")).alias("comp")), "labels")
+    n = labels.count()
+    for _ in range(most_rounds if n else 0):
+        up = labels.select(F.col("node").alias("comp"), F.col("comp").alias("grand"))
+        known = stage(lookup(labels, up, "comp", n).select("node", "comp", "grand"), "grandparents")
+        near = both.join(known.select(F.col("node").alias("y"), "grand"), "y").groupBy(F.col("x").alias("node")).agg(F.min("grand").alias("near"))
+        seen = stage(known.join(near, "node").select("node", "comp", F.least("grand", "near").alias("best")), "neighbours")
+        hooks = seen.groupBy(F.col("comp").alias("node")).agg(F.min("best").alias("hook"))
+        labels = stage(seen.join(hooks, "node", "left").select("node", F.col("comp").alias("was"), F.least("comp", "best", "hook").alias("comp")), "labels")
         if labels.where("was <> comp").isEmpty():
             return labels.select("node", "comp")
         labels = labels.select("node", "comp")
-    raise RuntimeError("components did not settle")
+    if n:
+        raise RuntimeError("components did not settle")
+    return labels
 
 
 def closure_sql(edges_view: str) -> str:

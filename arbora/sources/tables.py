@@ -81,6 +81,8 @@ def read_hits(spark: SparkSession, path: str, titled: bool = False, strict: bool
     """Tabular similarity hits with the e-value as number and as text.  strict: a malformed row raises, else it drops."""
     mode = "FAILFAST" if strict else "DROPMALFORMED"
     rows = spark.read.schema(HITS_TITLED if titled else HITS).option("sep", "\t").option("quote", "").option("comment", "#").option("mode", mode).csv(path)
+    if not strict:  # whatever columns are asked for, a row must have them all
+        rows = rows.where(F.col("bitscore").isNotNull() & (F.col("stitle").isNotNull() if titled else F.lit(True)))
     return rows.withColumn("evalue", F.col("evalue_text").cast("double"))
 
 
