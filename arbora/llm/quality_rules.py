@@ -150,3 +150,30 @@ def quality_verdicts(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id",
     judged = judged.withColumn("rejected_by", F.when(F.col("base_failed"), F.lit("base")).otherwise(F.concat_ws(",", *hits)))
     columns = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
     return judged.select(*columns, (F.col("rejected_by") == "").alias("kept"), "rejected_by")
+
+
+def oracle_sql(allowed: float = ALLOWED, delta: float = DELTA, window: int = WINDOW) -> str:
+    """DuckDB SQL for quality_verdicts() of documents and labels."""
+    space = "[\\x20\\x09-\\x0D]"
+    level_of = {r: "CASE WHEN n_words > 0 THEN " + " + ".join(f"({metric} > {c})::INT" for c in cuts) + " ELSE 0 END" for r, (metric, cuts) in RULES.items()}
+    alpha, most = allowed / len(RULES), max(len(c) for _, c in RULES.values())
+    n_tests = sum(len(c) for _, c in RULES.values())
+    tail = f"list_sum(list_transform(range(0, f + 1), lambda i: exp(lgamma(g + 1) - lgamma(i + 1) - lgamma(g - i + 1) + i * ln({alpha}) + (g - i) * ln(1 - {alpha}))))"
+    steps = [
+        "d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(lang, 'und') AS stratum, coalesce(text, '') AS t FROM documents)",
+        f"w AS (SELECT *, list_filter(regexp_split_to_array(t, '{space}+'), lambda x: x <> '') AS words, list_filter(string_split(t, chr(10)), lambda x: regexp_replace(x, '{space}', '', 'g') <> '') AS lines FROM d)",
+        f"g AS (SELECT rid, i, array_to_string(words[i:i + {window - 1}], ' ') AS gram FROM (SELECT rid, words, unnest(range(1, len(words) - {window - 2})) AS i FROM w WHERE len(words) >= {window}))",
+        "twice AS (SELECT rid, i FROM (SELECT rid, i, count(*) OVER (PARTITION BY rid, gram) AS n FROM g) WHERE n > 1)",
+        f"rep AS (SELECT rid, count(DISTINCT i + j) AS n FROM twice, (SELECT unnest(range(0, {window})) AS j) GROUP BY rid)",
+        f"m AS (SELECT w.rid, doc_id, stratum, len(words)::BIGINT AS n_words, length(regexp_replace(t, '{space}', '', 'g'))::BIGINT AS word_chars, length(regexp_replace(t, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols, "
+        "(len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, len(lines)::BIGINT AS n_lines, coalesce(rep.n, 0)::BIGINT AS n_repeat_words, length(regexp_replace(t, '[^A-Z]', '', 'g')) AS n_capitals, "
+        "length(regexp_replace(t, '[^!]', '', 'g')) AS n_marks FROM w LEFT JOIN rep ON rep.rid = w.rid)",
+        "b AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed, " + ", ".join(f"{e} AS l_{r}" for r, e in level_of.items()) + " FROM m)",
+        "known AS (SELECT b.*, quality FROM b JOIN (SELECT doc_id, min(quality) AS quality FROM labels WHERE quality IS NOT NULL GROUP BY doc_id) q ON q.doc_id = b.doc_id WHERE NOT base_failed)",
+        "hist AS (" + " UNION ALL ".join(f"SELECT stratum, '{r}' AS rule, l_{r} AS level, (quality >= 1)::INT AS good FROM known" for r in RULES) + ")",
+        f"tests AS (SELECT stratum, rule, j, sum(good)::BIGINT AS g, coalesce(sum(good) FILTER (level >= j), 0)::BIGINT AS f, count(*) FILTER (level >= j AND good = 0) AS r FROM hist, (SELECT unnest(range(1, {most + 1})) AS j) GROUP BY stratum, rule, j)",
+        f"sure AS (SELECT *, r - {GOOD_COST} * f AS worth FROM tests WHERE g > 0 AND f <= g * {alpha} AND {tail} <= {delta} / ({n_tests} * (SELECT count(DISTINCT stratum) FROM hist)))",
+        "cuts AS (SELECT stratum, " + ", ".join(f"arg_max(j, (worth, j)) FILTER (rule = '{r}') AS c_{r}" for r in RULES) + " FROM sure WHERE worth > 0 GROUP BY stratum)",
+        "v AS (SELECT b.*, CASE WHEN base_failed THEN 'base' ELSE array_to_string(list_filter([" + ", ".join(f"CASE WHEN l_{r} >= c_{r} THEN '{r}' END" for r in RULES) + "], lambda x: x IS NOT NULL), ',') END AS rejected_by FROM b LEFT JOIN cuts ON cuts.stratum = b.stratum)",
+    ]
+    return "WITH " + ",\n".join(steps) + "\nSELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, rejected_by = '' AS kept, rejected_by FROM v"

@@ -89,5 +89,6 @@ FROM p JOIN d USING (h)
 
 ORACLE_SQL: dict[str, str] = {
     "op5_warc": _WARC,
+    "op6_quality_rules": quality_rules.oracle_sql(),
     "op7_mixing": mixing.oracle_sql(),
 }
