@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -146,3 +146,75 @@ def set_differences(expected: DataFrame, found: DataFrame, key: str) -> DataFram
     """(key, side): items only expected, or only found."""
     a = expected.select(key).distinct().join(found, key, "left_anti").withColumn("side", F.lit("missing"))
     return a.unionByName(found.select(key).distinct().join(expected, key, "left_anti").withColumn("side", F.lit("unexpected")))
+
+
+def header_matches(rows: DataFrame, key: str, headers: str, tokens: list[str] | None = None, delimiter: str = "|") -> DataFrame:
+    """Keys with evidence in a header cell: with ``tokens``, a header that holds one (any case, blanks or underscores);
+    without, any header that is neither empty nor a dash."""
+    items = F.split(F.coalesce(F.col(headers), F.lit("")), f"[{delimiter}]")
+    if tokens is None:
+        ok = F.exists(items, lambda h: ~F.trim(h).isin("", "-"))
+    else:
+        forms = sorted({f for t in tokens for f in (t.lower(), t.lower().replace(" ", "_"), t.lower().replace("_", " "))})
+        ok = F.exists(items, lambda h: reduce(lambda a, b: a | b, [F.contains(F.lower(h), F.lit(f)) for f in forms]))
+    return rows.where(ok).select(key).distinct()
+
+
+def lockstep(a: DataFrame, b: DataFrame, ordinal: str, key: str) -> DataFrame:
+    """Joins two tables row by row in order; raises where their keys diverge or one is longer."""
+    other = b.withColumnRenamed(key, "_key")
+    rows = a.join(other, ordinal, "full")
+    return rows.where(F.assert_true(F.col(key).eqNullSafe(F.col("_key")), "rows diverge").isNull()).drop("_key")
+
+
+def first_described(rows: DataFrame, code: str, description: str, ordinal: str) -> DataFrame:
+    """(code, description): the first that is not null, by ordinal; null if none is."""
+    return rows.groupBy(code).agg(F.min_by(F.when(F.col(description).isNotNull(), F.col(description)), F.when(F.col(description).isNotNull(), F.col(ordinal))).alias(description))
+
+
+def fillers(universe: DataFrame, annotated: DataFrame, database: str, *order: str) -> DataFrame:
+    """Universe rows without annotation, numbered over all in order: unannotated_<database>-1, ..."""
+    rest = universe.join(annotated.select("entity").distinct(), "entity", "left_anti")
+    number = F.row_number().over(Window.orderBy(*order))
+    return rest.withColumn("code", F.concat(F.lit(f"unannotated_{database}-"), number.cast("string")))
+
+
+def vocabulary_counts(rows: DataFrame, by: str, code: str, category: str) -> DataFrame:
+    """Per key: annotations, distinct codes, their ratio, and annotations of each category as a sorted ``name:n`` list."""
+    per = rows.groupBy(by, category).agg(F.count(F.lit(1)).alias("n"))
+    cells = per.groupBy(by).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(category, "n"))), lambda x: F.concat(x[category], F.lit(":"), x["n"].cast("string"))), ",").alias("categories"))
+    base = rows.groupBy(by).agg(F.count(F.lit(1)).alias("annotations"), F.count_distinct(code).alias("codes"))
+    return base.withColumn("diversity", F.bround(F.col("codes") / F.col("annotations"), 4)).join(cells, by)
+
+
+def feature_lookup(keys: list[str], **sources: DataFrame) -> DataFrame:
+    """Every key of any source with a flag a source; sources may repeat keys."""
+    out = universe_of(keys, *sources.values())
+    for name, rows in sources.items():
+        out = out.join(rows.select(*keys).distinct().withColumn(name, F.lit(True)), keys, "left")
+    return out.fillna(False, list(sources))
+
+
+def quality_summary(base: DataFrame, key: str, parts: dict[str, DataFrame], long: DataFrame, long_key: str, long_values: list[str], value: str) -> DataFrame:
+    """A row a key with the columns of each part (one row a key) and a column a value of a long table's ``long_key``."""
+    out = base
+    for part in parts.values():
+        out = out.join(part, key, "left")
+    return out.join(long.groupBy(key).pivot(long_key, long_values).agg(F.first(value)), key, "left")
+
+
+def taxonomy_summary(rows: DataFrame, ranks: list[str]) -> DataFrame:
+    """(rank, name, n): rows under each name of each rank."""
+    cells = F.explode(F.array(*[F.struct(F.lit(r).alias("rank"), F.col(r).alias("name")) for r in ranks])).alias("x")
+    return rows.select(cells).groupBy("x.rank", "x.name").agg(F.count(F.lit(1)).alias("n"))
+
+
+def overridden(rows: DataFrame, overrides: DataFrame, key: str, column: str) -> DataFrame:
+    """Rows with the override where there is one, and whether there was."""
+    out = rows.join(overrides.select(key, F.col(column).alias("_new")), key, "left")
+    return out.withColumns({"overridden": F.col("_new").isNotNull(), column: F.coalesce("_new", column)}).drop("_new")
+
+
+def wanted_sets(sets: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(grp, member, found): the members asked for, and whether the group has them; sets and wanted: (grp, member)."""
+    return wanted.join(sets.select("grp", "member").distinct().withColumn("found", F.lit(True)), ["grp", "member"], "left").fillna(False, ["found"])
