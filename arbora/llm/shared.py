@@ -1,56 +1,14 @@
-"""Shared-folder materialisation, skew-proof lookups and text helpers of the llm operators."""
+"""Readers, folds and the shared-folder helpers of the llm operators."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: A key is hot if it holds more than this share of the rows (so at most 1 / HOT_SHARE keys are hot).
-HOT_SHARE = 1 / 200
-HOT_LEAST = 5_000
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``; one of our own only in local mode where it is unset."""
-    path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not path:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        path = "file://" + tempfile.mkdtemp(prefix="arbora-")
-        spark.sparkContext.setCheckpointDir(path)
-    return path.rstrip("/")
-
-
-def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-
-
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Writes ``df`` to the shared folder and reads it back: cuts lineage and survives lost executors."""
-    path = new_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def lookup(left: DataFrame, right: DataFrame, key: str, total: int) -> DataFrame:
-    """Left join of ``left`` (``total`` rows, any skew) with ``right`` (one row a key, key not null).
-
-    Keys with over HOT_SHARE of the rows (at most 200 of them, hence the broadcasts) are looked up in a broadcast
-    table, all others by a shuffled join, so that no task gets a hot key whole.
-    """
-    least = max(HOT_LEAST, int(total * HOT_SHARE))
-    hot = left.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where((F.col("_n") > least) & F.col(key).isNotNull()).select(key)
-    hot = materialize(hot.coalesce(1), "hot-keys")
-    hot_right = right.join(F.broadcast(hot), key, "left_semi")
-    cold = left.join(F.broadcast(hot), key, "left_anti").join(right, key, "left")
-    warm = left.join(F.broadcast(hot_right), key, "inner")
-    # a hot key that ``right`` lacks keeps its rows
-    rest = left.join(F.broadcast(hot.join(F.broadcast(hot_right.select(key)), key, "left_anti")), key, "left_semi")
-    lacking = [F.lit(None).cast(f.dataType).alias(f.name) for f in right.schema if f.name != key]
-    return cold.unionByName(warm).unionByName(rest.select("*", *lacking))
+from arbora.operators.skew import lookup, new_path
+from arbora.operators.skew import stage as materialize
+
+__all__ = ["fold", "lookup", "materialize", "new_path", "read"]
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:

@@ -55,7 +55,7 @@ def test_large_buckets_and_long_chains(spark):
     rng = random.Random(2)
     fps = {0}
     x = rng.getrandbits(64)
-    for _ in range(80):  # a chain of two-bit steps, and a ball of neighbours
+    for _ in range(300):  # a chain of two-bit steps, and a ball of neighbours
         x ^= (1 << rng.randrange(64)) | (1 << rng.randrange(64))
         fps.add(x)
     y = rng.getrandbits(64)
