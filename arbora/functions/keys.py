@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from arbora.operators.skew import numbered_rows
+
 RANKS = ("kingdom", "phylum", "class", "order", "family")
 
 
@@ -105,7 +107,8 @@ def invalid_residues(rows: DataFrame, key: str, sequence: str, allowed: str = "A
 
 def short_ids(rows: DataFrame, key: str, prefix: str = "s") -> DataFrame:
     """(key, short_id): a dictionary of distinct keys; the order of keys gives the numbers."""
-    return rows.select(key).distinct().withColumn("short_id", F.concat(F.lit(prefix), F.row_number().over(Window.orderBy(key)).cast("string")))
+    numbered = numbered_rows(rows.select(key).distinct(), "_number", key)
+    return numbered.select(key, F.concat(F.lit(prefix), (F.col("_number") + 1).cast("string")).alias("short_id"))
 
 
 def decode_ids(rows: DataFrame, dictionary: DataFrame, short: str, key: str) -> DataFrame:

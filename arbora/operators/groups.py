@@ -8,9 +8,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from arbora.operators.skew import numbered_rows
+
 POSITIONAL = ("entity", "code", "start", "stop", "ordinal", "positional", "definition", "category")
 Adapter = Callable[..., DataFrame]
 _ADAPTERS: dict[str, tuple[Adapter, bool]] = {}
@@ -136,10 +138,9 @@ def orphans(annotations: DataFrame, entities: DataFrame) -> DataFrame:
 
 
 def numbered(groups: DataFrame, prefix: str, width: int = 5) -> DataFrame:
-    """(group_id, group_key, n): keys numbered in order.  Only the distinct keys meet in the numbering window."""
-    keys = groups.groupBy("group_key").agg(F.count(F.lit(1)).alias("n"))
-    k = F.row_number().over(Window.orderBy("group_key"))
-    return keys.select(F.concat(F.lit(prefix), F.lpad(k.cast("string"), width, "0")).alias("group_id"), "group_key", "n")
+    """(group_id, group_key, n): the distinct keys numbered in order."""
+    keys = numbered_rows(groups.groupBy("group_key").agg(F.count(F.lit(1)).alias("n")), "k", "group_key")
+    return keys.select(F.concat(F.lit(prefix), F.lpad((F.col("k") + 1).cast("string"), width, "0")).alias("group_id"), "group_key", "n")
 
 
 def definitions() -> Column:

@@ -153,7 +153,7 @@ def path_states(presence: DataFrame, tree: dict[str, DataFrame]) -> DataFrame:
     found = origins(presence, tree["paths"])
     has = held_nodes(presence, tree["paths"], found).groupBy("topology", "feature").agg(F.collect_list("node").alias("held"))
     routes = tree["paths"].groupBy("topology", "tip").agg(F.transform(F.array_sort(F.collect_list(F.struct("depth", "node"))), lambda x: x["node"]).alias("route"))
-    rows = found.select("topology", "feature", "origin", "depth").join(has, ["topology", "feature"]).join(routes, "topology")
+    rows = found.select("topology", "feature", "origin", "depth").join(has, ["topology", "feature"]).join(F.broadcast(routes), "topology")
 
     def letter(node, d):
         inside = F.get("route", F.col("depth")) == F.col("origin")

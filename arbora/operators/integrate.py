@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from arbora.operators.skew import numbered_rows
+
 
 def last_of(rows: DataFrame, key: list[str], ordinal: str) -> DataFrame:
     """One row a key: the last by ordinal."""
@@ -175,8 +177,8 @@ def first_described(rows: DataFrame, code: str, description: str, ordinal: str)
 def fillers(universe: DataFrame, annotated: DataFrame, database: str, *order: str) -> DataFrame:
     """Universe rows without annotation, numbered over all in order: unannotated_<database>-1, ..."""
     rest = universe.join(annotated.select("entity").distinct(), "entity", "left_anti")
-    number = F.row_number().over(Window.orderBy(*order))
-    return rest.withColumn("code", F.concat(F.lit(f"unannotated_{database}-"), number.cast("string")))
+    numbered = numbered_rows(rest, "_number", *order)
+    return numbered.withColumn("code", F.concat(F.lit(f"unannotated_{database}-"), (F.col("_number") + 1).cast("string"))).drop("_number")
 
 
 def vocabulary_counts(rows: DataFrame, by: str, code: str, category: str) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from arbora.operators.graphs import components
+from arbora.operators.skew import numbered_rows
 
 
 def strong_hits(hits: DataFrame, query: str, subject: str, evalue: str, most: float = 1e-60) -> DataFrame:
@@ -184,8 +185,13 @@ def species_summary(spots: DataFrame, manifest: DataFrame, species: str = "speci
 
 
 def deal(rows: DataFrame, parts: int, *order: str) -> DataFrame:
-    """An even split: the first (n mod parts) parts hold one row more."""
-    return rows.withColumn("part", F.ntile(parts).over(Window.orderBy(*order)))
+    """An even split in order: the first (n mod parts) parts hold one row more."""
+    n = rows.count()
+    size, more = divmod(n, parts)
+    k = numbered_rows(rows, "_number", *order)
+    early = F.expr(f"_number div {size + 1}")
+    late = F.lit(more) + F.expr(f"(_number - {more * (size + 1)}) div {max(size, 1)}")
+    return k.withColumn("part", (F.when(F.col("_number") < more * (size + 1), early).otherwise(late) + 1).cast("int")).drop("_number")
 
 
 def deal_within(rows: DataFrame, size: int, by: list[str], *order: str) -> DataFrame:
@@ -204,12 +210,11 @@ def subsequences(hits: DataFrame, sequences: DataFrame, legacy_end: bool = False
     return last.join(sequences, F.col("subject") == F.col("id")).select("subject", F.substring(F.col("sequence"), F.col("h.sstart"), F.greatest(length, F.lit(0))).alias("region"))
 
 
-def cosine_pairs(vectors: DataFrame, key: str, vector: str, block: str, least: float) -> DataFrame:
-    """(block, a, b, cosine) of all pairs within a block that are at least ``least`` alike; blocks are the caller's."""
+def similar_to(queries: DataFrame, vectors: DataFrame, key: str, vector: str, block: str, least: float) -> DataFrame:
+    """(block, query, subject, cosine): subjects of a stated query set, within its blocks, at least ``least`` alike."""
     norm = F.sqrt(F.aggregate(F.col(vector), F.lit(0.0), lambda acc, x: acc + x.cast("double") * x))
-    unit = vectors.select(key, block, F.col(vector).alias("_v"), norm.alias("_n"))
-    a = unit.select(F.col(key).alias("a"), block, F.col("_v").alias("va"), F.col("_n").alias("na"))
-    b = unit.select(F.col(key).alias("b"), block, F.col("_v").alias("vb"), F.col("_n").alias("nb"))
+    side = lambda df, name, v, n: df.select(F.col(key).alias(name), block, F.col(vector).alias(v), norm.alias(n))
     dot = F.aggregate(F.zip_with("va", "vb", lambda x, y: x.cast("double") * y), F.lit(0.0), lambda acc, x: acc + x)
-    pairs = a.join(b, block).where("a < b").withColumn("cosine", dot / (F.col("na") * F.col("nb")))
-    return pairs.where(F.col("cosine") >= least).select(block, "a", "b", F.bround("cosine", 6).alias("cosine"))
+    pairs = side(queries, "query", "va", "na").join(side(vectors, "subject", "vb", "nb"), block).where("query <> subject")
+    pairs = pairs.withColumn("cosine", dot / (F.col("na") * F.col("nb")))
+    return pairs.where(F.col("cosine") >= least).select(block, "query", "subject", F.bround("cosine", 6).alias("cosine"))

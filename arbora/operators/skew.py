@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: A key is hot if it holds more than this share of the rows (so at most 1 / HOT_SHARE keys are hot).
@@ -51,3 +51,25 @@ def lookup(left: DataFrame, right: DataFrame, key: str, total: int) -> DataFrame
     rest = left.join(F.broadcast(hot.join(F.broadcast(hot_right.select(key)), key, "left_anti")), key, "left_semi")
     lacking = [F.lit(None).cast(f.dataType).alias(f.name) for f in right.schema if f.name != key]
     return cold.unionByName(warm).unionByName(rest.select("*", *lacking))
+
+
+#: Rows that a numbering task takes.
+NUMBER_ROWS = 1_000_000
+
+
+def numbered_rows(df: DataFrame, name: str, *order: str | Column) -> DataFrame:
+    """``df`` with a number from 0 in order, without gathering the rows in one task.
+
+    Rows are range-partitioned by the order and staged with their range; each range counts for itself and starts where
+    the ranges before it end.  Only the counts, a row a range, meet.
+    """
+    rows = df.withColumns({f"_o{i}": F.col(c) if isinstance(c, str) else c for i, c in enumerate(order)})
+    keys = [f"_o{i}" for i in range(len(order))]
+    total = rows.count()
+    rows = rows.repartitionByRange(max(1, -(-total // NUMBER_ROWS)), *keys)
+    rows = stage(rows.withColumn("_range", F.spark_partition_id()), "ranges")
+    counts = rows.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
+    first = F.coalesce(F.sum("_n").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    within = F.row_number().over(Window.partitionBy("_range").orderBy(*keys)) - 1
+    out = rows.withColumn("_k", within).join(counts.select("_range", first.alias("_first")), "_range")
+    return out.withColumn(name, F.col("_k") + F.col("_first")).drop("_range", "_k", "_first", *keys)

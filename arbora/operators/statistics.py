@@ -6,25 +6,32 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def quantile_rank(value: str, *by: str, digits: int = 6) -> Column:
-    """Mean zero-based rank of ties over n - 1; 0.5 where n is 1.  Half-even rounding."""
+def quantile_ranks(rows: DataFrame, value: str, name: str, *by: str, digits: int = 6) -> DataFrame:
+    """Adds the mean zero-based rank of ties over n - 1, 0.5 where n is 1; half-even rounding.
+
+    Rows are counted by value first; ranks are then those of distinct values, joined back by group and value."""
     part = Window.partitionBy(*by)
-    n = F.count(F.lit(1)).over(part)
-    low = F.rank().over(part.orderBy(value)) - 1
-    ties = F.count(F.lit(1)).over(Window.partitionBy(*by, value))
-    return F.when(n == 1, F.lit(0.5)).otherwise(F.bround((low + (ties - 1) / 2.0) / (n - 1), digits))
+    counts = rows.groupBy(*by, value).agg(F.count(F.lit(1)).alias("_c"))
+    upto = F.sum("_c").over(part.orderBy(value).rowsBetween(Window.unboundedPreceding, 0))
+    counts = counts.withColumns({"_low": upto - F.col("_c"), "_n": F.sum("_c").over(part)})
+    rank = F.when(F.col("_n") == 1, F.lit(0.5)).otherwise(F.bround((F.col("_low") + (F.col("_c") - 1) / 2.0) / (F.col("_n") - 1), digits))
+    return rows.join(counts.select(*by, value, rank.alias(name)), [*by, value])
 
 
 def summary(rows: DataFrame, value: str, *by: str) -> DataFrame:
     """count, mean (2 digits), median, least, greatest, and the two quartiles: P25 is the element floor(n/4) - 1 from
-    zero, at least the first; P75 the element floor(3n/4), at most the last.  Ranks stay distributed by key and value."""
+    zero, at least the first; P75 the element floor(3n/4), at most the last.  A group's rows are first counted by value
+    in place, so that windows see distinct values."""
     part = Window.partitionBy(*by)
-    rows = rows.where(F.col(value).isNotNull()).withColumns({"_k": F.row_number().over(part.orderBy(value)) - 1, "_n": F.count(F.lit(1)).over(part)})
-    at = lambda k: F.max(F.when(F.col("_k") == k, F.col(value)))
+    counts = rows.where(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count(F.lit(1)).alias("_c"))
+    upto = F.sum("_c").over(part.orderBy(value).rowsBetween(Window.unboundedPreceding, 0))
+    counts = counts.withColumns({"_upto": upto, "_n": F.sum("_c").over(part)})
     n = F.col("_n")
+    at = lambda k: F.min(F.when(F.col("_upto") > k, F.col(value)))
     quarter, three = F.greatest(F.lit(0), F.floor(n * 0.25) - 1), F.least(n - 1, F.floor(n * 0.75))
-    return rows.groupBy(*by).agg(
-        F.count(F.lit(1)).alias("n"), F.bround(F.avg(value), 2).alias("mean"), F.median(value).alias("median"), F.min(value).alias("least"), F.max(value).alias("greatest"), at(quarter).alias("p25"), at(three).alias("p75")
+    middle = (at(F.floor((n - 1) / 2)) + at(F.floor(n / 2))) / 2
+    return counts.groupBy(*by).agg(
+        F.max("_n").alias("n"), F.bround(F.sum(F.col(value) * F.col("_c")) / F.max("_n"), 2).alias("mean"), middle.cast("double").alias("median"), F.min(value).alias("least"), F.max(value).alias("greatest"), at(quarter).alias("p25"), at(three).alias("p75")
     )
 
 
@@ -159,11 +166,12 @@ def co_clustering(a: DataFrame, b: DataFrame) -> DataFrame:
 
 
 def n50(lengths: DataFrame, length: str, *by: str) -> DataFrame:
-    """(by, n, total, n50): the length at which the sorted lengths reach half of the total."""
-    part = Window.partitionBy(*by)
-    run = F.sum(length).over(part.orderBy(F.desc(length)).rowsBetween(Window.unboundedPreceding, 0))
-    rows = lengths.withColumns({"_run": run, "_all": F.sum(length).over(part)})
-    return rows.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), F.sum(length).alias("total"), F.max(F.when(F.col("_run") * 2 >= F.col("_all"), F.col(length))).alias("n50"))
+    """(by, n, total, n50): the length at which the sorted lengths reach half of the total; from counts by length."""
+    counts = lengths.groupBy(*by, length).agg(F.count(F.lit(1)).alias("_c"))
+    part, sum_ = Window.partitionBy(*by), F.col(length) * F.col("_c")
+    run = F.sum(sum_).over(part.orderBy(F.desc(length)).rowsBetween(Window.unboundedPreceding, 0))
+    rows = counts.withColumns({"_run": run, "_all": F.sum(sum_).over(part)})
+    return rows.groupBy(*by).agg(F.sum("_c").alias("n"), F.sum(sum_).alias("total"), F.max(F.when(F.col("_run") * 2 >= F.col("_all"), F.col(length))).alias("n50"))
 
 
 def completeness(facts: DataFrame, taxon: str, database: str, entity: str) -> DataFrame:

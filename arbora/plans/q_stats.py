@@ -42,7 +42,7 @@ def _counts(spark, sf):
 @query("quantile_ranks", """SELECT p_partkey, CASE WHEN n = 1 THEN 0.5 ELSE round_even((lo + (t - 1) / 2.0::DOUBLE) / (n - 1), 6) END AS q FROM (SELECT p_partkey, count(*) OVER (PARTITION BY p_brand) AS n,
   rank() OVER (PARTITION BY p_brand ORDER BY p_size) - 1 AS lo, count(*) OVER (PARTITION BY p_brand, p_size) AS t FROM part)""")
 def quantile_ranks(spark, sf):
-    return table(spark, sf, "part").select("p_partkey", statistics.quantile_rank("p_size", "p_brand").alias("q"))
+    return statistics.quantile_ranks(table(spark, sf, "part"), "p_size", "q", "p_brand").select("p_partkey", "q")
 
 
 @query("summary_statistics", """WITH r AS (SELECT p_brand, p_retailprice AS v, row_number() OVER (PARTITION BY p_brand ORDER BY p_retailprice) - 1 AS k, count(*) OVER (PARTITION BY p_brand) AS c FROM part)
@@ -355,10 +355,12 @@ def hit_regions(spark, sf):
     return similarity.subsequences(hits, table(spark, sf, "part").select(F.col("p_partkey").cast("string").alias("id"), F.col("p_name").alias("sequence")))
 
 
-@query("cosine_pairs", """WITH v AS (SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings) SELECT label, a, b, cosine FROM (SELECT x.label, x.vec_id AS a, y.vec_id AS b, round_even(list_dot_product(x.e, y.e) / (sqrt(list_dot_product(x.e, x.e)) * sqrt(list_dot_product(y.e, y.e))), 6) AS cosine
-  FROM v x JOIN v y ON x.label = y.label AND x.vec_id < y.vec_id) WHERE cosine >= 0.2""")
-def cosine_pairs(spark, sf):
-    return similarity.cosine_pairs(table(spark, sf, "embeddings"), "vec_id", "embedding", "label", 0.2)
+@query("similar_vectors", """WITH v AS (SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings) SELECT label, query, subject, cosine FROM (SELECT x.label, x.vec_id AS query, y.vec_id AS subject, round_even(list_dot_product(x.e, y.e) / (sqrt(list_dot_product(x.e, x.e)) * sqrt(list_dot_product(y.e, y.e))), 6) AS cosine
+  FROM v x JOIN v y ON x.label = y.label AND x.vec_id <> y.vec_id WHERE x.vec_id % 50 = 0) WHERE cosine >= 0.1""")
+def similar_vectors(spark, sf):
+    """Every fiftieth vector is a query against all of its label."""
+    v = table(spark, sf, "embeddings")
+    return similarity.similar_to(v.where("vec_id % 50 = 0"), v, "vec_id", "embedding", "label", 0.1)
 
 
 @query("order_components", "WITH e AS (SELECT DISTINCT o_custkey, o_orderkey FROM orders) SELECT o_orderkey AS node, min(o_orderkey) OVER (PARTITION BY o_custkey) AS comp FROM e QUALIFY count(*) OVER (PARTITION BY o_custkey) > 1")

@@ -40,7 +40,7 @@ def test_merge_forms_agree_with_brute_force(spark, seed):
 
 def test_ranks_and_summaries(spark):
     df = spark.createDataFrame([("x", v) for v in (10, 20, 20, 30)] + [("y", 7)], "g string, v long")
-    assert [r.q for r in df.select("g", "v", statistics.quantile_rank("v", "g").alias("q")).orderBy("g", "v").collect()] == [0.0, 0.5, 0.5, 1.0, 0.5]
+    assert [r.q for r in statistics.quantile_ranks(df, "v", "q", "g").orderBy("g", "v").collect()] == [0.0, 0.5, 0.5, 1.0, 0.5]
     r = statistics.summary(spark.createDataFrame([("x", v) for v in range(1, 9)] + [("x", None)], "g string, v long"), "v", "g").first()
     assert (r.n, r.p25, r.p75, r["median"]) == (8, 2, 7, 4.5)
     c = statistics.cluster_statistics(spark.createDataFrame([(v,) for v in range(1, 9)], "size long"), total=100).first()
@@ -146,6 +146,18 @@ def test_adapters_and_sequences(spark):
         groups.adapter("go", False)(lambda: None)
 
 
+def test_numbering_over_ranges(spark, monkeypatch):
+    from arbora.operators import skew
+
+    monkeypatch.setattr(skew, "NUMBER_ROWS", 7)
+    data = random.Random(8).sample(range(1000), 60)
+    got = {r.v: r.k for r in skew.numbered_rows(spark.createDataFrame([(v,) for v in data], "v long"), "k", "v").collect()}
+    assert got == {v: k for k, v in enumerate(sorted(data))}
+    split = similarity.deal(spark.createDataFrame([(v,) for v in data], "v long"), 7, "v")
+    assert [r.n for r in split.groupBy("part").agg(F.count(F.lit(1)).alias("n")).orderBy("part").collect()] == [9] * 4 + [8] * 3
+    assert skew.numbered_rows(spark.createDataFrame([], "v long"), "k", "v").isEmpty()
+
+
 def test_strict_joins(spark):
     left = spark.createDataFrame([(1,), (2,)], "k long")
     right = spark.createDataFrame([(1, "a")], "k long, v string")
