@@ -30,7 +30,7 @@ def require(checks: DataFrame) -> None:
 
 def history_checks(presence: DataFrame, tree: dict[str, DataFrame]) -> DataFrame:
     """The invariants of origins, states and counts."""
-    found = history.origins(presence, tree["paths"])
+    found = history.origins(presence, tree)
     edges = history.edge_counts(presence, tree)
     states = history.edge_states(presence, tree)
     strings = history.path_states(presence, tree)

@@ -38,13 +38,18 @@ def _signatures(presence: DataFrame, paths: DataFrame) -> tuple[DataFrame, DataF
     return per.select("feature", "root", "sig", "n_tips"), found
 
 
-def origins(presence: DataFrame, paths: DataFrame) -> DataFrame:
+def origins(presence: DataFrame, tree: dict[str, DataFrame]) -> DataFrame:
     """(topology, feature, n_tips, origin, depth): the deepest node on the paths of all the feature's tips.
 
-    Tips outside the tree do not count; a feature without any tip in a tree has no row there.
+    With tips in pre-order that is the common ancestor of the first and the last of them, so a feature is one row of a
+    partial aggregate, whatever the depth of the tree.  Trees too large for a table of common ancestors fall back on
+    clade signatures.  Tips outside the tree do not count; a feature without any tip in a tree has no row there.
     """
-    per, found = _signatures(presence, paths)
-    return per.join(found, ["root", "sig"]).select("topology", "feature", "n_tips", "origin", "depth")
+    if "common" not in tree:
+        per, found = _signatures(presence, tree["paths"])
+        return per.join(found, ["root", "sig"]).select("topology", "feature", "n_tips", "origin", "depth")
+    ends = presence.join(tree["orders"], "tip").groupBy("topology", "feature").agg(F.count(F.lit(1)).alias("n_tips"), F.min("place").alias("first"), F.max("place").alias("last"))
+    return ends.join(tree["common"], ["topology", "first", "last"]).select("topology", "feature", "n_tips", "origin", "depth")
 
 
 def origin_counts(presence: DataFrame, paths: DataFrame) -> DataFrame:
@@ -56,7 +61,7 @@ def origin_counts(presence: DataFrame, paths: DataFrame) -> DataFrame:
 
 def origin_table(presence: DataFrame, tree: dict[str, DataFrame]) -> DataFrame:
     """Adds the origin edge, its -O label, the path to the origin and the sorted tips, in and out of the tree counted."""
-    found = origins(presence, tree["paths"])
+    found = origins(presence, tree)
     up = tree["edges"].select("topology", F.col("child").alias("origin"), "parent")
     steps = tree["paths"].join(tree["nodes"].where("is_tip").select("topology", F.col("node").alias("tip")), ["topology", "tip"])
     to = steps.alias("a").join(steps.alias("b"), (F.col("a.topology") == F.col("b.topology")) & (F.col("a.tip") == F.col("b.tip")) & (F.col("b.depth") <= F.col("a.depth")))
@@ -86,7 +91,7 @@ def descendant_edges(tree: dict[str, DataFrame]) -> DataFrame:
 
 def edge_states(presence: DataFrame, tree: dict[str, DataFrame]) -> DataFrame:
     """(topology, feature, parent, child, state) with states O, P, L, X; edges in state A have no row."""
-    found = origins(presence, tree["paths"])
+    found = origins(presence, tree)
     has = held_nodes(presence, tree["paths"], found)
     below = found.select("topology", "feature", F.col("origin").alias("ancestor")).join(descendant_edges(tree), ["topology", "ancestor"])
     at = lambda c: has.select("topology", "feature", F.col("node").alias(c), F.lit(True).alias(f"_{c}"))
@@ -103,7 +108,7 @@ def edge_counts(presence: DataFrame, tree: dict[str, DataFrame]) -> DataFrame:
 
     Two presence bits an edge are enough, so states are not made: conserved features are at both ends, lost ones only above.
     """
-    found = origins(presence, tree["paths"])
+    found = origins(presence, tree)
     has = held_nodes(presence, tree["paths"], found)
     up = has.select("topology", "feature", F.col("node").alias("parent"))
     rows = up.join(tree["edges"], ["topology", "parent"])
@@ -120,12 +125,12 @@ def feature_counts(presence: DataFrame, tree: dict[str, DataFrame]) -> DataFrame
     states = edge_states(presence, tree)
     per = {s: F.sum((F.col("state") == s).cast("long")).alias(c) for s, c in (("P", "conserved"), ("L", "lost"), ("X", "absent"))}
     counts = states.groupBy("topology", "feature").agg(*per.values())
-    return origins(presence, tree["paths"]).select("topology", "feature", "n_tips", "origin").join(counts, ["topology", "feature"])
+    return origins(presence, tree).select("topology", "feature", "n_tips", "origin").join(counts, ["topology", "feature"])
 
 
 def clade_summary(presence: DataFrame, tree: dict[str, DataFrame]) -> DataFrame:
     """Per node: origins, features present below (not gated by origin), tips below, and conserved and lost as a parent."""
-    born = origins(presence, tree["paths"]).groupBy("topology", F.col("origin").alias("node")).agg(F.count(F.lit(1)).alias("origins"))
+    born = origins(presence, tree).groupBy("topology", F.col("origin").alias("node")).agg(F.count(F.lit(1)).alias("origins"))
     there = held_nodes(presence, tree["paths"]).groupBy("topology", "node").agg(F.count(F.lit(1)).alias("present"))
     parents = edge_counts(presence, tree).groupBy("topology", F.col("parent").alias("node")).agg(F.sum("conserved").alias("conserved"), F.sum("lost").alias("lost"))
     out = tree["nodes"].select("topology", "node", F.col("n_tips").cast("long").alias("tips"))
@@ -136,7 +141,7 @@ def clade_summary(presence: DataFrame, tree: dict[str, DataFrame]) -> DataFrame:
 
 def tip_summary(presence: DataFrame, tree: dict[str, DataFrame]) -> DataFrame:
     """Per tip: features, those that originated there, and those inherited."""
-    found = origins(presence, tree["paths"])
+    found = origins(presence, tree)
     own = found.groupBy("topology", F.col("origin").alias("tip")).agg(F.count(F.lit(1)).alias("tip_specific"))
     tips = tree["nodes"].where("is_tip").select("topology", F.col("node").alias("tip"))
     total = presence.groupBy("tip").agg(F.count(F.lit(1)).alias("features"))
@@ -150,7 +155,7 @@ def path_states(presence: DataFrame, tree: dict[str, DataFrame]) -> DataFrame:
     Built as one array a feature and tip from the tip's path and two sets of nodes (the origin's clade, the nodes
     held), so no edge table is exploded.
     """
-    found = origins(presence, tree["paths"])
+    found = origins(presence, tree)
     has = held_nodes(presence, tree["paths"], found).groupBy("topology", "feature").agg(F.collect_list("node").alias("held"))
     routes = tree["paths"].groupBy("topology", "tip").agg(F.transform(F.array_sort(F.collect_list(F.struct("depth", "node"))), lambda x: x["node"]).alias("route"))
     rows = found.select("topology", "feature", "origin", "depth").join(has, ["topology", "feature"]).join(F.broadcast(routes), "topology")
@@ -166,7 +171,7 @@ def path_states(presence: DataFrame, tree: dict[str, DataFrame]) -> DataFrame:
 
 def origin_summary(presence: DataFrame, tree: dict[str, DataFrame]) -> DataFrame:
     """Per origin edge: features and their percentage of all."""
-    found = origins(presence, tree["paths"]).groupBy("topology", F.col("origin").alias("child")).agg(F.count(F.lit(1)).alias("features"))
+    found = origins(presence, tree).groupBy("topology", F.col("origin").alias("child")).agg(F.count(F.lit(1)).alias("features"))
     out = tree["edges"].join(found, ["topology", "child"], "left").fillna(0, ["features"])
     total = F.sum("features").over(Window.partitionBy("topology"))
     return out.withColumn("percent", F.when(total > 0, F.bround(100.0 * F.col("features") / total, 4)).otherwise(F.lit(0.0)))
@@ -179,7 +184,7 @@ def innovations(presence: DataFrame, tree: dict[str, DataFrame]) -> DataFrame:
     inside = presence.join(tree["paths"], "tip").groupBy("topology", "feature", "node").agg(F.count(F.lit(1)).alias("inside"))
     rows = inside.join(size, ["topology", "feature"]).where("inside = k").join(tips, ["topology", "node"])
     counts = rows.groupBy("topology", "node").agg(F.count(F.lit(1)).alias("any_tips"), F.sum((F.col("k") == F.col("n_tips")).cast("long")).alias("every_tip"))
-    born = origins(presence, tree["paths"]).groupBy("topology", F.col("origin").alias("node")).agg(F.count(F.lit(1)).alias("origin_at"))
+    born = origins(presence, tree).groupBy("topology", F.col("origin").alias("node")).agg(F.count(F.lit(1)).alias("origin_at"))
     out = tips.select("topology", "node").join(counts, ["topology", "node"], "left").join(born, ["topology", "node"], "left")
     return out.fillna(0, ["any_tips", "every_tip", "origin_at"])
 
@@ -193,7 +198,7 @@ def shared_by_two(presence: DataFrame, members: DataFrame) -> DataFrame:
 
 def run_totals(presence: DataFrame, tree: dict[str, DataFrame]) -> DataFrame:
     """Per topology: features, features at one tip, conserved and lost edges, edges without any feature."""
-    found = origins(presence, tree["paths"]).groupBy("topology").agg(F.count(F.lit(1)).alias("features"), F.sum((F.col("n_tips") == 1).cast("long")).alias("single_tip"))
+    found = origins(presence, tree).groupBy("topology").agg(F.count(F.lit(1)).alias("features"), F.sum((F.col("n_tips") == 1).cast("long")).alias("single_tip"))
     per = edge_counts(presence, tree).groupBy("topology").agg(F.sum("conserved").alias("conserved"), F.sum("lost").alias("lost"), F.sum((F.col("inherited") == 0).cast("long")).alias("empty_edges"))
     return per.join(found, "topology", "left").fillna(0, ["features", "single_tip"]).select("topology", "features", "single_tip", "conserved", "lost", "empty_edges")
 

@@ -137,7 +137,7 @@ counts3 AS (SELECT e.topology, e.parent, e.child, count(h.feature) AS inherited,
 
 @query("origins_three_topologies", sql(TOPOLOGIES3, PRESENCE, ORIGIN3, "SELECT topology, feature, n_tips, origin, depth::INTEGER AS depth FROM origin3"))
 def origins_three_topologies(spark, sf):
-    return history.origins(presence(spark, sf), T.tables(spark, topologies(spark, sf, 3))["paths"])
+    return history.origins(presence(spark, sf), T.tables(spark, topologies(spark, sf, 3)))
 
 
 @query("edge_counts_three_topologies", sql(TOPOLOGIES3, PRESENCE, ORIGIN3, HELD3, "SELECT topology, parent, child, inherited, conserved, inherited - conserved AS lost FROM counts3"))
@@ -251,7 +251,7 @@ def topology_count(spark, sf):
 @query("lowest_common", sql(*BASE, "SELECT feature, origin AS node FROM origin"))
 def lowest_common(spark, sf):
     """Lowest common ancestors by relational division."""
-    return history.origins(presence(spark, sf), tree(spark, sf)["paths"]).select("feature", F.col("origin").alias("node"))
+    return history.origins(presence(spark, sf), tree(spark, sf)).select("feature", F.col("origin").alias("node"))
 
 
 @query("newick_renderings")

@@ -132,7 +132,7 @@ def group_counts_by_tip(spark, sf):
 
 @query("origin_depths", sql(*BASE, "SELECT depth::INTEGER AS depth, count(*) AS features, avg(n_tips) AS mean_tips FROM origin GROUP BY depth"))
 def origin_depths(spark, sf):
-    return history.origins(presence(spark, sf), tree(spark, sf)["paths"]).groupBy("depth").agg(F.count(F.lit(1)).alias("features"), F.avg("n_tips").alias("mean_tips"))
+    return history.origins(presence(spark, sf), tree(spark, sf)).groupBy("depth").agg(F.count(F.lit(1)).alias("features"), F.avg("n_tips").alias("mean_tips"))
 
 
 @query("self_hits", "SELECT count(*) AS hits, count(*) FILTER (l_quantity = 50 AND l_linenumber = 1 AND l_discount = 0) AS own FROM lineitem")
