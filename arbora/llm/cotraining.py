@@ -17,6 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from arbora.llm.shared import fresh, quoted
 from arbora.llm.tokens import encode, fit_logistic, hashed, logistic, slices
 
 #: Bounds of the training sample: labelled documents of each class, unlabelled ones, and characters of each excerpt.
@@ -239,5 +240,5 @@ def quality_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs``, all columns, that the classifier does not reject."""
-    model = train(training_sample(docs, labels))
-    return with_quality(docs, model).where("not _quality.rejected").select(*docs.columns)
+    model, name = train(training_sample(docs, labels)), fresh(docs, "_quality")
+    return with_quality(docs, model, name).where(f"not {name}.rejected").select(*quoted(docs.columns))

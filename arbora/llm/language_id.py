@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from arbora.llm.shared import fold
+from arbora.llm.shared import fold, fresh, quoted
 
 FOLDS, HELD_OUT = 3, 1
 UNKNOWN = "und"
@@ -120,5 +120,6 @@ def identify(docs: DataFrame, train: DataFrame | None = None) -> DataFrame:
 
 def keep_identified(docs: DataFrame) -> DataFrame:
     """The rows of ``docs``, all columns, whose language is told by a margin that is not narrow."""
-    judged = with_language(docs, dictionaries(training_sample(docs)))
-    return judged.where("not _language.rejected").select(*docs.columns)
+    name = fresh(docs, "_language")
+    judged = with_language(docs, dictionaries(training_sample(docs)), name=name)
+    return judged.where(f"not {name}.rejected").select(*quoted(docs.columns))

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from arbora.llm.shared import materialize
+from arbora.llm.shared import fresh, materialize, quoted
 
 SWEEPS = 12
 KEEP = 0.7
@@ -28,13 +28,14 @@ def tokens_of(text: str) -> Column:
     return F.greatest(F.lit(1), F.ceil(F.octet_length(F.coalesce(F.col(text), F.lit(""))) / 4)).cast("long")
 
 
-def celled(docs: DataFrame) -> DataFrame:
-    """``docs`` with _source, _lang, _topic (nulls named) and _tokens."""
+def celled(docs: DataFrame, names: dict[str, str] | None = None) -> DataFrame:
+    """``docs`` with _source, _lang, _topic (nulls named) and _tokens, or with columns of the given names."""
     topic = F.lit(OTHER)
     for name, predicate in reversed(TOPICS):
         topic = F.when(F.expr(predicate.replace("text", "coalesce(text, '')")), F.lit(name)).otherwise(topic)
     none = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("(none)"))
-    return docs.withColumns({"_source": none("source"), "_lang": none("lang"), "_topic": topic, "_tokens": tokens_of("text")})
+    made = {"source": none("source"), "lang": none("lang"), "topic": topic, "tokens": tokens_of("text")}
+    return docs.withColumns({(names or {}).get(k, f"_{k}"): c for k, c in made.items()})
 
 
 def tempered(cells: DataFrame, margin: str, power: float) -> Column:
@@ -51,7 +52,7 @@ def probabilities(docs: DataFrame, targets: dict[str, dict[str, float]] | None =
     ``targets``: by margin, explicit shares of categories; other margins are tempered.  Categories that an explicit
     margin leaves out get weight zero.  The cells, a few for each source, are raked in one task; documents are not.
     """
-    rows = celled(docs).groupBy(F.col("_source").alias("source"), F.col("_lang").alias("lang"), F.col("_topic").alias("topic"))
+    rows = celled(docs.select("source", "lang", "text")).groupBy(F.col("_source").alias("source"), F.col("_lang").alias("lang"), F.col("_topic").alias("topic"))
     cells = materialize(rows.agg(F.sum("_tokens").alias("tokens"), F.count(F.lit(1)).alias("n_docs")), "cells").coalesce(1)
     for margin in MARGINS:
         if targets and margin in targets:
@@ -82,10 +83,13 @@ def uniform(doc_id: str = "doc_id") -> Column:
     return F.conv(F.substring(F.md5(F.coalesce(F.col(doc_id).cast("string"), F.lit(""))), 1, 8), 16, 10).cast("double") / 4294967296.0
 
 
-def _drawn(docs: DataFrame, targets: dict | None, keep: float) -> DataFrame:
+def _drawn(docs: DataFrame, targets: dict | None, keep: float) -> tuple[DataFrame, dict[str, str]]:
+    """``docs`` with cell, tokens, weight, probability and selected, and the names of these columns."""
+    names = {k: fresh(docs, f"_{k}") for k in (*MARGINS, "tokens", "weight", "probability", "selected")}
     cells = materialize(probabilities(docs, targets, keep=keep), "probabilities")
-    cells = cells.select(*[F.col(m).alias(f"_{m}") for m in MARGINS], F.col("weight").alias("_weight"), F.col("probability").alias("_probability"))
-    return celled(docs).join(cells, [f"_{m}" for m in MARGINS]).withColumn("_selected", uniform() < F.col("_probability"))
+    cells = cells.select(*[F.col(k).alias(names[k]) for k in (*MARGINS, "weight", "probability")])
+    rows = celled(docs, names).join(cells, [names[m] for m in MARGINS])
+    return rows.withColumn(names["selected"], uniform() < F.col(names["probability"])), names
 
 
 def mixture(docs: DataFrame, targets: dict[str, dict[str, float]] | None = None, keep: float = KEEP) -> DataFrame:
@@ -94,14 +98,15 @@ def mixture(docs: DataFrame, targets: dict[str, dict[str, float]] | None = None,
     Null sources and languages are categories of their own, "(none)"; null and empty texts weigh one token.  Rows with
     one id, or a null id, are drawn alike.  An empty table gives none.  Other columns are not read.
     """
-    drawn = _drawn(docs.select("doc_id", "source", "lang", "text"), targets, keep)
-    rounded = {"weight": F.round("_weight", 9), "probability": F.round("_probability", 9)}
-    return drawn.select("doc_id", *[F.col(f"_{m}").alias(m) for m in MARGINS], F.col("_tokens").alias("tokens"), *[c.alias(k) for k, c in rounded.items()], F.col("_selected").alias("selected"))
+    drawn, names = _drawn(docs.select("doc_id", "source", "lang", "text"), targets, keep)
+    rounded = {k: F.round(names[k], 9) for k in ("weight", "probability")}
+    return drawn.select("doc_id", *[F.col(names[k]).alias(k) for k in (*MARGINS, "tokens")], *[c.alias(k) for k, c in rounded.items()], F.col(names["selected"]).alias("selected"))
 
 
 def sample(docs: DataFrame, targets: dict[str, dict[str, float]] | None = None, keep: float = KEEP) -> DataFrame:
     """The drawn rows of ``docs``, all columns."""
-    return _drawn(docs, targets, keep).where("_selected").select(*docs.columns)
+    drawn, names = _drawn(docs, targets, keep)
+    return drawn.where(F.col(names["selected"])).select(*quoted(docs.columns))
 
 
 def oracle_sql(sweeps: int = SWEEPS, keep: float = KEEP) -> str:

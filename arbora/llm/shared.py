@@ -8,13 +8,26 @@ from pyspark.sql import functions as F
 from arbora.operators.skew import lookup, new_path
 from arbora.operators.skew import stage as materialize
 
-__all__ = ["fold", "lookup", "materialize", "new_path", "read"]
+__all__ = ["fold", "fresh", "lookup", "materialize", "new_path", "quoted", "read"]
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, with underscores before it until ``df`` has no such column."""
+    have = {c.lower() for c in df.columns}
+    while name.lower() in have:
+        name = "_" + name
+    return name
+
+
+def quoted(columns: list[str]) -> list[Column]:
+    """The columns by name, whatever dots the names hold."""
+    return [F.col("`" + c.replace("`", "``") + "`") for c in columns]
+
+
 def fold(doc_id: str | Column = "doc_id", n: int = 5) -> Column:
     """crc32 of the id as text modulo ``n``; null for a null id."""
     return F.crc32(F.col(doc_id).cast("string") if isinstance(doc_id, str) else doc_id.cast("string")) % n

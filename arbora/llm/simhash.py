@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from arbora.llm.shared import lookup, materialize
+from arbora.llm.shared import fresh, lookup, materialize, quoted
 from arbora.operators.graphs import components
 
 SEED = 42
@@ -173,19 +173,21 @@ def drop_near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "t
 
     Classes without any id keep one row, too.  All columns are returned.
     """
-    columns = docs.columns
+    columns = quoted(docs.columns)
+    rest = [c for c in docs.columns if c != doc_id]
+    order, back = F.struct(*quoted(rest)), [F.col(doc_id) if c == doc_id else F.col(f"_row.`{c}`") for c in docs.columns]
     classes = near_duplicate_classes(docs, doc_id, text)
-    kept = classes.groupBy("component_id").agg(F.count(F.lit(1)).alias("_n")).where("component_id is not null")
-    kept = kept.select(F.col("component_id").alias(doc_id))
+    kept = classes.where("component_id is not null").select(F.col("component_id").alias(doc_id)).distinct()
     chosen = docs.join(kept, doc_id, "left_semi")
-    again = materialize(chosen.groupBy(doc_id).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select(doc_id), "repeated")
-    order = F.struct(*[F.col(f"`{c}`") for c in columns if c != doc_id])
-    once = chosen.join(again, doc_id, "left_anti")
-    of_many = chosen.join(again, doc_id, "left_semi").groupBy(doc_id).agg(F.min(order).alias("_row"))
-    out = once.select(*columns).unionByName(of_many.select(doc_id, "_row.*").select(*columns))
-    if not classes.where("component_id is null").isEmpty():
-        lost = with_fingerprint(docs.where(F.col(doc_id).isNull()), text, name="_fp")
-        lone = classes.where("component_id is null").select(F.conv("fingerprint", 16, 10).alias("_key")).distinct()
-        lost = lost.withColumn("_key", F.conv(F.lpad(F.hex("_fp"), 16, "0"), 16, 10)).join(lone, "_key", "left_semi")
-        out = out.unionByName(lost.groupBy("_fp").agg(F.min(order).alias("_row")).select(F.lit(None).cast(docs.schema[doc_id].dataType).alias(doc_id), "_row.*").select(*columns))
+    again = materialize(docs.where(F.col(doc_id).isNotNull()).groupBy(doc_id).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select(doc_id), "repeated")
+    once = chosen.join(again, doc_id, "left_anti").select(*columns)
+    of_many = chosen.join(again, doc_id, "left_semi").groupBy(doc_id).agg(F.min(order).alias("_row")).select(*back)
+    out = once.unionByName(of_many)
+    lone = classes.where("component_id is null").select("fingerprint").distinct()
+    if not lone.isEmpty():  # classes without any id: the least row of each fingerprint
+        name = fresh(docs, "_fp")
+        lost = with_fingerprint(docs.where(F.col(doc_id).isNull()), text, name=name)
+        lost = lost.withColumn(name, F.lower(F.lpad(F.hex(name), 16, "0"))).join(lone.withColumnRenamed("fingerprint", name), name, "left_semi")
+        least = lost.groupBy(name).agg(F.min(order).alias("_row")).withColumn(doc_id, F.lit(None).cast(docs.schema[doc_id].dataType))
+        out = out.unionByName(least.select(*back))
     return out

@@ -73,5 +73,23 @@ def test_stages_match_brute_force(spark):
         assert at <= 1024
 
 
+def test_stages_keep_clashing_columns_nulls_and_empty_tables(spark):
+    """Extra columns may have any name, those of intermediate columns too; null ids, texts and metadata do no harm."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(120)
+    extra = {"_quality": "q", "_language": "x", "_source": "s", "_tokens": "t", "_selected": "y", "_fp": "f", "a.b": "d", "_row": "r", "_n": "n", "fp": "p"}
+    for name, value in extra.items():
+        docs = docs.withColumn(name, mixing.F.lit(value))
+    none = docs.limit(3).withColumns({"doc_id": mixing.F.lit(None).cast("long"), "source": mixing.F.lit(None).cast("string"), "lang": mixing.F.lit(None).cast("string")})
+    blank = docs.limit(2).withColumns({"doc_id": mixing.F.lit(9_000_001).cast("long"), "text": mixing.F.lit(None).cast("string"), "n_chars": mixing.F.lit(None).cast("long")})
+    rows = docs.unionByName(none).unionByName(blank)
+    for name, stage in C.STAGES[:-1]:
+        got = stage(spark, rows, SF)
+        assert got.columns == rows.columns, name
+        kept = got.collect()
+        assert kept and all(r["_quality"] == "q" and r["_source"] == "s" and r["a.b"] == "d" and r["_row"] == "r" for r in kept), name
+        assert stage(spark, rows.limit(0), SF).collect() == [], name
+    assert C.packed(spark, rows, SF).where("doc_id is null").count() >= 3
+
+
 def test_names_and_order():
     assert [n for n, _ in C.STAGES] == ["quality_classifier", "language_id", "near_duplicates", "mixing", "packing"]
