@@ -118,6 +118,7 @@ def cutoffs(rows: DataFrame, labels: DataFrame, allowed: float = ALLOWED, delta:
     each = F.explode(F.array(*[F.struct(F.lit(r).alias("rule"), level(r).alias("level")) for r in RULES])).alias("x")
     hist = known.select("stratum", "quality", each).groupBy("stratum", F.col("x.rule").alias("rule"), F.col("x.level").alias("level"))
     hist = hist.agg(F.sum((F.col("quality") >= 1).cast("long")).alias("good"), F.sum((F.col("quality") < 1).cast("long")).alias("bad"))
+    hist = materialize(hist, "levels")
     # rejected at the j-th strictest cutoff: all whose level is at least j
     most = max(len(c) for _, c in RULES.values())
     reach = hist.withColumn("j", F.explode(F.sequence(F.lit(0), F.col("level"))))
@@ -126,9 +127,9 @@ def cutoffs(rows: DataFrame, labels: DataFrame, allowed: float = ALLOWED, delta:
     grid = F.explode(F.sequence(F.lit(1), F.lit(most))).alias("level")
     tests = totals.select("stratum", "rule", "n_good", grid).join(at, ["stratum", "rule", "level"], "left")
     tests = tests.fillna(0, ["false_rejected", "bad_rejected"])
-    n_tests = hist.select("stratum").distinct().agg((F.count(F.lit(1)) * sum(len(c) for _, c in RULES.values())).alias("n_tests"))
+    n_tests = max(1, hist.select("stratum").distinct().count()) * sum(len(c) for _, c in RULES.values())
     alpha = allowed / len(RULES)
-    sure = tests.join(F.broadcast(n_tests)).where((F.col("n_good") > 0) & (binomial_tail(F.col("n_good"), F.col("false_rejected"), alpha) <= F.log(F.lit(delta) / F.col("n_tests"))))
+    sure = tests.where((F.col("n_good") > 0) & (binomial_tail(F.col("n_good"), F.col("false_rejected"), alpha) <= F.log(F.lit(delta / n_tests))))
     worth = F.col("bad_rejected") - GOOD_COST * F.col("false_rejected")
     best = sure.where(worth > 0).groupBy("stratum", "rule").agg(F.max_by(F.struct("level", "n_good", "false_rejected", "bad_rejected"), F.struct(worth, F.col("level"))).alias("b"))
     cut = F.create_map(*[x for r, (_, cuts) in RULES.items() for x in (F.lit(r), F.array(*map(F.lit, cuts)))])
