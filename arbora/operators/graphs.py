@@ -25,9 +25,10 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", most_rounds: int =
         up = labels.select(F.col("node").alias("comp"), F.col("comp").alias("grand"))
         known = stage(lookup(labels, up, "comp", n).select("node", "comp", "grand"), "grandparents")
         near = both.join(known.select(F.col("node").alias("y"), "grand"), "y").groupBy(F.col("x").alias("node")).agg(F.min("grand").alias("near"))
-        seen = stage(known.join(near, "node").select("node", "comp", F.least("grand", "near").alias("best")), "neighbours")
-        hooks = seen.groupBy(F.col("comp").alias("node")).agg(F.min("best").alias("hook"))
-        labels = stage(seen.join(hooks, "node", "left").select("node", F.col("comp").alias("was"), F.least("comp", "best", "hook").alias("comp")), "labels")
+        seen = known.join(near, "node").select("node", "comp", F.least("comp", "grand", "near").alias("best"))
+        hints = F.explode(F.array(F.struct("node", "best", F.col("comp").alias("was")), F.struct(F.col("comp").alias("node"), "best", F.lit(None).cast(labels.schema["comp"].dataType).alias("was"))))
+        labels = seen.select(hints.alias("h")).groupBy(F.col("h.node").alias("node")).agg(F.max("h.was").alias("was"), F.min("h.best").alias("comp"))
+        labels = stage(labels, "labels")
         if labels.where("was <> comp").isEmpty():
             return labels.select("node", "comp")
         labels = labels.select("node", "comp")

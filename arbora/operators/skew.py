@@ -38,19 +38,17 @@ def stage(df: DataFrame, name: str = "stage") -> DataFrame:
 def lookup(left: DataFrame, right: DataFrame, key: str, total: int) -> DataFrame:
     """Left join of ``left`` (``total`` rows, any skew) with ``right`` (one row a key, key not null).
 
-    Keys with over HOT_SHARE of the rows (at most 200 of them, hence the broadcasts) are looked up in a broadcast
-    table, all others by a shuffled join, so that no task gets a hot key whole.
+    Keys with over HOT_SHARE of the rows, at most 200 of them, are looked up in a broadcast of their rows of ``right``,
+    all others by a join that Spark plans by size, so that no task gets a hot key whole.
     """
     least = max(HOT_LEAST, int(total * HOT_SHARE))
-    hot = left.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where((F.col("_n") > least) & F.col(key).isNotNull()).select(key)
-    hot = stage(hot.coalesce(1), "hot-keys")
-    hot_right = right.join(F.broadcast(hot), key, "left_semi")
-    cold = left.join(F.broadcast(hot), key, "left_anti").join(right, key, "left")
-    warm = left.join(F.broadcast(hot_right), key, "inner")
-    # a hot key that ``right`` lacks keeps its rows
-    rest = left.join(F.broadcast(hot.join(F.broadcast(hot_right.select(key)), key, "left_anti")), key, "left_semi")
-    lacking = [F.lit(None).cast(f.dataType).alias(f.name) for f in right.schema if f.name != key]
-    return cold.unionByName(warm).unionByName(rest.select("*", *lacking))
+    counts = left.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where((F.col("_n") > least) & F.col(key).isNotNull())
+    hot = [r[0] for r in counts.select(key).limit(int(1 / HOT_SHARE) + 1).collect()]
+    if not hot:
+        return left.join(right, key, "left")
+    is_hot = F.coalesce(F.col(key).isin(hot), F.lit(False))
+    cold = left.where(~is_hot).join(right, key, "left")
+    return cold.unionByName(left.where(is_hot).join(F.broadcast(right.where(is_hot)), key, "left"))
 
 
 #: Rows that a numbering task takes.

@@ -158,6 +158,17 @@ def test_numbering_over_ranges(spark, monkeypatch):
     assert skew.numbered_rows(spark.createDataFrame([], "v long"), "k", "v").isEmpty()
 
 
+def test_lookup_with_hot_missing_and_null_keys(spark, monkeypatch):
+    from arbora.operators import skew
+
+    left = [("hot", i) for i in range(50)] + [("lacking", i) for i in range(40)] + [("cold", 1), ("none", 2), (None, 3)]
+    df, right = spark.createDataFrame(left, "k string, v int"), spark.createDataFrame([("hot", "h"), ("cold", "c")], "k string, w string")
+    want = sorted(((k, v, {"hot": "h", "cold": "c"}.get(k)) for k, v in left), key=str)
+    for least in (1, 10, 10**6):
+        monkeypatch.setattr(skew, "HOT_LEAST", least)
+        assert sorted((tuple(r) for r in skew.lookup(df, right, "k", 100).collect()), key=str) == want
+
+
 def test_strict_joins(spark):
     left = spark.createDataFrame([(1,), (2,)], "k long")
     right = spark.createDataFrame([(1, "a")], "k long, v string")
