@@ -276,7 +276,8 @@ def stream_window_counts(spark, sf):
     """Hourly counts by a stream that reads what is there and stops; its result is read back."""
     schema = table(spark, sf, "events").schema
     stream = spark.readStream.schema(schema).option("pathGlobFilter", "*.parquet").parquet(f"{sf}/events.parquet*")
-    stream = stream.select(F.col("ts").cast("timestamp").alias("ts"), "event_type", F.col("value").cast("decimal(18,2)").alias("value"))
+    at = F.timestamp_micros(F.expr("timestampdiff(MICROSECOND, timestamp_ntz'1970-01-01', ts)"))  # in any session time zone
+    stream = stream.select(at.alias("ts"), "event_type", F.col("value").cast("decimal(18,2)").alias("value"))
     base = f"{graphs.stage_root(spark)}/stream-{uuid.uuid4().hex}"
     counts = ingest.window_counts(stream, "ts", "event_type", "value")
     # the open windows are wanted, too, so each batch rewrites the whole result, by executors
