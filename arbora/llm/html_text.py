@@ -170,6 +170,25 @@ def _sig(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
+#: Multiplications up to which BLAS stays in one thread; waiting threads would cost far more than these products.
+SMALL = 1 << 18
+
+
+def product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """a @ b by runs of rows."""
+    step = max(1, SMALL // max(1, b.size))
+    return a @ b if len(a) <= step else np.concatenate([a[i : i + step] @ b for i in range(0, len(a), step)])
+
+
+def gram(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """a.T @ b by runs of rows."""
+    step = max(1, SMALL // max(1, a.shape[1] * b.shape[1]))
+    out = a[:step].T @ b[:step]
+    for i in range(step, len(a), step):
+        out += a[i : i + step].T @ b[i : i + step]
+    return out
+
+
 class Labeller:
     def __init__(self, seed: int = 19):
         rng, wide = np.random.default_rng(seed), PATH_DIM + WORD_DIM + DENSE
@@ -184,11 +203,11 @@ class Labeller:
 
     def scan(self, s: Sequences, x: np.ndarray, d: str, keep: list | None = None) -> np.ndarray:
         """Hidden state at every block, of the LSTM that reads forward or backward."""
-        z, where, n = x @ self.p[f"x{d}"] + self.p[f"b{d}"], s.forward if d == "f" else s.backward, len(s.pages)
+        z, where, n = product(x, self.p[f"x{d}"]) + self.p[f"b{d}"], s.forward if d == "f" else s.backward, len(s.pages)
         h, c, out, w = np.zeros((n, HIDDEN), np.float32), np.zeros((n, HIDDEN), np.float32), np.zeros((len(x), HIDDEN), np.float32), self.p[f"h{d}"]
         for t, m in enumerate(s.active):
             at = where[t, :m]
-            g = z[at] + h[:m] @ w
+            g = z[at] + product(h[:m], w)
             gates, new = _sig(g[:, : 3 * HIDDEN]), np.tanh(g[:, 3 * HIDDEN :])
             i, f, o = gates[:, :HIDDEN], gates[:, HIDDEN : 2 * HIDDEN], gates[:, 2 * HIDDEN :]
             before, was = c[:m].copy(), h[:m].copy()
@@ -225,10 +244,10 @@ class Labeller:
                 c = dc[:m] + a * o * (1 - squashed * squashed)
                 grad = np.concatenate([c * new * i * (1 - i), c * before * f * (1 - f), a * squashed * o * (1 - o), c * i * (1 - new * new)], 1)
                 dz[at] = grad
-                g[f"h{d}"] += was.T @ grad
-                dh[:m], dc[:m] = grad @ w.T, c * f
-            g[f"x{d}"], g[f"b{d}"] = x.T @ dz, dz.sum(0)
-            dx += dz @ self.p[f"x{d}"].T
+                g[f"h{d}"] += gram(was, grad)
+                dh[:m], dc[:m] = product(grad, w.T), c * f
+            g[f"x{d}"], g[f"b{d}"] = gram(x, dz), dz.sum(0)
+            dx += product(dz, self.p[f"x{d}"].T)
         for name, cols, items, starts, scale in (("path", slice(0, PATH_DIM), s.paths, s.path_starts, 2.0), ("word", slice(PATH_DIM, PATH_DIM + WORD_DIM), s.words, s.word_starts, 1.0)):
             n = np.maximum(1, np.diff(starts))
             each = np.repeat(dx[:, cols] * scale / n[:, None], np.diff(starts), axis=0)
