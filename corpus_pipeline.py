@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from arbora.llm import cotraining, language_id, mixing, packing, simhash
+from arbora.llm import cotraining, language_id, mixing, near_copies, packing
 from arbora.llm.queries import tokenizer_path
 from arbora.llm.shared import materialize, read
 
@@ -26,8 +26,8 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each near-duplicate class: that with the smallest id."""
-    return simhash.drop_near_duplicates(docs)
+    """One row of each class that five-word Jaccard similarities of at least 0.8 link: that with the smallest id."""
+    return near_copies.drop_near_copies(docs)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
