@@ -94,35 +94,49 @@ class Encoder:
     """Token ids of texts under a byte-level BPE file of the tokenizers library.
 
     The file's own vocabulary is run by the tiktoken engine, which gives the same ids (tests hold it against the
-    library itself) in a fifth of the time: a token's rank among the merges is its id.
+    library itself) in a fifth of the time: a token's rank among the merges is its id.  With ``added`` the file's added
+    tokens are single ids where a text spells them, as the library has it by default; else they are text like any other.
+    Texts that spell them, and those with white space in runs too long for the engine, go to the library.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, added: bool = False):
         import json
         import re
 
         import tiktoken
+        from tokenizers import Tokenizer
 
         data = json.loads(open(path, encoding="utf-8").read())
         shown = [*range(33, 127), *range(161, 173), *range(174, 256)]  # bytes that stand for themselves in the file
         octet = {chr(x): x for x in shown} | {chr(256 + i): x for i, x in enumerate(x for x in range(256) if x not in shown)}
         special = {t["content"] for t in data.get("added_tokens", [])}
         ranks = {bytes(octet[c] for c in token): i for token, i in data["model"]["vocab"].items() if token not in special}
+        self.library = Tokenizer.from_file(path)
+        self.library.encode_special_tokens = not added
+        self.added = sorted(special) if added else []
         self.coder = tiktoken.Encoding(re.sub(r"\W", "_", path), pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
     def __call__(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, each followed by END, and where each text's ids start (one more than texts)."""
-        each = [x for t in texts for x in (self.coder.encode_to_numpy(t, disallowed_special=()), [END])]
+        each = [x for t in texts for x in (self.one(t), [END])]
         bounds = np.zeros(len(texts) + 1, dtype=np.int64)
         np.cumsum([len(x) + 1 for x in each[::2]], out=bounds[1:])
         return np.concatenate(each).astype(np.uint32), bounds
 
+    def one(self, text: str) -> np.ndarray:
+        if not any(token in text for token in self.added):
+            try:
+                return self.coder.encode_to_numpy(text, disallowed_special=())
+            except ValueError:  # the engine's expression gives up on a million white-space characters in a row
+                pass
+        return np.array(self.library.encode(text, add_special_tokens=False).ids, dtype=np.uint32)
+
 
 PIECES = pa.schema([("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int32()), ("ids_crc32", pa.int64()), ("part", pa.int32()), ("rank", pa.int64())])
 PIECES_SQL = "piece int, start long, length int, ids_crc32 long, part int, rank long"
 
 
-def pieces_of(docs: DataFrame, path: str, capacity: int = CAPACITY) -> DataFrame:
+def pieces_of(docs: DataFrame, path: str, capacity: int = CAPACITY, added: bool = False) -> DataFrame:
     """doc_id and a row a piece: its document's ids before it, its length and checksum, the task that cut it and its rank there.
 
     A document is cut only if longer than ``capacity``: into pieces of that length, the first of which may be shorter.
@@ -134,7 +148,7 @@ def pieces_of(docs: DataFrame, path: str, capacity: int = CAPACITY) -> DataFrame
 
         from pyspark import TaskContext
 
-        encoder, part = Encoder(path), TaskContext.get().partitionId()
+        encoder, part = Encoder(path, added), TaskContext.get().partitionId()
         seen = np.zeros(capacity + 1, dtype=np.int64)
         for batch in batches:
             keys = batch.column(0)
@@ -155,13 +169,13 @@ def pieces_of(docs: DataFrame, path: str, capacity: int = CAPACITY) -> DataFrame
     return docs.select("doc_id", "text").mapInArrow(cut, f"doc_id {id_type.simpleString()}, {PIECES_SQL}")
 
 
-def pack(docs: DataFrame, tokenizer: str, caps: Capacities = Capacities(), rule: str = "norm") -> DataFrame:
+def pack(docs: DataFrame, tokenizer: str, caps: Capacities = Capacities(), rule: str = "norm", added: bool = False) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32, sequence_id, offset: a row a piece of each row of ``docs``.
 
     Null and empty texts are one piece of the end token.  Repeated rows and rows with a null id are packed like any
-    other.  An empty table packs to none.  Other columns are not read.
+    other.  An empty table packs to none.  Other columns are not read.  ``added`` is that of ``Encoder``.
     """
-    pieces = materialize(pieces_of(docs, tokenizer, caps.tokens), "pieces")
+    pieces = materialize(pieces_of(docs, tokenizer, caps.tokens, added), "pieces")
     counts = materialize(pieces.groupBy("part", "length").agg(F.count(F.lit(1)).alias("n")), "lengths")
     histogram = {r["length"]: r["n"] for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect()}  # a row a length
     slots = docs.sparkSession.sparkContext.broadcast(tuple(plan(histogram, caps, rule=rule)))

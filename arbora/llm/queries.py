@@ -29,7 +29,7 @@ def op3_flac(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(read(spark, sf_dir, "documents"), tokenizer_path())
+    return packing.pack(read(spark, sf_dir, "documents"), tokenizer_path(), added=True)
 
 
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
