@@ -32,7 +32,17 @@ def stage(df: DataFrame, name: str = "stage") -> DataFrame:
     """Writes ``df`` to the shared folder and reads it back: cuts lineage and survives lost executors."""
     path = new_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._staged_at = path
+    return out
+
+
+def discard(*staged: DataFrame) -> None:
+    """Deletes the folders of tables that ``stage`` returned, once nothing will read them any more."""
+    for df in staged:
+        spark, path = df.sparkSession, df._staged_at
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def lookup(left: DataFrame, right: DataFrame, key: str, total: int) -> DataFrame:
