@@ -1,11 +1,14 @@
 """Near copies: rows whose sets of five-word shingles have a Jaccard similarity of at least 0.8, and the classes they link.
 
-The search is exact.  Shingles are put in one global order; a set of n shingles has its first n // 5 + 1 as prefix, and
-two sets at 0.8 or more share a shingle of both prefixes.  Any order will do: shingles that a bounded sample of
-documents repeats come last, so that prefixes hold rare ones.  Of the sets that share a prefix shingle each is first
-compared with the least one; sets that are still in different classes are then compared with each other.  Pairs are
-sifted by size, by place and by parity (1024 bits, each the parity of the shingles that fall on it: sets differ by no
-fewer shingles than bits), none of which loses a pair, and those left are verified by their whole sets.
+Candidates come from two searches, and whole sets decide.  The first is the SimHash operator's: fingerprints of the
+shingles, generalised pigeonhole, two differing bits.  At a similarity of 0.8 some ten of 64 bits differ, though, and
+no allotment of ten bits to partitions of 64 is selective, so a second search probes partitions of another
+fingerprint: the least values of BANDS * ROWS permutations of the shingles, in BANDS groups of ROWS, one of which two
+similar sets share but for a chance of (1 - 0.8 ** ROWS) ** BANDS, 3 in a million at 0.8 and less above it.
+
+Sets are first compared with one hub: the set of their buckets that shares most buckets with others.  Buckets whose
+sets are then still in different classes are compared set by set; pairs are sifted by size and by parity (1024 bits,
+each the parity of the shingles that fall on it: sets differ by no fewer shingles than bits), which loses no pair.
 """
 
 from __future__ import annotations
@@ -15,16 +18,16 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from arbora.llm.shared import fresh, lookup, materialize, quoted
+from arbora.llm import simhash
+from arbora.llm.shared import discard, lookup, materialize, quoted
 from arbora.operators.graphs import components
 
 SEED = 42
 SHINGLE = 5
+BANDS, ROWS = 32, 5
 WORDS = 16  # longs of parity
-#: Bounds of the sample that orders shingles; they change the cost, never the result.
-SAMPLE = 2_000
-SAMPLE_CHARS = 20_000
-MOST_COMMON = 200_000
+CHUNK = 1_024
+SIGNATURE = "sid long, n int, fp long, bits array<long>, bands array<long>"
 
 
 def shingles(text: str | None) -> np.ndarray:
@@ -45,36 +48,42 @@ def similar(a: np.ndarray, b: np.ndarray) -> bool:
     return 9 * both >= 4 * (len(a) + len(b))
 
 
-def common_shingles(docs: DataFrame, text: str) -> tuple[np.ndarray, np.ndarray]:
-    """Shingles that several of a bounded sample of different texts hold, sorted, and in how many."""
-    every = max(1, docs.count() // SAMPLE)
-    got = docs.select(F.substring(F.col(text), 1, SAMPLE_CHARS).alias("t")).where(F.pmod(F.xxhash64("t"), F.lit(every)) == 0).limit(2 * SAMPLE).toPandas()["t"]
-    found, n = np.unique(np.concatenate([np.zeros(0, dtype=np.uint64), *[shingles(t) for t in got.unique()]]), return_counts=True)
-    top = np.sort(np.argsort(-n, kind="stable")[: min(MOST_COMMON, int((n > 1).sum()))])
-    return found[top], n[top]
+def permutations() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Odd factors and offsets of the permutations of 32-bit values, and the factors that make keys of their minima."""
+    rng = np.random.default_rng(SEED)
+    n = BANDS * ROWS
+    return rng.integers(0, 1 << 32, n, dtype=np.uint32) | np.uint32(1), rng.integers(0, 1 << 32, n, dtype=np.uint32), rng.integers(0, 1 << 63, (BANDS, ROWS + 1), dtype=np.uint64) | np.uint64(1)
 
 
-def with_signature(docs: DataFrame, text: str, name: str) -> DataFrame:
-    """Adds a struct: ``sid`` of the set, its size ``n``, parity ``bits`` and ``prefix``."""
-    common = docs.sparkSession.sparkContext.broadcast(common_shingles(docs, text))
+def bands(sets: list[np.ndarray]) -> np.ndarray:
+    """A row of BANDS keys for each set; sets are read in runs of CHUNK shingles."""
+    factor, offset, mix = permutations()
+    least = np.full((len(sets), BANDS * ROWS), np.uint32(0xFFFFFFFF))
+    for i, s in enumerate(sets):
+        x = (s >> np.uint64(32)).astype(np.uint32)
+        for k in range(0, len(x), CHUNK):
+            np.minimum(least[i], (x[k : k + CHUNK, None] * factor + offset).min(0), out=least[i])
+    grouped = least.reshape(len(sets), BANDS, ROWS).astype(np.uint64)
+    key = (grouped * mix[:, :ROWS]).sum(2, dtype=np.uint64) + mix[:, ROWS]
+    return (key ^ (key >> np.uint64(31))).view(np.int64)
 
-    def one(t: str | None) -> tuple[int, int, np.ndarray, np.ndarray]:
-        import xxhash
 
-        s, (known, times) = shingles(t), common.value
-        rank = np.zeros(len(s), dtype=np.int64)
-        if len(known):
-            at = np.minimum(np.searchsorted(known, s), len(known) - 1)
-            rank = np.where(known[at] == s, times[at], 0)
-        prefix = s[np.lexsort((s, rank))][: len(s) // 5 + 1]
-        odd = np.bincount((s & np.uint64(64 * WORDS - 1)).astype(np.int64), minlength=64 * WORDS) & 1
-        sid = np.uint64(xxhash.xxh64_intdigest(s.tobytes(), SEED)).astype(np.int64)
-        return int(sid), len(s), np.packbits(odd.astype(np.uint8)).view(np.int64), prefix.view(np.int64)
+def signatures(texts: list[str | None]) -> pd.DataFrame:
+    """Of each text: ``sid`` of the set, its size ``n``, SimHash ``fp``, parity ``bits`` and ``bands``."""
+    import xxhash
+
+    sets = [shingles(t) for t in texts]
+    odd = np.stack([np.bincount((s & np.uint64(64 * WORDS - 1)).astype(np.int64), minlength=64 * WORDS) & 1 for s in sets]).astype(np.uint8)
+    return pd.DataFrame({
+        "sid": np.array([xxhash.xxh64_intdigest(s.tobytes(), SEED) for s in sets], dtype=np.uint64).view(np.int64), "n": [len(s) for s in sets],
+        "fp": np.array([simhash.fingerprint(s) for s in sets], dtype=np.uint64).view(np.int64), "bits": list(np.packbits(odd, axis=1).view(np.int64)), "bands": list(bands(sets)),
+    })
 
-    def batch(texts: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([one(t) for t in texts], columns=["sid", "n", "bits", "prefix"])
 
-    return docs.withColumn(name, F.pandas_udf(batch, "sid long, n int, bits array<long>, prefix array<long>")(F.col(text)))
+def with_signature(docs: DataFrame, text: str) -> DataFrame:
+    """``docs`` with the columns of SIGNATURE in place of the text."""
+    made = F.pandas_udf(lambda texts: signatures(texts.tolist()), SIGNATURE)
+    return docs.withColumn("_signature", made(F.col(text))).drop(text).select("*", "_signature.*").drop("_signature")
 
 
 def _sift(a: str, b: str) -> Column:
@@ -89,62 +98,101 @@ def _named(df: DataFrame, head: str) -> DataFrame:
 
 
 def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs (a, b) of set ids whose whole sets are similar; ``texts`` (sid, text) has a text or more for each id."""
-    pairs = materialize(pairs.distinct(), "pairs")
+    """The pairs (a, b) of set ids whose whole sets are similar; ``texts`` (place, text) has the text of each set.
+
+    The sets of ``b`` travel with the pairs; a hub that is ``a`` of very many of them is looked up in a broadcast.
+    """
     needed = pairs.select(F.col("a").alias("sid")).unionByName(pairs.select(F.col("b").alias("sid"))).distinct()
     whole = F.pandas_udf(lambda ts: pd.Series([shingles(t).tobytes() for t in ts]), "binary")
-    sets = materialize(texts.join(needed, "sid", "left_semi").dropDuplicates(["sid"]).select("sid", whole("text").alias("s")), "sets")
+    sets = materialize(texts(needed).select("sid", whole("text").alias("s")), "sets")
 
     def check(a: pd.Series, b: pd.Series) -> pd.Series:
-        return pd.Series([similar(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)) for x, y in zip(a, b, strict=True)], dtype=bool)
+        return pd.Series([x is not None and y is not None and similar(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)) for x, y in zip(a, b, strict=True)], dtype=bool)
 
-    both = pairs.join(_named(sets, "a_"), F.col("a") == F.col("a_sid")).join(_named(sets, "b_"), F.col("b") == F.col("b_sid"))
-    return materialize(both.where(F.pandas_udf(check, "boolean")("a_s", "b_s")).select("a", "b"), "links")
+    right = pairs.join(sets.select(F.col("sid").alias("b"), F.col("s").alias("b_s")), "b")
+    both = lookup(right, sets.select(F.col("sid").alias("a"), F.col("s").alias("a_s")), "a", pairs.count())
+    out = materialize(both.where(F.pandas_udf(check, "boolean")("a_s", "b_s")).select("a", "b"), "links")
+    discard(sets)
+    return out
 
 
-def links(signatures: DataFrame, texts: DataFrame) -> DataFrame:
-    """Links (a, b) of set ids whose closure is that of all similar pairs of ``signatures`` (sid, n, bits, prefix)."""
-    sets = materialize(signatures.dropDuplicates(["sid"]).where("n > 0"), "distinct")
-    facts = sets.select("sid", "n", *[F.col("bits")[i].alias(f"p{i}") for i in range(WORDS)])
-    alike = Window.partitionBy("shingle")
-    rows = sets.select("sid", F.posexplode("prefix").alias("pos", "shingle"))
-    rows = rows.withColumns({"many": F.count(F.lit(1)).over(alike), "least": F.min("sid").over(alike)}).where("many > 1")
-    rows = materialize(rows, "postings")
-    first = rows.where("sid <> least").select(F.col("least").alias("a"), F.col("sid").alias("b")).distinct()
-    first = first.join(_named(facts, "a_"), F.col("a") == F.col("a_sid")).join(_named(facts, "b_"), F.col("b") == F.col("b_sid"))
-    stars = _verified(first.where(_sift("a_", "b_")).select("a", "b"), texts)
+def hub_pairs(postings: DataFrame) -> DataFrame:
+    """(a, b): of each set of ``postings`` (key, sid, many) the hub of its buckets that shares most buckets with others."""
+    degree = postings.groupBy("sid").agg(F.sum("many").alias("degree"))
+    known = materialize(postings.join(degree, "sid"), "degrees")
+    hubs = known.groupBy("key").agg(F.max(F.struct("degree", "sid")).alias("hub"))
+    best = known.join(hubs, "key").groupBy("sid").agg(F.max("hub").alias("hub"))
+    return best.select(F.col("hub.sid").alias("a"), F.col("sid").alias("b")).where("a <> b")
+
+
+def links(sets: DataFrame, texts) -> DataFrame:
+    """Links (a, b) of set ids whose closure is that of all similar pairs of ``sets``, distinct rows of SIGNATURE, written.
+
+    ``texts``: from a table of needed ``sid`` to one of (sid, text).
+    """
+    some = sets.where("n > 0")
+    # the operator's own candidates: prints within two bits, and sets of one print
+    first = materialize(some.groupBy("fp").agg(F.min("sid").alias("least"), F.count(F.lit(1)).alias("sets")), "prints")
+    near = simhash.links(first.select("fp"), first.count())
+    at = lambda c, name: first.select(F.col("fp").alias(c), F.col("least").alias(name))
+    found = near.withColumnsRenamed({"a": "x", "b": "y"}).join(at("x", "a"), "x").join(at("y", "b"), "y").select("a", "b")
+    twins = some.select("sid", "fp").join(first.where("sets > 1"), "fp").where("sid <> least").select(F.col("least").alias("a"), F.col("sid").alias("b"))
+
+    rows = some.select("sid", F.explode("bands").alias("key"))
+    shared = materialize(rows.groupBy("key").agg(F.count(F.lit(1)).alias("many")).where("many > 1"), "buckets")
+    postings = materialize(rows.join(shared, "key"), "postings")
+    pairs = hub_pairs(postings).unionByName(found).unionByName(twins)
+    pairs = materialize(pairs.distinct(), "pairs")
+    sizes = some.select("sid", "n")
+    fits = pairs.join(_named(sizes, "a_"), F.col("a") == F.col("a_sid")).join(_named(sizes, "b_"), F.col("b") == F.col("b_sid")).where("5 * a_n >= 4 * b_n and 5 * b_n >= 4 * a_n")
+    stars = _verified(materialize(fits.select("a", "b"), "fits"), texts)
 
     comps = components(stars).withColumnRenamed("node", "sid")
-    left = rows.where("many > 2 and sid <> least").join(comps, "sid", "left").withColumn("comp", F.coalesce("comp", "sid"))
-    left = left.withColumns({"low": F.min("comp").over(alike), "high": F.max("comp").over(alike)}).where("low <> high")
-    left = materialize(left.select("shingle", "sid", "pos", "comp").join(facts, "sid"), "undecided")
+    left = postings.where("many > 2").join(comps, "sid", "left").withColumn("comp", F.coalesce("comp", "sid"))
+    open_ = left.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high").select("key")
+    facts = some.select("sid", "n", *[F.col("bits")[i].alias(f"p{i}") for i in range(WORDS)])
+    left = materialize(left.join(open_, "key", "left_semi").join(facts, "sid").drop("many"), "undecided")
     a, b = _named(left, "a_"), _named(left, "b_")
-    shared = 1 + F.least(F.col("a_n") - F.col("a_pos"), F.col("b_n") - F.col("b_pos")) - 1  # at most, if the shingle is the first they share
-    near = (F.col("a_shingle") == F.col("b_shingle")) & (F.col("a_sid") < F.col("b_sid")) & (F.col("a_comp") != F.col("b_comp"))
-    rest = a.join(b, near & (9 * shared >= 4 * (F.col("a_n") + F.col("b_n"))) & _sift("a_", "b_"))
-    return stars.unionByName(_verified(rest.select(F.col("a_sid").alias("a"), F.col("b_sid").alias("b")), texts))
+    apart = (F.col("a_key") == F.col("b_key")) & (F.col("a_sid") < F.col("b_sid")) & (F.col("a_comp") != F.col("b_comp"))
+    rest = a.join(b, apart & _sift("a_", "b_")).select(F.col("a_sid").alias("a"), F.col("b_sid").alias("b")).distinct()
+    rest = rest.join(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
+    out = materialize(stars.unionByName(_verified(materialize(rest, "rest"), texts)), "all_links")
+    discard(first, near, shared, postings, pairs, stars, left)
+    return out
 
 
 def drop_near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row of each class of near copies, with all columns: that with the smallest id; null ids come last.
 
     Null, empty and blank texts are one class.  Ids need not be unique: classes are made of texts, and of rows with one
-    id and one set of shingles the least by the other columns stays.
+    id and one text the least by the other columns stays.  Very long texts are read whole, in runs of shingles.
     """
-    sig, key = fresh(docs, "_signature"), fresh(docs, "_sid")
-    rows = materialize(with_signature(docs, text, sig).withColumn(key, F.col(sig)["sid"]), "signatures")
-    ids = rows.select(F.col(key).alias("sid"), F.col(quote(doc_id)).alias("id"))
-    found = components(links(rows.select(F.col(sig)["sid"].alias("sid"), *[F.col(sig)[c].alias(c) for c in ("n", "bits", "prefix")]), rows.select(F.col(key).alias("sid"), F.col(quote(text)).alias("text"))))
-    of_row = lookup(ids, found.withColumnRenamed("node", "sid"), "sid", ids.count()).withColumn("comp", F.coalesce("comp", "sid"))
-    best = of_row.groupBy("comp").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "sid")).alias("best"))
-    kept = materialize(best.select(F.col("best.id").alias("_kept_id"), F.col("best.sid").alias("_kept_sid")), "kept")
-    again = materialize(ids.groupBy("id", "sid").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("id").alias("_kept_id"), F.col("sid").alias("_kept_sid")), "repeated")
-    same = (rows[quote(key)] == F.col("_kept_sid")) & rows[quote(doc_id)].eqNullSafe(F.col("_kept_id"))
-    chosen = rows.drop(sig).join(kept, same, "left_semi")
+    key = F.xxhash64(F.coalesce(F.col(quote(text)), F.lit("")))  # of the text; with the id it names a row, or rows that say the same
+    plain = docs.select(F.col(quote(doc_id)).alias("id"), key.alias("th"), F.col(quote(text)).alias("text"))
+    rows = materialize(with_signature(plain, "text"), "signatures")
+    sets = materialize(rows.drop("id", "th").dropDuplicates(["sid"]), "sets_once")
+    named = materialize(rows.groupBy("sid").agg(F.min_by(F.struct("id", "th"), F.struct(F.col("id").isNull(), "id", "th")).alias("at")).select("sid", "at.*"), "places")
+
+    def texts(needed: DataFrame) -> DataFrame:
+        at = named.join(needed, "sid").select("sid", F.col("id").alias("_id"), F.col("th").alias("_th"))
+        return plain.join(at, (F.col("th") == F.col("_th")) & F.col("id").eqNullSafe(F.col("_id"))).select("sid", "text").dropDuplicates(["sid"])
+
+    found = components(links(sets, texts))
+    of_set = named.join(found.withColumnRenamed("node", "sid"), "sid", "left").withColumn("comp", F.coalesce("comp", "sid"))
+    best = of_set.groupBy("comp").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "th")).alias("best"))
+    kept = materialize(best.select(F.col("best.id").alias("_kept_id"), F.col("best.th").alias("_kept_th")), "kept")
+    again = rows.groupBy("id", "th").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select(F.col("id").alias("_kept_id"), F.col("th").alias("_kept_th"))
+    again = materialize(again.join(kept, (again["_kept_th"] == kept["_kept_th"]) & again["_kept_id"].eqNullSafe(kept["_kept_id"]), "left_semi"), "repeated")
+    discard(rows, sets, named)
+
+    same = (key == F.col("_kept_th")) & F.col(quote(doc_id)).eqNullSafe(F.col("_kept_id"))
+    chosen = docs.join(kept, same, "left_semi")
+    if again.isEmpty():  # no row is repeated
+        return chosen.select(*quoted(docs.columns))
     rest = [c for c in docs.columns if c != doc_id]
-    of_many = chosen.join(again, same, "left_semi").groupBy(key, quote(doc_id)).agg(F.min(F.struct(*quoted(rest))).alias("_least"))
+    least = chosen.join(again, same, "left_semi").groupBy(quote(doc_id), key.alias("_th_")).agg(F.min(F.struct(*quoted(rest))).alias("_least"))
     back = [F.col(quote(doc_id)) if c == doc_id else F.col(f"_least.{quote(c)}") for c in docs.columns]
-    return chosen.join(again, same, "left_anti").select(*quoted(docs.columns)).unionByName(of_many.select(*back))
+    return chosen.join(again, same, "left_anti").select(*quoted(docs.columns)).unionByName(least.select(*back))
 
 
 def quote(name: str) -> str:

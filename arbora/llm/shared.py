@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arbora.operators.skew import lookup, new_path
+from arbora.operators.skew import discard, lookup, new_path
 from arbora.operators.skew import stage as materialize
 
-__all__ = ["fold", "fresh", "lookup", "materialize", "new_path", "quoted", "read"]
+__all__ = ["discard", "fold", "fresh", "lookup", "materialize", "new_path", "quoted", "read"]
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:

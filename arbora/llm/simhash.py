@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from arbora.llm.shared import fresh, lookup, materialize, quoted
+from arbora.llm.shared import discard, fresh, lookup, materialize, quoted
 from arbora.operators.graphs import components
 
 SEED = 42
@@ -28,6 +28,8 @@ TAU = 2
 SHINGLE = 3
 SAMPLE = 20_000
 PAIR_LIMIT = 24
+MOST_BALLS = 3
+_OCTET_BITS = (np.arange(256)[:, None] >> np.arange(8)) & 1
 
 
 def simhash(text: str | None, shingle: int = SHINGLE) -> int:
@@ -40,10 +42,14 @@ def simhash(text: str | None, shingle: int = SHINGLE) -> int:
     digest, join = xxhash.xxh64_intdigest, b" ".join
     shifted = [words[i:] for i in range(shingle)]
     hashes = [digest(join(s), SEED) for s in zip(*shifted)] if len(words) >= shingle else [digest(join(words), SEED)]
-    octets = np.array(hashes, dtype="<u8").view(np.uint8).reshape(-1, 8)
+    return fingerprint(np.array(hashes, dtype=np.uint64))
+
+
+def fingerprint(hashes: np.ndarray) -> int:
+    """The bits that are set in over half the hashes (unsigned 64-bit); none: 0."""
+    octets = hashes.astype("<u8").view(np.uint8).reshape(-1, 8)
     seen = np.bincount((octets + np.arange(0, 2048, 256, dtype=np.int64)).ravel(), minlength=2048).reshape(8, 256)
-    table = (np.arange(256)[:, None] >> np.arange(8)) & 1
-    counts = (seen @ table).ravel()  # of bit 0 to 63
+    counts = (seen @ _OCTET_BITS).ravel()  # of bit 0 to 63
     return int(sum(1 << int(b) for b in np.flatnonzero(2 * counts > len(hashes))))
 
 
@@ -124,25 +130,45 @@ def _signed(x: int) -> int:
 
 
 def links(prints: DataFrame, total: int, tau: int = TAU, pair_limit: int = PAIR_LIMIT, sample: int = SAMPLE) -> DataFrame:
-    """Links (a, b), a < b, whose closure is that of all pairs of ``prints`` (distinct column fp) within ``tau`` bits."""
-    if tau != 2:
-        raise ValueError("the balls of large buckets are made for two bits")
+    """Links (a, b), a < b, whose closure is that of all pairs of ``prints`` (distinct column fp) within ``tau`` bits.
+
+    For any ``tau``; over MOST_BALLS bits large buckets are compared pair by pair, too, which costs the square of their size.
+    """
     every = max(1, total // sample)
-    got = prints.where(F.pmod(F.xxhash64("fp"), F.lit(every)) == 0).select("fp").limit(2 * sample).toPandas()["fp"].to_numpy(np.int64).view(np.uint64)
+    got = prints.where(F.pmod(F.xxhash64("fp"), F.lit(every)) == 0).select("fp").toPandas()["fp"].to_numpy(np.int64).view(np.uint64)
     masks = plan_masks(np.sort(got), total, tau)
     keys = F.array(*[F.col("fp").bitwiseAND(F.lit(_signed(m)).cast("long")) for m in masks])
     rows = prints.select("fp", F.posexplode(keys).alias("mask", "key"))
     sizes = materialize(rows.groupBy("mask", "key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "buckets")
     crowded = materialize(rows.join(sizes, ["mask", "key"]), "crowded")
-    small = crowded.where(F.col("n") <= pair_limit)
+    small = crowded.where(F.col("n") <= pair_limit) if tau <= MOST_BALLS else crowded
     a, b = small.withColumnRenamed("fp", "a"), small.withColumnRenamed("fp", "b")
     near = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= tau
-    pairs = a.join(b, (a["mask"] == b["mask"]) & (a["key"] == b["key"]) & (F.col("a") < F.col("b")) & near).select("a", "b")
-    large = crowded.where(F.col("n") > pair_limit).select("fp").distinct()
-    flips = F.array(F.col("fp"), *[F.col("fp").bitwiseXOR(F.lit(_signed(1 << i)).cast("long")) for i in range(BITS)])
-    balls = large.select("fp", F.explode(flips).alias("center")).groupBy("center").agg(F.collect_list("fp").alias("fps")).where("size(fps) > 1")
-    stars = balls.select(F.array_min("fps").alias("a"), F.explode("fps").alias("b")).where("a < b")
-    return materialize(pairs.unionByName(stars).distinct(), "links")
+    found = a.join(b, (a["mask"] == b["mask"]) & (a["key"] == b["key"]) & (F.col("a") < F.col("b")) & near).select("a", "b")
+    if tau <= MOST_BALLS:
+        found = found.unionByName(stars(crowded.where(F.col("n") > pair_limit).select("fp").distinct(), tau))
+    out = materialize(found.distinct(), "links")
+    discard(sizes, crowded)
+    return out
+
+
+def stars(prints: DataFrame, tau: int) -> DataFrame:
+    """Links (a, b) whose closure is that of all pairs within ``tau`` bits, without comparing pairs.
+
+    Prints within ``tau`` agree after the right ``tau - 2`` bits are cleared but for two, so that the balls of radius one
+    around them meet (for one bit: after one is cleared).  All that share cleared bits and a point of their balls are
+    within ``tau``, and are linked to the least of them.
+    """
+    if tau < 1:
+        return prints.select(F.col("fp").alias("a"), F.col("fp").alias("b")).limit(0)
+    one = lambda c, i: c.bitwiseXOR(F.lit(_signed(1 << i)).cast("long"))
+    cleared = [_mask(list(out)) for out in combinations(range(BITS), max(0, tau - 2) if tau > 1 else 1)]
+    kept = F.explode(F.array(*[F.lit(_signed(~m & (1 << BITS) - 1)).cast("long") for m in cleared])).alias("kept")
+    rows = prints.select("fp", kept).withColumn("at", F.col("fp").bitwiseAND(F.col("kept")))
+    if tau > 1:
+        rows = rows.select("fp", "kept", F.explode(F.array(F.col("at"), *[one(F.col("at"), i) for i in range(BITS)])).alias("at"))
+    least = rows.groupBy("kept", "at").agg(F.min("fp").alias("a"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    return rows.join(least, ["kept", "at"]).select("a", F.col("fp").alias("b")).where("a < b").distinct()
 
 
 def near_duplicate_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE, tau: int = TAU) -> DataFrame:
