@@ -2,9 +2,11 @@
 
 Token labels come from document labels: a word of a toxic training document is labelled toxic if the word, or its
 first four or five letters, marks toxic documents (found in several, and hardly in others).  The field has two states
-and features of the word, its prefixes and suffix, and of its neighbours.  Chains are blocks of CHAIN words, so every
-word of a text of any length lies in one.  Forward-backward gives each word's marginal; their maximum and sum, fed to
-a logistic calibration on the training documents, give the document's score.
+and features of the word, its prefixes and suffix, and of its neighbours.  A text of any length is one chain: the
+messages are ratios of two potentials, so that a step is a Moebius map; the maps of runs of STEPS words are multiplied
+for all runs at once, which gives what enters each run, and then all runs advance together.  Forward-backward gives each
+word's marginal; their maximum and sum, fed to a logistic calibration on the training documents, give the document's
+score.
 """
 
 from __future__ import annotations
@@ -21,13 +23,12 @@ from arbora.llm.shared import fold
 from arbora.llm.tokens import WORD, encode, fit_logistic, hashed, logistic, slices
 
 FOLDS, HELD_OUT = 5, 0
-#: Bounds of the training sample: toxic and other documents, and characters of each document's excerpt.
+#: Bounds of the training sample: toxic and other documents, each read whole.
 SAMPLE_TOXIC, SAMPLE_CLEAN = 1_200, 1_800
-EXCERPT = 6_000
 SIZE = 1 << 18
 #: A cue must be found in so many toxic documents that the log of the chance of none of them being clean is below this.
 LUCK = -6.0
-CHAIN = 128
+STEPS = 128
 ROUNDS = 40
 
 
@@ -50,45 +51,49 @@ def is_cue(word: str, marks: set[str]) -> bool:
     return f"w{word}" in marks or (len(word) >= 4 and f"4{word[:4]}" in marks) or (len(word) >= 5 and f"5{word[:5]}" in marks)
 
 
-class Chains:
-    """The words of some texts laid out as rows of CHAIN words; ``at`` has each word's place in the flat layout."""
-
-    def __init__(self, codes: np.ndarray, starts: np.ndarray):
-        lengths = np.diff(starts)
-        rows = -(-lengths // CHAIN)
-        first = np.concatenate([[0], np.cumsum(rows)])
-        self.n = int(first[-1])
-        self.doc = np.repeat(np.arange(len(lengths)), lengths)
-        self.at = first[self.doc] * CHAIN + (np.arange(len(codes)) - starts[self.doc])
-        self.real = np.zeros(self.n * CHAIN, dtype=bool)
-        self.real[self.at] = True
-        self.real = self.real.reshape(self.n, CHAIN)
-
-    def grid(self, values: np.ndarray) -> np.ndarray:
-        out = np.zeros(self.n * CHAIN)
-        out[self.at] = values
-        return out.reshape(self.n, CHAIN)
-
+def _entering(a: np.ndarray, b: np.ndarray, c: np.ndarray, d: np.ndarray, first: float) -> np.ndarray:
+    """What enters each row if x becomes (a x + b) / (c x + d) at each of its places (columns), and rows follow each other."""
+    p, q, r, s = a[:, 0].copy(), b[:, 0].copy(), c[:, 0].copy(), d[:, 0].copy()
+    for i in range(1, a.shape[1]):
+        p, q, r, s = a[:, i] * p + b[:, i] * r, a[:, i] * q + b[:, i] * s, c[:, i] * p + d[:, i] * r, c[:, i] * q + d[:, i] * s
+        if i % 4 == 3:
+            scale = p + q + r + s
+            p, q, r, s = p / scale, q / scale, r / scale, s / scale
+    out, x = np.empty(len(p)), first
+    for k, (w, y, u, v) in enumerate(zip(p.tolist(), q.tolist(), r.tolist(), s.tolist(), strict=True)):
+        out[k] = x
+        x = (w * x + y) / (u * x + v)
+    return out
 
-def _carry(r: np.ndarray, t: np.ndarray) -> np.ndarray:
-    """Log odds of the next state from those of this one; t[i, j]: log potential from state i to j."""
-    return np.logaddexp(r + t[1, 1], t[0, 1]) - np.logaddexp(r + t[1, 0], t[0, 0])
 
+def messages(a: np.ndarray, b: np.ndarray, c: np.ndarray, d: np.ndarray) -> np.ndarray:
+    """x after each place of a sequence of maps x -> (a x + b) / (c x + d), the first of which has no use for x."""
+    n = len(a)
+    rows = -(-n // STEPS)
+    grid = [np.concatenate([v, np.full(rows * STEPS - n, fill)]).reshape(rows, STEPS) for v, fill in ((a, 1.0), (b, 0.0), (c, 0.0), (d, 1.0))]
+    x, out = _entering(*grid, 1.0), np.empty((STEPS, rows))
+    a, b, c, d = (np.ascontiguousarray(v.T) for v in grid)
+    for i in range(STEPS):
+        x = (a[i] * x + b[i]) / (c[i] * x + d[i])
+        out[i] = x
+    return out.T.ravel()[:n]
 
-def _carry_back(r: np.ndarray, t: np.ndarray) -> np.ndarray:
-    return np.logaddexp(r + t[1, 1], t[1, 0]) - np.logaddexp(r + t[0, 1], t[0, 0])
 
+def forward_backward(e: np.ndarray, first: np.ndarray, start: float, t: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Log odds of the toxic state at each word, and the forward and backward messages (log odds) they come from.
 
-def forward_backward(e: np.ndarray, real: np.ndarray, start: float, t: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Log odds of the toxic state at each place, and the forward and backward messages (log odds) they come from."""
-    n, k = e.shape
-    f, b = np.zeros((k, n)), np.zeros((k, n))
-    e, real = np.ascontiguousarray(e.T), np.ascontiguousarray(real.T)
-    for i in range(k):
-        f[i] = e[i] + (_carry(f[i - 1], t) if i else start)
-    for i in range(k - 2, -1, -1):
-        b[i] = np.where(real[i + 1], _carry_back(b[i + 1] + e[i + 1], t), 0.0)
-    return (f + b).T, f.T, b.T
+    ``e``: log odds of the words by themselves; ``first``: whether a word starts a text; t[i, j]: log potential from
+    state i to j.
+    """
+    if not len(e):
+        return e, e, e
+    here, to = np.exp(np.clip(e, -30, 30)), np.exp(np.clip(t, -12, 12))
+    go = ~first
+    f = messages(here * to[1, 1] * go, here * np.where(first, np.exp(np.clip(start, -30, 30)), to[0, 1]), to[1, 0] * go, np.where(first, 1.0, to[0, 0]))
+    go, after = np.append(go[1:], False), np.append(here[1:], 1.0)  # whether another word of the text follows
+    b = messages(*(v[::-1] for v in (after * to[1, 1] * go, np.where(go, to[1, 0], 1.0), after * to[0, 1] * go, np.where(go, to[0, 0], 1.0))))[::-1]
+    f, b = np.log(f), np.log(b)
+    return f + b, f, b
 
 
 class Field:
@@ -114,44 +119,31 @@ class Field:
 
     def marginals(self, codes: np.ndarray, starts: np.ndarray, features: np.ndarray) -> np.ndarray:
         """Log odds of every word's toxic state."""
-        chains = Chains(codes, starts)
-        if not chains.n:
-            return np.zeros(0)
-        odds, _, _ = forward_backward(chains.grid(self.emissions(codes, starts, features)), chains.real, self.start, self.t)
-        return odds.ravel()[chains.at]
+        return forward_backward(self.emissions(codes, starts, features), firsts(starts), self.start, self.t)[0]
 
     def fit(self, codes: np.ndarray, starts: np.ndarray, features: np.ndarray, y: np.ndarray, rounds: int = ROUNDS, rate: float = 0.3, l2: float = 1e-6) -> None:
         """Adagrad on the conditional likelihood of the token labels ``y``."""
-        chains = Chains(codes, starts)
-        if not chains.n:
+        if not len(codes):
             return
-        gold, real = chains.grid(y), chains.real
-        inner = np.ones(len(codes), dtype=bool)
-        inner[starts[:-1][np.diff(starts) > 0]] = False
-        here = np.flatnonzero(inner)
+        first = firsts(starts)
+        here, n = np.flatnonzero(~first), len(features)
+        is_t, next_t = y[here - 1], y[here]
         sums = [np.full(self.w.shape, 1e-3, dtype=np.float32), 1e-3, np.full((2, 2), 1e-3), 1e-3]
         scale = 1.0 / max(1.0, y.sum())
+        seen = np.array([((1 - is_t) * (1 - next_t)).sum(), ((1 - is_t) * next_t).sum(), (is_t * (1 - next_t)).sum(), (is_t * next_t).sum()]).reshape(2, 2)
         for _ in range(rounds):
-            e = chains.grid(self.emissions(codes, starts, features))
-            odds, f, b = forward_backward(e, real, self.start, self.t)
-            p = logistic(odds)
-            off = np.where(real, p - gold, 0.0)
-            g = off.ravel()[chains.at]
-            n = len(features)
+            e = self.emissions(codes, starts, features)
+            odds, f, b = forward_backward(e, first, self.start, self.t)
+            g = logistic(odds) - y
             by_word = [np.bincount(codes, g, n), np.bincount(codes[here - 1], g[here], n), np.bincount(codes[here], g[here - 1], n)]
             gw = np.stack([np.bincount(features.ravel(), np.repeat(x, features.shape[1]), SIZE) for x in by_word]) * scale + l2 * self.w
             # pairs of neighbouring states
-            both = real[:, 1:]
-            x, z = f[:, :-1], e[:, 1:] + b[:, 1:]
+            x, z = f[here - 1], e[here] + b[here]
             logs = np.stack([np.zeros_like(x) + self.t[0, 0], z + self.t[0, 1], x + self.t[1, 0], x + z + self.t[1, 1]])
-            logs -= logs.max(0)
-            pair = np.exp(logs)
+            pair = np.exp(logs - logs.max(0))
             pair /= pair.sum(0)
-            is_t, next_t = gold[:, :-1], gold[:, 1:]
-            seen = np.stack([(1 - is_t) * (1 - next_t), (1 - is_t) * next_t, is_t * (1 - next_t), is_t * next_t])
-            gt = ((pair - seen) * both).sum((1, 2)).reshape(2, 2) * scale
-            gs = (off[:, 0] * real[:, 0]).sum() * scale
-            gb = off.sum() * scale
+            gt = (pair.sum(1).reshape(2, 2) - seen) * scale
+            gs, gb = g[first].sum() * scale, g.sum() * scale
             for i, grad in enumerate((gw, gs, gt, gb)):
                 sums[i] = sums[i] + grad * grad
             self.w -= (rate * gw / np.sqrt(sums[0])).astype(np.float32)
@@ -160,6 +152,13 @@ class Field:
             self.bias -= rate * gb / np.sqrt(sums[3])
 
 
+def firsts(starts: np.ndarray) -> np.ndarray:
+    """Whether each word is the first of its text."""
+    out = np.zeros(int(starts[-1]), dtype=bool)
+    out[starts[:-1][np.diff(starts) > 0]] = True
+    return out
+
+
 def documents_of(odds: np.ndarray, starts: np.ndarray) -> np.ndarray:
     """A row a text: its greatest log odds (-10 without words, at most 10) and the log of its expected toxic words."""
     out = np.full((len(starts) - 1, 2), -10.0)
@@ -192,13 +191,13 @@ def train(texts: list[str], toxic: list[int]) -> Field:
 
 
 def training_sample(docs: DataFrame, labels: DataFrame) -> tuple[list[str], list[int]]:
-    """Excerpts and labels of a hash sample of labelled documents outside the held-out fold; of repeated labels the highest."""
+    """Whole texts and labels of a hash sample of labelled documents outside the held-out fold; of repeated labels the highest."""
     known = labels.where((fold("doc_id", FOLDS) != HELD_OUT) & F.col("toxic").isNotNull()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     counts = {bool(r["t"]): r["n"] for r in known.groupBy((F.col("toxic") > 0).alias("t")).agg(F.count(F.lit(1)).alias("n")).collect()}
     dice, top = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)), 1 << 30
     rate = {t: min(top, int(top * most / max(1, counts.get(t, 0))) + 1) for t, most in ((True, SAMPLE_TOXIC), (False, SAMPLE_CLEAN))}
-    few = known.where(dice < F.when(F.col("toxic") > 0, rate[True]).otherwise(rate[False])).limit(2 * (SAMPLE_TOXIC + SAMPLE_CLEAN))
-    rows = docs.select("doc_id", F.substring("text", 1, EXCERPT).alias("text")).where("text is not null").join(F.broadcast(few), "doc_id")
+    few = known.where(dice < F.when(F.col("toxic") > 0, rate[True]).otherwise(rate[False])).orderBy(dice, "doc_id").limit(2 * (SAMPLE_TOXIC + SAMPLE_CLEAN))
+    rows = docs.select("doc_id", "text").where("text is not null").join(F.broadcast(few), "doc_id")
     got = sorted(rows.groupBy("doc_id").agg(F.min("text").alias("text"), F.max("toxic").alias("toxic")).collect(), key=lambda r: r["doc_id"])
     return [r["text"] for r in got], [int(r["toxic"] > 0) for r in got]
 
@@ -251,7 +250,8 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     Learns from labels (doc_id, toxic) of documents outside the held-out fold; null ids and labels teach nothing, and
     with no label at all the score is that of an even prior.  Null and empty texts have no spans and the score of a
     text without toxic words.  Rows with a null id are scored and not held out; repeated rows are scored alike; other
-    columns are not read.
+    columns are not read.  A score of exactly 0.5 predicts 1; words at even odds are no span.  A very long text is one
+    chain, as any other.
     """
     field = train(*training_sample(docs, labels))
     judged = with_toxicity(docs.select("doc_id", "text"), field)
