@@ -23,11 +23,11 @@ from pyspark.sql import functions as F
 
 from arbora.llm.tokens import encode, memo, slices
 
-TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|iframe|svg|textarea|select)\b(?:\"[^\"]*\"|'[^']*'|[^>\"'])*>.*?(?:</\1\s*>|\Z)"
-    r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*)>|<[!?][^>]*>|([^<]+|<)",
-    re.S | re.I,
-)
+#: What follows "<" of a tag, matched in one pass without going back: a quote counts only where a value starts.
+TAG = re.compile(r"(/?)([a-zA-Z][^\s/>]*+)((?:[\s/]++|=\s*+(?:\"[^\"]*+\"|'[^']*+'|[^\s>]*+)|[^\s/>=]++)*+)>")
+#: Elements whose content is skipped up to their end tag; without one, those of the first kind hide the rest of the page.
+RAW, ASIDE = frozenset("script style textarea".split()), frozenset("noscript template iframe svg select".split())
+ENDS = {t: re.compile(rf"</{t}(?=[\s/>])[^>]*+>", re.I) for t in RAW | ASIDE}
 ATTRIBUTE = re.compile(r"\b(?:class|id|role|itemprop)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 WORD = re.compile(r"\w+")
 #: Elements that start and end blocks, and those without content.
@@ -42,81 +42,135 @@ PATHS, WORDS, PATH_DIM, WORD_DIM, DENSE, HIDDEN = 1024, 2048, 24, 8, 9, 16
 PAGES, EPOCHS, BATCH = 1_600, 8, 40
 
 
+def tokens(page: str) -> Iterator[tuple[str, str, str, str]]:
+    """(kind, text or tag name, attributes, slash) of a page's texts and tags, in one pass whatever the page holds.
+
+    As in a browser: "<" starts a tag only before a letter or a slash, comments end at "-->", and what is left open at
+    the end of the page is no text.
+    """
+    at, n, last = 0, len(page), page.rfind(">")
+    gone: set[str] = set()  # elements without an end tag from here on
+    while at < n:
+        k = page.find("<", at)
+        if k < 0:
+            yield "text", page[at:], "", ""
+            return
+        if k > at:
+            yield "text", page[at:k], "", ""
+        c = page[k + 1 : k + 2]
+        if c in "!?" and c or c == "/" and not page[k + 2 : k + 3].isalpha():
+            if page.startswith("<!--", k):
+                short = next((x for x in ("<!-->", "<!--->") if page.startswith(x, k)), None)
+                end = k + len(short) if short else page.find("-->", k + 4) + 3
+                at = end if end > k else n
+            else:
+                at = page.find(">", k) + 1 or n
+            continue
+        if not (c == "/" or c.isascii() and c.isalpha()):
+            yield "text", "<", "", ""
+            at = k + 1
+            continue
+        m = TAG.match(page, k + 1) if k < last else None
+        if m is None:
+            return
+        at, name, slash = m.end(), m.group(2).lower(), m.group(1)
+        if not slash and name in ENDS and name not in gone and not (name == "svg" and m.group(3).endswith("/")):
+            end = ENDS[name].search(page, at)
+            if end:
+                at = end.end()
+                continue
+            gone.add(name)
+            if name in RAW:
+                return
+        yield "tag", name, m.group(3), slash
+
+
+#: Names of so many of the nearest ancestors, and of so many of each one's words, describe a block.
+NEAR, NAMES = 48, 24
+
+
+class Element:
+    __slots__ = ("_path", "names", "parent", "tag")
+
+    def __init__(self, tag: str, names: tuple[str, ...], parent: Element | None):
+        self.tag, self.names, self.parent, self._path = tag, names, parent, None
+
+    def path(self) -> tuple[str, ...]:
+        if self._path is None:
+            own, e = [], self
+            while e is not None and len(own) < NEAR:
+                own.append(e.names)
+                e = e.parent
+            self._path = tuple(x for names in reversed(own) for x in names)
+        return self._path
+
+
 def blocks(page: str) -> list[tuple[tuple[str, ...], str, int, int]]:
     """(path, text, linked characters, characters) of each leaf block; blank ones are left out."""
     out: list[tuple[tuple[str, ...], str, int, int]] = []
-    stack: list[tuple[str, tuple[str, ...]]] = []
+    stack: list[Element] = []
+    where: dict[str, list[int]] = {}  # depths of open elements by tag
+    block_at: list[int] = []  # and of those that are blocks
     run: list[str] = []
-    linked, in_link = 0, 0
+    linked = 0
 
     def close() -> None:
         nonlocal linked
         if run:
             text = " ".join("".join(run).split())
             if text:
-                out.append((tuple(x for _, names in stack for x in names), text, linked, len(text)))
+                out.append((stack[-1].path() if stack else (), text, linked, len(text)))
             run.clear()
         linked = 0
 
     def pop_to(k: int) -> None:
-        nonlocal in_link
-        if any(t in BLOCKS for t, _ in stack[k:]):
+        if block_at and block_at[-1] >= k:
             close()
-        in_link -= sum(t == "a" for t, _ in stack[k:])
-        del stack[k:]
-
-    for m in TOKEN.finditer(page):
-        text = m.group(5)
-        if text is not None:
-            text = entities.unescape(text) if "&" in text else text
+        while len(stack) > k:
+            where[stack.pop().tag].pop()
+        while block_at and block_at[-1] >= k:
+            block_at.pop()
+
+    deepest = lambda tags: max((where[t][-1] for t in tags if where.get(t)), default=-1)
+    for kind, tag, attributes, slash in tokens(page):
+        if kind == "text":
+            text = entities.unescape(tag) if "&" in tag else tag
             run.append(text)
-            if in_link:
+            if where.get("a"):
                 linked += len(text.strip())
             continue
-        tag = m.group(3)
-        if tag is None:
-            continue
-        tag = tag.lower()
-        if m.group(2):
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == tag:
-                    pop_to(k)
-                    break
-            else:
-                if tag in BLOCKS:
-                    close()
+        if slash:
+            if where.get(tag):
+                pop_to(where[tag][-1])
+            elif tag in BLOCKS:
+                close()
             continue
         if tag in BLOCKS:
             close()
-            for k in range(len(stack) - 1, -1, -1):  # a paragraph ends where a block begins
-                if stack[k][0] == "p":
-                    pop_to(k)
-                    break
-                if stack[k][0] in BLOCKS:
-                    break
-            ends = CLOSES.get(tag, ())
-            for k in range(len(stack) - 1, -1, -1) if ends else ():
-                if stack[k][0] in ends:
-                    pop_to(k)
-                    break
-                if stack[k][0] in SCOPES:
-                    break
+            if block_at and stack[block_at[-1]].tag == "p":  # a paragraph ends where a block begins
+                pop_to(block_at[-1])
+            ends = CLOSES.get(tag)
+            if ends and (k := deepest(ends)) > deepest(SCOPES):
+                pop_to(k)
         if tag in VOID:
             if tag == "br":
                 run.append("\n")
             continue
-        attributes = m.group(4)
         names = [tag]
         if "=" in attributes:
             for a in ATTRIBUTE.finditer(attributes):
                 names += [f".{x}" for x in re.split(r"[\s_-]+", (a.group(1) or a.group(2) or a.group(3) or "").lower()) if x]
-        stack.append((tag, tuple(names)))
-        in_link += tag == "a"
+                if len(names) > NAMES:
+                    break
+        stack.append(Element(tag, tuple(names[: NAMES + 1]), stack[-1] if stack else None))
+        where.setdefault(tag, []).append(len(stack) - 1)
+        if tag in BLOCKS:
+            block_at.append(len(stack) - 1)
     close()
     return out
 
 
-@memo(200_000)
+@memo(20_000)
 def path_features(path: tuple[str, ...]) -> tuple[int, ...]:
     """Hashed names: each anywhere, the last block's tag, and pairs of the last names."""
     tags = [x for x in path if x in BLOCKS]
@@ -170,6 +224,8 @@ def _sig(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
+#: Blocks, and cells of the layout of pages as columns, that a run of pages holds (or one page); steps made at a time beyond.
+CELLS, STEPS = 200_000, 4_096
 #: Multiplications up to which BLAS stays in one thread; waiting threads would cost far more than these products.
 SMALL = 1 << 18
 
@@ -203,11 +259,15 @@ class Labeller:
 
     def scan(self, s: Sequences, x: np.ndarray, d: str, keep: list | None = None) -> np.ndarray:
         """Hidden state at every block, of the LSTM that reads forward or backward."""
-        z, where, n = product(x, self.p[f"x{d}"]) + self.p[f"b{d}"], s.forward if d == "f" else s.backward, len(s.pages)
+        where, n = s.forward if d == "f" else s.backward, len(s.pages)
+        wide = len(x) > CELLS  # one page of very many blocks: gate inputs are made for a run of steps at a time
+        z = None if wide else product(x, self.p[f"x{d}"]) + self.p[f"b{d}"]
         h, c, out, w = np.zeros((n, HIDDEN), np.float32), np.zeros((n, HIDDEN), np.float32), np.zeros((len(x), HIDDEN), np.float32), self.p[f"h{d}"]
         for t, m in enumerate(s.active):
             at = where[t, :m]
-            g = z[at] + product(h[:m], w)
+            if wide and t % STEPS == 0:
+                z = (product(x[where[t : t + STEPS].ravel()], self.p[f"x{d}"]) + self.p[f"b{d}"]).reshape(-1, n, 4 * HIDDEN)
+            g = (z[t % STEPS, :m] if wide else z[at]) + product(h[:m], w)
             gates, new = _sig(g[:, : 3 * HIDDEN]), np.tanh(g[:, 3 * HIDDEN :])
             i, f, o = gates[:, :HIDDEN], gates[:, HIDDEN : 2 * HIDDEN], gates[:, 2 * HIDDEN :]
             before, was = c[:m].copy(), h[:m].copy()
@@ -402,17 +462,30 @@ def trained() -> Labeller:
     return model
 
 
+def runs_of(pages: list[list]) -> Iterator[tuple[int, int]]:
+    """From-to of runs of pages whose layout has at most CELLS cells, or of one larger page."""
+    first, most = 0, 0
+    for i, own in enumerate(pages):
+        if i > first and max(most, len(own)) * (i + 1 - first) > CELLS:
+            yield first, i
+            first, most = i, 0
+        most = max(most, len(own))
+    if first < len(pages):
+        yield first, len(pages)
+
+
 def main_texts(model: Labeller, pages: list[str | None]) -> tuple[list[str], list[int]]:
     """Main text of each page, and its number of blocks."""
     texts, counts = [""] * len(pages), [0] * len(pages)
     for first, run in slices(pages, 4_000_000):
         found = [blocks(p) for p in run]
-        s = Sequences(found)
-        main = model.logits(s) > 0
-        for i, own in enumerate(found):
-            a, b = s.starts[i], s.starts[i + 1]
-            texts[first + i] = "\n\n".join(x[1] for x, keep in zip(own, main[a:b], strict=True) if keep)
-            counts[first + i] = len(own)
+        for a, b in runs_of(found):
+            s = Sequences(found[a:b])
+            main = model.logits(s) > 0
+            for i in range(a, b):
+                keep = main[s.starts[i - a] : s.starts[i - a + 1]]
+                texts[first + i] = "\n\n".join(x[1] for x, k in zip(found[i], keep, strict=True) if k)
+                counts[first + i] = len(found[i])
     return texts, counts
 
 
@@ -421,7 +494,9 @@ def extract(pages: DataFrame) -> DataFrame:
 
     Null and blank html, and pages without main text, give an empty text.  Character references are decoded, white
     space inside a block is one space, blocks are joined by two line feeds in page order.  Rows with a null id or url
-    are extracted like any other, repeated rows alike; other columns are not read.
+    are extracted like any other, repeated rows alike; other columns are not read.  A page is read in one pass, so
+    very long ones, of any nesting and however broken, cost time and memory in proportion.  Blocks whose odds are even
+    are left out.
     """
     shared = pages.sparkSession.sparkContext.broadcast(trained().p)
 
