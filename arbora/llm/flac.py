@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import hashlib
 import struct
+import uuid
 import zlib
 from collections.abc import Iterator
 
@@ -22,6 +23,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from arbora.llm.shared import new_path
 from arbora.llm.tokens import memo
 
 BLOCK = 1152
@@ -30,6 +32,9 @@ RATE = 16_000
 LPC_ORDER = 4
 PRECISION = 12
 SLICE_BYTES = 1_500_000
+#: A seek point, and how many a metadata block of 24 bits of length holds; longer streams have several.
+POINT = np.dtype([("sample", ">u8"), ("offset", ">u8"), ("size", ">u2")])
+MOST_POINTS = ((1 << 24) - 1) // 18
 #: Fixed values of the format: coefficients of the fixed predictors, block size codes, and those of an explicit size.
 FIXED = [[], [1], [2, -1], [3, -3, 1], [4, -6, 4, -1]]
 SIZES = {1: 192, 2: 576, 3: 1152, 4: 2304, 5: 4608, 8: 256, 9: 512, 10: 1024, 11: 2048, 12: 4096, 13: 8192, 14: 16384, 15: 32768}
@@ -122,21 +127,20 @@ class _Bits:
             self.bits[at + b] = (value >> (width - 1 - b)) & 1
 
 
-def encode(payloads: list[bytes], block: int = BLOCK) -> list[bytes]:
-    """The FLAC stream of each payload, whose bytes, less 128, are the samples.  An empty payload has no frame."""
-    lengths = np.array([len(p) for p in payloads], dtype=np.int64)
-    if not len(payloads):
-        return []
-    data = np.frombuffer(b"".join(payloads) + bytes(block), dtype=np.uint8)
+def encode_frames(pieces: list[memoryview], first: list[int], block: int) -> tuple[bytes, np.ndarray, np.ndarray]:
+    """The frames of the pieces, the first of which has the given number, in a row; their sizes, and how many each piece has."""
+    lengths = np.array([len(p) for p in pieces], dtype=np.int64)
+    data = np.frombuffer(b"".join(pieces) + bytes(block), dtype=np.uint8)
     frames = -(-lengths // block)
-    owner = np.repeat(np.arange(len(payloads)), frames)
-    number = np.arange(len(owner)) - np.repeat(np.cumsum(frames) - frames, frames)
+    owner = np.repeat(np.arange(len(pieces)), frames)
+    place = np.arange(len(owner)) - np.repeat(np.cumsum(frames) - frames, frames)
+    number = place + np.array(first, dtype=np.int64)[owner]
     starts = np.cumsum(lengths) - lengths
-    size = np.minimum(block, lengths[owner] - number * block)
+    size = np.minimum(block, lengths[owner] - place * block)
     n = len(owner)
     column = np.arange(block)
     real = column < size[:, None]
-    x = np.where(real, data[(starts[owner] + number * block)[:, None] + column].astype(np.int32) - 128, 0)
+    x = np.where(real, data[(starts[owner] + place * block)[:, None] + column].astype(np.int32) - 128, 0)
 
     # residuals of each predictor; kinds 0 to 4 are fixed orders, 5 is the linear predictor
     best_cost, kind, residual = np.full(n, np.inf), np.zeros(n, dtype=np.int64), x.copy()
@@ -223,20 +227,56 @@ def encode(payloads: list[bytes], block: int = BLOCK) -> list[bytes]:
     check = crc16(packed, frame_at, frame_bytes - 2)
     packed[frame_at + frame_bytes - 2], packed[frame_at + frame_bytes - 1] = check >> 8, check & 255
 
-    streams, whole, f0 = [], packed.tobytes(), 0
-    for p, payload in enumerate(payloads):
-        f1 = f0 + int(frames[p])
-        own = slice(f0, f1)
-        a = int(frame_at[f0]) if f1 > f0 else 0
-        b = int(frame_at[f1 - 1] + frame_bytes[f1 - 1]) if f1 > f0 else 0
-        low_size, high_size = (int(frame_bytes[own].min()), int(frame_bytes[own].max())) if f1 > f0 else (0, 0)
-        signed = (np.frombuffer(payload, dtype=np.uint8) ^ 128).tobytes()
-        info = struct.pack(">HH", block, block) + struct.pack(">I", low_size)[1:] + struct.pack(">I", high_size)[1:] + struct.pack(">Q", RATE << 44 | 7 << 36 | len(payload)) + hashlib.md5(signed).digest()
-        points = np.zeros(f1 - f0, dtype=[("sample", ">u8"), ("offset", ">u8"), ("size", ">u2")])
-        points["sample"], points["offset"], points["size"] = number[own] * block, frame_at[own] - a, size[own]
-        table = points.tobytes()
-        streams.append(b"fLaC" + b"\x00" + struct.pack(">I", len(info))[1:] + info + b"\x83" + struct.pack(">I", len(table))[1:] + table + whole[a:b])
-        f0 = f1
+    return packed.tobytes(), frame_bytes, frames
+
+
+def _frame_runs(lengths: list[int], unit: int, most: int) -> Iterator[list[tuple[int, int, int]]]:
+    """Runs of (item, from, to) that cover all items in order, cut at multiples of ``unit`` so that a run holds about ``most``."""
+    run, room, step = [], most, max(unit, most // unit * unit)
+    for i, n in enumerate(lengths):
+        at = 0
+        while at < n:
+            if room < unit and run:
+                yield run
+                run, room = [], most
+            end = min(n, at + max(unit, min(step, room // unit * unit)))
+            run.append((i, at, end))
+            room -= end - at
+            at = end
+    if run:
+        yield run
+
+
+def encode(payloads: list[bytes], block: int = BLOCK) -> list[bytes]:
+    """The FLAC stream of each payload, whose bytes, less 128, are the samples.  An empty payload has no frame.
+
+    Frames are made for about SLICE_BYTES of samples at a time, whether these are many payloads or a part of one.
+    """
+    bodies, sizes = [[] for _ in payloads], [[] for _ in payloads]
+    for run in _frame_runs([len(p) for p in payloads], block, SLICE_BYTES):
+        whole, each, frames = encode_frames([memoryview(payloads[i])[a:b] for i, a, b in run], [a // block for _, a, _ in run], block)
+        f0, at = 0, 0
+        for (i, _, _), f in zip(run, frames.tolist(), strict=True):
+            own = each[f0 : f0 + f]
+            bodies[i].append(whole[at : at + int(own.sum())])
+            sizes[i].append(own)
+            f0, at = f0 + f, at + int(own.sum())
+    streams = []
+    for payload, body, parts in zip(payloads, bodies, sizes, strict=True):
+        own = np.concatenate(parts) if parts else np.zeros(0, dtype=np.int64)
+        low, high = (int(own.min()), int(own.max())) if len(own) else (0, 0)
+        md5 = hashlib.md5()
+        for k in range(0, len(payload), SLICE_BYTES):
+            md5.update((np.frombuffer(payload[k : k + SLICE_BYTES], dtype=np.uint8) ^ 128).tobytes())
+        info = struct.pack(">HH", block, block) + struct.pack(">I", low)[1:] + struct.pack(">I", high)[1:] + struct.pack(">Q", RATE << 44 | 7 << 36 | len(payload)) + md5.digest()
+        points = np.zeros(len(own), dtype=POINT)
+        points["sample"] = np.arange(len(own)) * block
+        points["offset"], points["size"] = np.cumsum(own) - own, np.minimum(block, len(payload) - np.arange(len(own)) * block)
+        tables = [points[k : k + MOST_POINTS].tobytes() for k in range(0, max(1, len(points)), MOST_POINTS)]
+        head = [b"fLaC", b"\x00", struct.pack(">I", len(info))[1:], info]
+        for k, table in enumerate(tables):
+            head += [b"\x83" if k == len(tables) - 1 else b"\x03", struct.pack(">I", len(table))[1:], table]
+        streams.append(b"".join(head + body))
     return streams
 
 
@@ -244,19 +284,19 @@ def metadata(media: bytes) -> tuple[int, bytes, np.ndarray, int]:
     """Samples, MD5, seek points (sample, offset, size), and where frames start."""
     if media[:4] != b"fLaC":
         raise ValueError("no FLAC stream")
-    at, last, info, points = 4, False, b"", np.zeros(0, dtype=[("sample", ">u8"), ("offset", ">u8"), ("size", ">u2")])
+    at, last, info, tables = 4, False, b"", [np.zeros(0, dtype=POINT)]
     while not last:
         last, kind, size = media[at] >> 7, media[at] & 127, int.from_bytes(media[at + 1 : at + 4], "big")
-        body = media[at + 4 : at + 4 + size]
+        body = bytes(media[at + 4 : at + 4 + size])
         if kind == 0:
             info = body
         elif kind == 3:
-            points = np.frombuffer(body, dtype=points.dtype)
+            tables.append(np.frombuffer(body, dtype=POINT))
         at += 4 + size
     packed = struct.unpack(">Q", info[10:18])[0]
     if packed >> 41 & 7 or (packed >> 36 & 31) != 7:
         raise ValueError("only mono streams of 8 bits")
-    return packed & (1 << 36) - 1, info[18:34], points, at
+    return packed & (1 << 36) - 1, info[18:34], np.concatenate(tables), at
 
 
 _CLZ16 = np.array([16 if x == 0 else 16 - int(x).bit_length() for x in range(1 << 16)], dtype=np.int64)
@@ -379,28 +419,49 @@ def decode_frames(buffer: bytes, start: np.ndarray, length: np.ndarray) -> tuple
     return samples, sizes
 
 
-def decode(media: list[bytes]) -> list[list[tuple[int, bytes]]]:
-    """Of each stream its PCM blocks: (first sample, unsigned 8-bit samples), verified."""
+def _blocks(media: list[bytes], heads: list[tuple]) -> Iterator[tuple[int, int, bytes]]:
+    """(stream, first sample, unsigned 8-bit samples) of every frame in order; about SLICE_BYTES of samples are decoded at a time."""
+    counts = [len(points) for _, _, points, _ in heads]
+    widest = max((int(points["size"].max()) for _, _, points, _ in heads if len(points)), default=1)
+    for run in _frame_runs(counts, 1, max(1, SLICE_BYTES // max(1, widest))):
+        buffer, starts, lengths, base = [], [], [], 0
+        for i, a, b in run:
+            _, _, points, first = heads[i]
+            offset = points["offset"][a:b].astype(np.int64)
+            end = int(points["offset"][b]) if b < counts[i] else len(media[i]) - first
+            buffer.append(media[i][first + int(offset[0]) : first + end])
+            starts.append(base + offset - offset[0])
+            lengths.append(np.diff(np.append(offset, end)))
+            base += end - int(offset[0])
+        samples, sizes = decode_frames(b"".join(buffer), np.concatenate(starts), np.concatenate(lengths))
+        octets = np.ascontiguousarray(samples.T) + 128
+        if octets.size and (octets.min() < 0 or octets.max() > 255):
+            raise ValueError("sample out of range")
+        octets, f = octets.astype(np.uint8), 0
+        for i, a, b in run:
+            for j in range(a, b):
+                yield i, int(heads[i][2]["sample"][j]), octets[f, : sizes[f]].tobytes()
+                f += 1
+
+
+def decoded(media: list[bytes]) -> Iterator[tuple[int, int, bytes]]:
+    """(stream, first sample, samples) of every block of every stream in order; a stream that ends with another MD5 or length raises."""
     heads = [metadata(m) for m in media]
-    base, starts, lengths = 0, [], []
-    for m, (_, _, points, first) in zip(media, heads, strict=True):
-        offset = points["offset"].astype(np.int64)
-        starts.append(base + first + offset)
-        lengths.append(np.diff(np.append(offset, len(m) - first)))
-        base += len(m)
-    start, length = (np.concatenate(v) if v else np.zeros(0, dtype=np.int64) for v in (starts, lengths))
-    samples, sizes = decode_frames(b"".join(media), start, length) if len(start) else (np.zeros((0, 0)), np.zeros(0))
-    octets = np.ascontiguousarray(samples.T).astype(np.int64) + 128
-    if octets.size and (octets.min() < 0 or octets.max() > 255):
-        raise ValueError("sample out of range")
-    octets, out, f = octets.astype(np.uint8), [], 0
-    for total, md5, points, _ in heads:
-        blocks = [(int(points["sample"][j]), octets[f + j, : sizes[f + j]].tobytes()) for j in range(len(points))]
-        f += len(points)
-        whole = b"".join(b for _, b in blocks)
-        if len(whole) != total or hashlib.md5((np.frombuffer(whole, dtype=np.uint8) ^ 128).tobytes()).digest() != md5:
+    md5, seen = [hashlib.md5() for _ in media], [0] * len(media)
+    for i, first, pcm in _blocks(media, heads):
+        md5[i].update((np.frombuffer(pcm, dtype=np.uint8) ^ 128).tobytes())
+        seen[i] += len(pcm)
+        yield i, first, pcm
+    for (total, digest, _, _), own, n in zip(heads, md5, seen, strict=True):
+        if n != total or own.digest() != digest:
             raise ValueError("stream differs from its MD5")
-        out.append(blocks)
+
+
+def decode(media: list[bytes]) -> list[list[tuple[int, bytes]]]:
+    """Of each stream its PCM blocks: (first sample, unsigned 8-bit samples), verified."""
+    out: list[list[tuple[int, bytes]]] = [[] for _ in media]
+    for i, first, pcm in decoded(media):
+        out[i].append((first, pcm))
     return out
 
 
@@ -423,11 +484,42 @@ def payload_of(text: str | None) -> bytes:
     return data + b" " * (max(UNIT, -(-len(data) // UNIT) * UNIT) - len(data))
 
 
-def features(pcm: np.ndarray) -> str:
-    """Sum, energy, zero crossings, least and greatest sample, of signed samples."""
-    x = pcm.astype(np.int64) - 128
-    crossings = int(((x[1:] < 0) != (x[:-1] < 0)).sum())
-    return f"sum={int(x.sum())};energy={int((x * x).sum())};crossings={crossings};min={int(x.min(initial=0))};max={int(x.max(initial=0))}"
+class Digest:
+    """What is computed of a payload block by block: length, SHA-256, CRC-32 of the last 16 bytes, and features.
+
+    The features are sum, energy, zero crossings, least and greatest of the signed samples.
+    """
+
+    def __init__(self):
+        self.n, self.sha, self.tail = 0, hashlib.sha256(), b""
+        self.sum, self.energy, self.crossings, self.low, self.high = 0, 0, 0, 0, 0
+
+    def add(self, pcm: bytes) -> None:
+        before = self.tail[-1:]
+        self.sha.update(pcm)
+        self.n, self.tail = self.n + len(pcm), (self.tail + pcm)[-16:]
+        x = np.frombuffer(before + pcm, dtype=np.uint8).astype(np.int64) - 128
+        self.crossings += int(((x[1:] < 0) != (x[:-1] < 0)).sum())
+        x = x[len(before) :]
+        self.sum, self.energy = self.sum + int(x.sum()), self.energy + int((x * x).sum())
+        self.low, self.high = min(self.low, int(x.min(initial=0))), max(self.high, int(x.max(initial=0)))
+
+    def row(self) -> tuple[int, str, int, str]:
+        return self.n, self.sha.hexdigest(), zlib.crc32(self.tail), f"sum={self.sum};energy={self.energy};crossings={self.crossings};min={self.low};max={self.high}"
+
+
+def digests(media: list[bytes]) -> list[tuple]:
+    """(payload bytes, SHA-256, CRC-32 of the tail, features) of each stream, decoded and verified."""
+    found, now, at = [Digest() for _ in media], [], -1
+    for i, _, pcm in decoded(media):
+        if i != at or sum(map(len, now)) > SLICE_BYTES:  # a payload's blocks are added together
+            if now:
+                found[at].add(b"".join(now))
+            now, at = [], i
+        now.append(pcm)
+    if now:
+        found[at].add(b"".join(now))
+    return [d.row() for d in found]
 
 
 def _runs(sizes: list[int], most: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
@@ -460,14 +552,25 @@ def pcm_blocks(media: DataFrame) -> DataFrame:
     """doc_id, block, first_sample, n_samples, pcm: the decoded blocks of a media column, each at its sample offset."""
     id_type = media.schema["doc_id"].dataType.simpleString()
 
+    def made(keys: pa.Array, rows: list[tuple]) -> pa.RecordBatch:
+        cells = list(zip(*rows, strict=True))
+        arrays = [keys.take(pa.array(cells[0], pa.int64())), pa.array(cells[1], pa.int32()), pa.array(cells[2], pa.int64()), pa.array(cells[3], pa.int32()), pa.array(cells[4], pa.binary())]
+        return pa.RecordBatch.from_arrays(arrays, names=["doc_id", "block", "first_sample", "n_samples", "pcm"])
+
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys, streams = batch.column(0), batch.column(1).to_pylist()
             for a, b in _runs([len(s) for s in streams]):
-                rows = [(a + i, j, first, len(pcm), pcm) for i, own in enumerate(decode(streams[a:b])) for j, (first, pcm) in enumerate(own)]
-                cells = list(zip(*rows, strict=True)) if rows else [[]] * 5
-                arrays = [keys.take(pa.array(cells[0], pa.int64())), pa.array(cells[1], pa.int32()), pa.array(cells[2], pa.int64()), pa.array(cells[3], pa.int32()), pa.array(cells[4], pa.binary())]
-                yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "block", "first_sample", "n_samples", "pcm"])
+                rows, size, j, last = [], 0, 0, -1
+                for i, first, pcm in decoded(streams[a:b]):
+                    j, last = j + 1 if i == last else 0, i
+                    rows.append((a + i, j, first, len(pcm), pcm))
+                    size += len(pcm)
+                    if size > SLICE_BYTES:
+                        yield made(keys, rows)
+                        rows, size = [], 0
+                if rows:
+                    yield made(keys, rows)
 
     return media.select("doc_id", "media").mapInArrow(blocks, f"doc_id {id_type}, block int, first_sample long, n_samples int, pcm binary")
 
@@ -475,19 +578,31 @@ def pcm_blocks(media: DataFrame) -> DataFrame:
 def media_digests(docs: DataFrame) -> DataFrame:
     """A row per row of ``docs``: doc_id, n_bytes, payload_bytes, payload_sha256, tail_crc32, media_bytes, media_sha256, feature.
 
-    The stored stream is decoded again and all payload columns come from what was read back.  Rows with a null id and
-    repeated rows are stored like any other; equal texts give equal streams; other columns are not read.
+    Streams are written to a file in the shared folder, a file for each run of about SLICE_BYTES or one longer text, and
+    all further columns come from what is read back; the file then goes, so that the streams of a corpus, hardly smaller
+    than its texts, never lie there together.  Rows with a null id and repeated rows are stored like any other; null
+    texts are empty; equal texts give equal streams; other columns are not read.  A very long text is coded and decoded
+    in runs of frames.
     """
-    id_type = docs.schema["doc_id"].dataType.simpleString()
+    id_type, folder = docs.schema["doc_id"].dataType.simpleString(), new_path(docs.sparkSession, "media")
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyarrow import fs
+
+        store, root = fs.FileSystem.from_uri(folder)
+        store.create_dir(root, recursive=True)
         for batch in batches:
-            streams = batch.column(2).to_pylist()
-            for a, b in _runs([len(s) for s in streams]):
-                rows = []
-                for m, own in zip(streams[a:b], decode(streams[a:b]), strict=True):
-                    p = b"".join(pcm for _, pcm in own)
-                    rows.append((len(p), hashlib.sha256(p).hexdigest(), zlib.crc32(p[-16:]), len(m), hashlib.sha256(m).hexdigest(), features(np.frombuffer(p, dtype=np.uint8))))
+            streams = batch.column(2)
+            for a, b in _runs(pc.binary_length(streams).to_pylist()):
+                path, at = f"{root}/{uuid.uuid4().hex}.flac", [0]
+                with store.open_output_stream(path, compression=None) as out:
+                    for m in streams.slice(a, b - a):
+                        out.write(m.as_buffer())
+                        at.append(at[-1] + m.as_buffer().size)
+                with store.open_input_file(path) as file:
+                    media = [file.read_at(y - x, x) for x, y in zip(at, at[1:], strict=False)]
+                store.delete_file(path)
+                rows = [(*row[:3], len(m), hashlib.sha256(m).hexdigest(), row[3]) for m, row in zip(media, digests(media), strict=True)]
                 types = [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string()]
                 made = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)]
                 names = ["doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"]
