@@ -96,7 +96,8 @@ class Encoder:
     The file's own vocabulary is run by the tiktoken engine, which gives the same ids (tests hold it against the
     library itself) in a fifth of the time: a token's rank among the merges is its id.  With ``added`` the file's added
     tokens are single ids where a text spells them, as the library has it by default; else they are text like any other.
-    Texts that spell them, and those with white space in runs too long for the engine, go to the library.
+    Texts that spell them, and those with white space in runs too long for the engine, go to the library, and so does
+    every text under a file that cuts or merges in another way.
     """
 
     def __init__(self, path: str, added: bool = False):
@@ -111,10 +112,15 @@ class Encoder:
         octet = {chr(x): x for x in shown} | {chr(256 + i): x for i, x in enumerate(x for x in range(256) if x not in shown)}
         special = {t["content"] for t in data.get("added_tokens", [])}
         ranks = {bytes(octet[c] for c in token): i for token, i in data["model"]["vocab"].items() if token not in special}
+        cut, model = data.get("pre_tokenizer") or {}, data["model"]
+        merged = [model["vocab"]["".join(m if isinstance(m, list) else m.split(" "))] for m in model["merges"]]
+        plain = cut.get("type") == "ByteLevel" and cut.get("use_regex", True) and not cut.get("add_prefix_space") and not data.get("normalizer")
+        #: whether the file is one that the engine runs alike: this cutting rule, and ids in the order of merges
+        self.alike = plain and model["type"] == "BPE" and all(a < b for a, b in zip(merged, merged[1:])) and not model.get("ignore_merges")  # noqa: RUF007
         self.library = Tokenizer.from_file(path)
         self.library.encode_special_tokens = not added
         self.added = sorted(special) if added else []
-        self.coder = tiktoken.Encoding(re.sub(r"\W", "_", path), pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+        self.coder = self.alike and tiktoken.Encoding(re.sub(r"\W", "_", path), pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
     def __call__(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, each followed by END, and where each text's ids start (one more than texts)."""
@@ -124,7 +130,7 @@ class Encoder:
         return np.concatenate(each).astype(np.uint32), bounds
 
     def one(self, text: str) -> np.ndarray:
-        if not any(token in text for token in self.added):
+        if self.alike and not any(token in text for token in self.added):
             try:
                 return self.coder.encode_to_numpy(text, disallowed_special=())
             except ValueError:  # the engine's expression gives up on a million white-space characters in a row

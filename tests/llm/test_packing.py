@@ -16,9 +16,7 @@ SCHEMA = "doc_id long, text string, piece string"
 def ids_of(text):
     from tokenizers import Tokenizer
 
-    t = Tokenizer.from_file(PATH)
-    t.encode_special_tokens = True
-    return [*t.encode(text or "", add_special_tokens=False).ids, 2]
+    return [*Tokenizer.from_file(PATH).encode(text or "", add_special_tokens=False).ids, 2]
 
 
 def texts():
@@ -31,7 +29,7 @@ def texts():
 def test_pieces_are_exact_and_sequences_whole(spark):
     rows = list(enumerate(texts()))
     df = spark.createDataFrame([(i, t, "clash") for i, t in rows] + [(None, "no id", ""), (3, rows[3][1], "")], SCHEMA)
-    got = P.pack(df, PATH).collect()
+    got = P.pack(df, PATH, added=True).collect()
     by_doc = defaultdict(list)
     for r in got:
         by_doc[r.doc_id].append(r)
@@ -59,7 +57,7 @@ def test_pieces_are_exact_and_sequences_whole(spark):
         assert at <= 1024
     least = math.ceil(sum(r.length for r in got) / 1024)
     assert len(bins) <= least + 2
-    assert P.pack(df.limit(0), PATH).collect() == []
+    assert P.pack(df.limit(0), PATH, added=True).collect() == []
 
 
 @pytest.mark.parametrize("rule", ["norm", "dot"])
