@@ -24,7 +24,9 @@ DATE = "2020-01-01T00:00:00Z"
 ARCHIVE_BYTES = 64 << 20
 #: Reads are joined across gaps up to GAP, and hold at most RUN bytes (or one record).
 GAP, RUN = 64 << 10, 8 << 20
-TASK_BYTES = 4 << 20
+#: Reading tasks: one an archive up to READERS of them, or of TASK_BYTES each; rows of a bucket of fates.
+READERS, TASK_BYTES = 2_000, 1 << 30
+BUCKET_ROWS = 500_000
 URN = "urn:uuid:a2b0a000-0000-5000-"
 INDEX = "archive string, offset long, length long, page_id long, url string, digest string, record_type string"
 
@@ -79,45 +81,81 @@ def parse(member: bytes) -> tuple[dict[str, str], dict[str, str], bytes]:
     return warc, fields(http.split(b"\r\n")[1:]), body
 
 
-def first_pages(pages: DataFrame) -> DataFrame:
-    """(page_id, sha1, refers_to) of the pages whose payload a page of smaller id has, too."""
-    digests = materialize(pages.select("page_id", F.sha1(F.coalesce("html", F.lit(""))).alias("sha1")), "digests")
-    first = digests.groupBy("sha1").agg(F.min("page_id").alias("refers_to"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    found = lookup(digests, first, "sha1", digests.count())
-    return found.where("refers_to is not null and (page_id is null or page_id > refers_to)").select("page_id", "sha1", "refers_to").distinct()
+def fates(pages: DataFrame) -> tuple[str, int]:
+    """Path and number of buckets of a table (part, page_id, sha1, refers_to) of all rows, in buckets by ``part``.
+
+    ``part`` is the partition of ``pages`` that a row was read in, so that the task that reads it again finds what it
+    needs in one bucket, and payloads need not travel.  ``refers_to`` is the smallest id of the payload.
+    """
+    rows = materialize(pages.select("page_id", F.sha1(F.coalesce("html", F.lit(""))).alias("sha1"), F.spark_partition_id().alias("part")), "digests")
+    first = rows.groupBy("sha1").agg(F.min("page_id").alias("refers_to"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    total = rows.count()
+    buckets, path = max(1, -(-total // BUCKET_ROWS)), new_path(pages.sparkSession, "fates")
+    found = lookup(rows, first, "sha1", total).withColumn("bucket", F.col("part") % buckets)
+    found.repartition(buckets, "bucket").sortWithinPartitions("bucket", "part").write.partitionBy("bucket").parquet(path)
+    return path, buckets
+
+
+class Fates:
+    """What becomes of the rows of one partition; rows that it was not told of, as the partition is another now, are sought in all buckets."""
+
+    def __init__(self, path: str, buckets: int, part: int):
+        from pyarrow import fs
+
+        self.store, self.root = fs.FileSystem.from_uri(path)
+        self.known = {k: v for t in self.read(f"{self.root}/bucket={part % buckets}", ("part", "==", part)) for k, v in t}
+
+    def read(self, folder: str, *only: tuple) -> Iterator[Iterator[tuple[tuple, int | None]]]:
+        import pyarrow.parquet as pq
+        from pyarrow import fs
+
+        found = self.store.get_file_info(fs.FileSelector(folder, recursive=True, allow_not_found=True))
+        for path in sorted(f.path for f in found if f.path.endswith(".parquet")):
+            t = pq.read_table(path, filesystem=self.store, columns=["page_id", "sha1", "refers_to"], filters=list(only) or None, partitioning=None)
+            ids, digests, first = (t.column(i).to_pylist() for i in range(3))
+            yield zip(zip(ids, digests, strict=True), first, strict=True)
+
+    def __call__(self, keys: list[tuple[int | None, str]]) -> list[int | None]:
+        missing = {k for k in keys if k not in self.known}
+        if missing:
+            self.known.update({k: v for t in self.read(self.root) for k, v in t if k in missing})
+        return [None if k[0] is not None and k[0] == self.known[k] else self.known[k] for k in keys]
 
 
 def write_archives(pages: DataFrame, smallest_revisit: int = 0) -> DataFrame:
     """Writes a record per row of ``pages`` and returns the committed index, a row a record.
 
     Of equal payloads of at least ``smallest_revisit`` bytes the page with the smallest id is a response, the others
-    revisit it; rows that repeat the smallest id are responses, too.
+    revisit it; rows that repeat the smallest id are responses, too.  Pages are read twice, for digests and to be
+    archived; only ids and digests are shuffled.
     """
-    spark = pages.sparkSession
-    folder = new_path(spark, "archives")
-    keyed = pages.select("page_id", "url", "html", F.sha1(F.coalesce("html", F.lit(""))).alias("sha1"))
-    # the id joins, not the digest: no id is hot; null ids join on the digest's own value
-    seen = first_pages(pages).select(F.col("page_id").alias("_page"), F.col("sha1").alias("_sha1"), "refers_to")
-    rows = keyed.join(seen, (F.coalesce("page_id", F.lit(-1)) == F.coalesce("_page", F.lit(-1))) & keyed["page_id"].eqNullSafe(F.col("_page")) & (F.col("sha1") == F.col("_sha1")), "left")
-    big = F.octet_length(F.coalesce("html", F.lit(""))) >= smallest_revisit
-    rows = rows.select("page_id", "url", "html", F.when(big, F.col("refers_to")).alias("refers_to"))
+    folder = new_path(pages.sparkSession, "archives")
+    pages = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html")
+    path, buckets = fates(pages)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyarrow import fs
 
+        from pyspark import TaskContext
+
         store, root = fs.FileSystem.from_uri(folder)
         store.create_dir(root, recursive=True)
+        fate = Fates(path, buckets, TaskContext.get().partitionId())
         stream, name, at = None, "", 0
         try:
             for batch in batches:
-                out = []
-                for page_id, url, html, refers_to in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                out, ids = [], batch.column(0).to_pylist()
+                payloads = [(html or "").encode("utf-8", "replace") for html in batch.column(2).to_pylist()]
+                first = fate([(i, hashlib.sha1(p).hexdigest()) for i, p in zip(ids, payloads, strict=True)])
+                for page_id, url, payload, refers_to in zip(ids, batch.column(1).to_pylist(), payloads, first, strict=True):
+                    if len(payload) < smallest_revisit:
+                        refers_to = None
                     if stream is None or at >= ARCHIVE_BYTES:
                         if stream is not None:
                             stream.close()
                         name, at = f"{uuid.uuid4().hex}.warc.gz", 0
                         stream = store.open_output_stream(f"{root}/{name}", compression=None)
-                    member, digest = record(page_id, url, (html or "").encode("utf-8", "replace"), refers_to)
+                    member, digest = record(page_id, url, payload, refers_to)
                     stream.write(member)
                     out.append((name, at, len(member), page_id, url, digest, "response" if refers_to is None else "revisit"))
                     at += len(member)
@@ -129,7 +167,7 @@ def write_archives(pages: DataFrame, smallest_revisit: int = 0) -> DataFrame:
             if stream is not None:
                 stream.close()
 
-    index = rows.withColumn("page_id", F.col("page_id").cast("long")).mapInArrow(write, INDEX)
+    index = pages.mapInArrow(write, INDEX)
     return materialize(index.withColumn("archive", F.concat(F.lit(folder + "/"), "archive")), "index")
 
 
@@ -148,12 +186,12 @@ def coalesce(ranges: list[tuple[int, int]], gap: int = GAP, run: int = RUN) -> l
 def read_records(index: DataFrame, with_payload: bool = False) -> DataFrame:
     """Reads the index's rows back: page_id, payload_bytes, payload_digest, record_type, refers_to (and url, payload).
 
-    Rows are sorted by place and reads coalesced; each record is parsed and held against its index row and, for a
-    response, its payload against its digest.  A record that does not match raises.
+    A task takes whole archives, by hash; rows are sorted by place and reads coalesced.  Each record is parsed and held
+    against its index row and, for a response, its payload against its digest.  A record that does not match raises.
     """
-    total = index.agg(F.coalesce(F.sum("length"), F.lit(0)).alias("n")).first()["n"]
-    tasks = max(1, -(-total // TASK_BYTES))
-    placed = index.repartitionByRange(tasks, "archive", "offset").sortWithinPartitions("archive", "offset")
+    found = index.agg(F.coalesce(F.sum("length"), F.lit(0)).alias("bytes"), F.approx_count_distinct("archive").alias("archives")).first()
+    tasks = max(1, min(found["archives"], READERS), found["bytes"] // TASK_BYTES)
+    placed = index.repartition(tasks, "archive").sortWithinPartitions("archive", "offset")
 
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyarrow import fs
