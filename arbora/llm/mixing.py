@@ -1,25 +1,31 @@
 """Mixing sources to target weights by iterative proportional fitting; DataFrame functions only.
 
 Tokens are summed by cell (source, language, topic).  Sweeps rake the cells' weights to the target share of every
-source, language and topic in turn.  A cell's sampling probability is proportional to weight over tokens, capped at
+source, language and topic in turn, until all three are met.  A cell's sampling probability is proportional to weight over tokens, capped at
 one, with the factor that makes the expected kept tokens the asked share of all (found exactly on the sorted cells).
 Documents are kept where a hash of their id falls below their cell's probability.
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from arbora.llm.shared import fresh, materialize, quoted
+from arbora.llm.shared import discard, fresh, materialize, quoted
 
-SWEEPS = 12
+#: Sweeps of a round; rounds end when no margin is off its target by more than TOLERANCE, or after MOST_ROUNDS.
+SWEEPS = 8
+TOLERANCE = 1e-10
+MOST_ROUNDS = 20
 KEEP = 0.7
 MARGINS = ("source", "lang", "topic")
 #: Target share of a category is its token share to this power, made to add up to one.
 TEMPER = {"source": 0.5, "lang": 0.7, "topic": 0.7}
-#: First predicate that holds names the topic.
-TOPICS = [("table", "contains(text, ' | ')"), ("licence", "contains(text, 'icense')"), ("markup", "contains(text, '&&&') or contains(text, '***')"), ("long", "length(text) > 4000"), ("short", "length(text) < 400")]
+Topics = list[tuple[str, str]]
+#: The topics of a table without a topic column: names and SQL predicates on ``text``; the first that holds names it.
+TOPICS: Topics = [("table", "contains(text, ' | ')"), ("licence", "contains(text, 'icense')"), ("markup", "contains(text, '&&&') or contains(text, '***')"), ("long", "length(text) > 4000"), ("short", "length(text) < 400")]
 OTHER = "prose"
 
 
@@ -28,11 +34,11 @@ def tokens_of(text: str) -> Column:
     return F.greatest(F.lit(1), F.ceil(F.octet_length(F.coalesce(F.col(text), F.lit(""))) / 4)).cast("long")
 
 
-def celled(docs: DataFrame, names: dict[str, str] | None = None) -> DataFrame:
+def celled(docs: DataFrame, names: dict[str, str] | None = None, topics: Topics = TOPICS) -> DataFrame:
     """``docs`` with _source, _lang, _topic (nulls named) and _tokens, or with columns of the given names."""
     topic = F.lit(OTHER)
-    for name, predicate in reversed(TOPICS):
-        topic = F.when(F.expr(predicate.replace("text", "coalesce(text, '')")), F.lit(name)).otherwise(topic)
+    for name, predicate in reversed(topics):
+        topic = F.when(F.coalesce(F.expr(re.sub(r"\btext\b", "coalesce(text, '')", predicate)), F.lit(False)), F.lit(name)).otherwise(topic)
     none = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("(none)"))
     made = {"source": none("source"), "lang": none("lang"), "topic": topic, "tokens": tokens_of("text")}
     return docs.withColumns({(names or {}).get(k, f"_{k}"): c for k, c in made.items()})
@@ -46,13 +52,21 @@ def tempered(cells: DataFrame, margin: str, power: float) -> Column:
     return each / F.sum(each * F.col("tokens") / own).over(Window.partitionBy())
 
 
-def probabilities(docs: DataFrame, targets: dict[str, dict[str, float]] | None = None, sweeps: int = SWEEPS, keep: float = KEEP) -> DataFrame:
+def _off(cells: DataFrame) -> float:
+    """By how much the worst category misses its target."""
+    worst = [F.max(F.abs(F.col(f"_held_{m}") - F.col(f"_{m}"))).alias(m) for m in MARGINS]
+    held = cells.withColumns({f"_held_{m}": F.sum("weight").over(Window.partitionBy(m)) for m in MARGINS})
+    return max((x for x in held.agg(*worst).first() if x is not None), default=0.0)
+
+
+def probabilities(docs: DataFrame, targets: dict[str, dict[str, float]] | None = None, keep: float = KEEP, topics: Topics = TOPICS, tolerance: float = TOLERANCE) -> DataFrame:
     """(source, lang, topic, tokens, n_docs, weight, probability), a row a cell.
 
     ``targets``: by margin, explicit shares of categories; other margins are tempered.  Categories that an explicit
-    margin leaves out get weight zero.  The cells, a few for each source, are raked in one task; documents are not.
+    margin leaves out get weight zero.  Targets that contradict each other are met as far as MOST_ROUNDS bring them.
+    The cells, a few for each source, are raked in one task; documents are not.
     """
-    rows = celled(docs.select("source", "lang", "text")).groupBy(F.col("_source").alias("source"), F.col("_lang").alias("lang"), F.col("_topic").alias("topic"))
+    rows = celled(docs.select("source", "lang", "text"), topics=topics).groupBy(F.col("_source").alias("source"), F.col("_lang").alias("lang"), F.col("_topic").alias("topic"))
     cells = materialize(rows.agg(F.sum("_tokens").alias("tokens"), F.count(F.lit(1)).alias("n_docs")), "cells").coalesce(1)
     for margin in MARGINS:
         if targets and margin in targets:
@@ -61,10 +75,17 @@ def probabilities(docs: DataFrame, targets: dict[str, dict[str, float]] | None =
         else:
             cells = cells.withColumn(f"_{margin}", tempered(cells, margin, TEMPER[margin]))
     cells = cells.withColumn("weight", F.col("tokens") / F.sum("tokens").over(Window.partitionBy()))
-    for _ in range(sweeps):
-        for margin in MARGINS:
+    before = None
+    for _ in range(MOST_ROUNDS):
+        for margin in MARGINS * SWEEPS:
             held = F.sum("weight").over(Window.partitionBy(margin))
             cells = cells.withColumn("weight", F.when(held > 0, F.col("weight") * F.col(f"_{margin}") / held).otherwise(F.lit(0.0)))
+        raked = materialize(cells, "raked")
+        if before is not None:
+            discard(before)
+        before, cells = raked, raked.coalesce(1)
+        if _off(cells) <= tolerance:
+            break
     # capped proportional probabilities: the first k cells by rate are certain, the others share what is left
     cells = cells.withColumn("rate", F.col("weight") / F.col("tokens"))
     order = Window.orderBy(F.desc("rate"), *MARGINS)
@@ -83,34 +104,35 @@ def uniform(doc_id: str = "doc_id") -> Column:
     return F.conv(F.substring(F.md5(F.coalesce(F.col(doc_id).cast("string"), F.lit(""))), 1, 8), 16, 10).cast("double") / 4294967296.0
 
 
-def _drawn(docs: DataFrame, targets: dict | None, keep: float) -> tuple[DataFrame, dict[str, str]]:
+def _drawn(docs: DataFrame, targets: dict | None, keep: float, topics: Topics) -> tuple[DataFrame, dict[str, str]]:
     """``docs`` with cell, tokens, weight, probability and selected, and the names of these columns."""
     names = {k: fresh(docs, f"_{k}") for k in (*MARGINS, "tokens", "weight", "probability", "selected")}
-    cells = materialize(probabilities(docs, targets, keep=keep), "probabilities")
+    cells = materialize(probabilities(docs, targets, keep, topics), "probabilities")
     cells = cells.select(*[F.col(k).alias(names[k]) for k in (*MARGINS, "weight", "probability")])
-    rows = celled(docs, names).join(cells, [names[m] for m in MARGINS])
+    rows = celled(docs, names, topics).join(cells, [names[m] for m in MARGINS])
     return rows.withColumn(names["selected"], uniform() < F.col(names["probability"])), names
 
 
-def mixture(docs: DataFrame, targets: dict[str, dict[str, float]] | None = None, keep: float = KEEP) -> DataFrame:
+def mixture(docs: DataFrame, targets: dict[str, dict[str, float]] | None = None, keep: float = KEEP, topics: Topics = TOPICS) -> DataFrame:
     """A row per row of ``docs``: doc_id, source, lang, topic, tokens, weight (its cell's), probability, selected.
 
     Null sources and languages are categories of their own, "(none)"; null and empty texts weigh one token.  Rows with
-    one id, or a null id, are drawn alike.  An empty table gives none.  Other columns are not read.
+    one id, or a null id, are drawn alike.  An empty table gives none.  Other columns are not read.  Very long texts weigh
+    by all their bytes.
     """
-    drawn, names = _drawn(docs.select("doc_id", "source", "lang", "text"), targets, keep)
+    drawn, names = _drawn(docs.select("doc_id", "source", "lang", "text"), targets, keep, topics)
     rounded = {k: F.round(names[k], 9) for k in ("weight", "probability")}
     return drawn.select("doc_id", *[F.col(names[k]).alias(k) for k in (*MARGINS, "tokens")], *[c.alias(k) for k, c in rounded.items()], F.col(names["selected"]).alias("selected"))
 
 
-def sample(docs: DataFrame, targets: dict[str, dict[str, float]] | None = None, keep: float = KEEP) -> DataFrame:
+def sample(docs: DataFrame, targets: dict[str, dict[str, float]] | None = None, keep: float = KEEP, topics: Topics = TOPICS) -> DataFrame:
     """The drawn rows of ``docs``, all columns."""
-    drawn, names = _drawn(docs, targets, keep)
+    drawn, names = _drawn(docs, targets, keep, topics)
     return drawn.where(F.col(names["selected"])).select(*quoted(docs.columns))
 
 
-def oracle_sql(sweeps: int = SWEEPS, keep: float = KEEP) -> str:
-    """DuckDB SQL for mixture()."""
+def oracle_sql(sweeps: int = 24, keep: float = KEEP) -> str:
+    """DuckDB SQL for mixture(), with as many sweeps as meet the tolerance on any of the test tables."""
     topic = " ".join(f"WHEN {p.replace('text', "coalesce(text, '')")} THEN '{n}'" for n, p in TOPICS)
     steps = ["d AS (SELECT doc_id, coalesce(source, '(none)') AS source, coalesce(lang, '(none)') AS lang, "
              f"CASE {topic} ELSE '{OTHER}' END AS topic, greatest(1, ceil(strlen(coalesce(text, '')) / 4.0))::BIGINT AS tokens, "

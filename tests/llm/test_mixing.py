@@ -32,7 +32,7 @@ def test_weights_meet_all_margins_and_probabilities_the_budget(spark):
             have[c[k]] += cells[c].weight
         total = sum(v ** M.TEMPER[margin] for v in mass.values())
         for v in mass:
-            assert have[v] == pytest.approx(mass[v] ** M.TEMPER[margin] / total, rel=0.02, abs=1e-4)
+            assert have[v] == pytest.approx(mass[v] ** M.TEMPER[margin] / total, rel=1e-6, abs=1e-6)
     everything = sum(tokens.values())
     assert sum(t * cells[c].probability for c, t in tokens.items()) == pytest.approx(M.KEEP * everything, rel=1e-6)
     kept = sum(r.tokens for r in got if r.selected)
@@ -47,7 +47,17 @@ def test_explicit_targets_and_edges(spark):
     share = defaultdict(float)
     for c in cells:
         share[c.lang] += c.weight
-    assert share["(none)"] == 0 and share["en"] == pytest.approx(0.75, abs=0.02) and all(c.probability == 0 for c in cells if c.lang == "(none)")
+    assert share["(none)"] == 0 and share["en"] == pytest.approx(0.75, abs=1e-8) and all(c.probability == 0 for c in cells if c.lang == "(none)")
     assert M.mixture(df.limit(0)).collect() == []
     one = M.mixture(spark.createDataFrame([(1, "x", "s", "en", "", 0)], SCHEMA), keep=1.0).collect()
     assert one[0].probability == 1.0 and one[0].selected
+
+
+def test_topics_are_a_parameter(spark):
+    df = spark.createDataFrame(rows(400), SCHEMA)
+    topics = [("licensed", "contains(text, 'License')"), ("blank", "length(text) = 0")]
+    got = {r.doc_id: r.topic for r in M.mixture(df, topics=topics).collect()}
+    assert set(got.values()) == {"licensed", "blank", M.OTHER} and got[401] == "blank"
+    assert M.sample(df, topics=topics).columns == df.columns
+    long = M.mixture(spark.createDataFrame([(1, "x y " * 500_000, "s", "en", "", 0)], SCHEMA), topics=[("never", "text is null")]).collect()
+    assert long[0].tokens == 500_000 and long[0].topic == M.OTHER
