@@ -1,8 +1,9 @@
 """Language identification by compression.
 
-Each language has zstandard raw-content dictionaries made of excerpts of its training texts.  A text (lower-cased,
-runs of other than letters made one space) is encoded whole, in blocks that each start from the dictionary alone so
-that a long text does not become its own dictionary, with every language's dictionaries; the smallest total wins.  The margin is the saving over the runner-up; where it is narrow the text is rejected.
+Each language has zstandard raw-content dictionaries made of whole training texts, as many as they hold.  A text
+(lower-cased, runs of other than letters made one space) is encoded whole, in blocks that each start from the dictionary
+alone so that a long text does not become its own dictionary, with every language's dictionaries; the smallest total
+wins.  The margin is the saving over the runner-up; where it is narrow the text is rejected.
 """
 
 from __future__ import annotations
@@ -18,11 +19,10 @@ from arbora.llm.shared import fold, fresh, quoted
 
 FOLDS, HELD_OUT = 3, 1
 UNKNOWN = "und"
-#: Bounds of the training sample: languages, documents of each, characters of each document's excerpt, dictionary bytes.
-MOST_LANGUAGES = 200
-SAMPLE_DOCS = 500
-EXCERPT = 1_500
+#: Bounds of the training sample: documents of each language, and bytes of a dictionary.
+SAMPLE_DOCS = 200
 DICTIONARY = 110_000
+MOST_BROADCAST = 1_000_000
 SHARDS = 2
 MIN_MARGIN = 0.01
 BLOCK = 4_096
@@ -30,32 +30,41 @@ _OTHER = re.compile(r"[\W\d_]+")
 
 
 def normalize(text: str | None) -> str:
-    """Lower case, anything but letters made one space; empty if there is no letter."""
-    return _OTHER.sub(" ", text.lower()).strip() if text else ""
+    """Lower case, anything but letters made one space; empty if there is no letter (marks and fractions alone are none)."""
+    clean = _OTHER.sub(" ", text.lower()).strip() if text else ""
+    return clean if any(c.isalpha() for c in clean) else ""
 
 
 def training_sample(docs: DataFrame) -> dict[str, list[str]]:
-    """Excerpts by language, the commonest first, from a hash sample of at most SAMPLE_DOCS documents of each of the commonest languages."""
-    known = docs.where((fold("doc_id", FOLDS) != HELD_OUT) & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    counts = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(MOST_LANGUAGES).collect()}
+    """Whole texts by language, the commonest first: a hash sample of at most SAMPLE_DOCS documents of every language."""
+    known = docs.where((fold("doc_id", FOLDS) != HELD_OUT) & F.col("lang").isNotNull() & F.col("text").isNotNull()).select("doc_id", F.col("lang").cast("string").alias("lang"), "text")
+    counts = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").collect()}
     if not counts:
         return {}
-    dice = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30))
-    rate = F.element_at(F.create_map(*[F.lit(x) for k, n in counts.items() for x in (k, min(1 << 30, int((1 << 30) * 1.3 * SAMPLE_DOCS / n) + 1))]), F.col("lang"))
-    few = known.where(F.col("lang").isin(list(counts)) & (dice < rate)).select("lang", F.substring("text", 1, EXCERPT).alias("text"), F.xxhash64("doc_id").alias("h"))
-    first = few.withColumn("k", F.row_number().over(Window.partitionBy("lang").orderBy("h", "text"))).where(F.col("k") <= SAMPLE_DOCS)
+    # ids are chosen without their texts; the few chosen are then read
+    first = Window.partitionBy("lang").orderBy("h", "doc_id")
+    few = known.select("lang", "doc_id", F.xxhash64("doc_id").alias("h")).withColumn("k", F.row_number().over(first)).where(F.col("k") <= SAMPLE_DOCS)
+    few = few.groupBy("lang", "doc_id").agg(F.min("k").alias("k"))
+    if len(counts) * SAMPLE_DOCS <= MOST_BROADCAST:
+        few = F.broadcast(few)
+    rows = known.join(few, ["lang", "doc_id"]).select("lang", "k", "text").distinct().collect()
     out: dict[str, list[str]] = {lang: [] for lang in counts}
-    for r in sorted(first.collect(), key=lambda r: r["k"]):
+    for r in sorted(rows, key=lambda r: (r["k"], r["text"])):
         out[r["lang"]].append(r["text"])
     return out
 
 
 def dictionaries(sample: dict[str, list[str]]) -> dict[str, list[bytes]]:
-    """Dictionary contents by language: its excerpts dealt in turn to SHARDS, the last DICTIONARY bytes of each."""
+    """Dictionary contents by language: its texts dealt in turn to SHARDS dictionaries, each filled to DICTIONARY bytes.
+
+    The last text of a dictionary is cut between two characters.
+    """
     made = {}
     for lang, texts in sample.items():
-        clean = [t for t in map(normalize, texts) if t]
-        shards = [" ".join(clean[s::SHARDS]).encode()[-DICTIONARY:] for s in range(SHARDS)]
+        clean, shards = [t for t in map(normalize, texts) if t], []
+        for s in range(SHARDS):
+            data = " ".join(clean[s::SHARDS]).encode("utf-8", "replace")[:DICTIONARY]
+            shards.append(data.decode("utf-8", "ignore").encode())
         if any(len(s) >= 8 for s in shards):
             made[lang] = [s for s in shards if len(s) >= 8]
     return made
@@ -111,7 +120,8 @@ def identify(docs: DataFrame, train: DataFrame | None = None) -> DataFrame:
     Learns from ``train`` (``docs`` if None): rows with a text, a language and an id outside the held-out fold.
     Null, empty and letterless texts get "und", score 0 and are rejected, as does every text where nothing could be
     learnt.  Equal sizes go to the language with most training rows, with margin 0.  Rows with a null id are judged, not
-    held out.  Repeated rows are judged alike; other columns are not read.
+    held out.  Repeated rows are judged alike; other columns are not read.  A very long text is encoded whole, block by
+    block.
     """
     contents = dictionaries(training_sample(docs if train is None else train))
     judged = with_language(docs.select("doc_id", "text"), contents)

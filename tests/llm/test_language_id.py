@@ -14,7 +14,7 @@ def sentence(rng, lang, n=30):
 def test_held_out_accuracy_and_edges(spark):
     rng = random.Random(6)
     rows = [(i, sentence(rng, lang := rng.choice("abc") * 2), lang, "clash") for i in range(300)]
-    rows += [(1000, None, "aa", ""), (1001, "", "aa", ""), (1002, "12 34 !?", "aa", ""), (1003, sentence(rng, "bb", 40_000), None, ""), (None, sentence(rng, "cc"), "cc", ""), (1004, "kor", None, "")]
+    rows += [(1000, None, "aa", ""), (1001, "", "aa", ""), (1002, "12 34 !?", "aa", ""), (1003, sentence(rng, "bb", 40_000), None, ""), (None, sentence(rng, "cc"), "cc", ""), (1004, "kor", None, ""), (1005, "½ ² ① ௰", "aa", "")]
     got = L.identify(spark.createDataFrame(rows + rows[:2], SCHEMA)).collect()
     assert len(got) == len(rows) + 2
     by = {r.doc_id: r for r in got}
@@ -24,6 +24,7 @@ def test_held_out_accuracy_and_edges(spark):
     held = [(by[i].lang_pred, lang) for i, _, lang, _ in rows[:300] if by[i].held_out]
     assert sum(a == b for a, b in held) >= 0.97 * len(held)
     assert [by[i].lang_pred for i in (1000, 1001, 1002, 1003, None)] == ["und", "und", "und", "bb", "cc"]
+    assert (by[1005].lang_pred, by[1005].score) == ("und", 0.0)
     assert by[1000].rejected and not by[1003].rejected and by[None].held_out is False
     kept = L.keep_identified(spark.createDataFrame(rows, SCHEMA))
     assert kept.columns == ["doc_id", "text", "lang", "margin"]
@@ -47,3 +48,56 @@ def test_nothing_to_learn(spark):
 def test_narrow_margins_are_rejected():
     c = L.Classifier({"a": [b"the same content here " * 4], "b": [b"the same content here " * 4]})
     assert c("the same content") == ("a", 0.0)
+
+
+def test_query_matches_brute_force(spark):
+    """The registered query against encoding every text anew with every dictionary."""
+    from pathlib import Path
+
+    import zstandard as z
+
+    from arbora.llm import queries
+
+    sf = "/root/testdata/sf0.001"
+    if not Path(sf).exists():
+        return
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    contents = L.dictionaries(L.training_sample(docs))
+    assert all(len(d) <= L.DICTIONARY and d.decode() for ds in contents.values() for d in ds)
+    params = z.ZstdCompressionParameters(strategy=z.STRATEGY_GREEDY, min_match=4, search_log=3, window_log=19, hash_log=17, chain_log=16, write_content_size=False, write_checksum=False, write_dict_id=False)
+    got = {r.doc_id: r for r in queries.op9_language_id(spark, sf).collect()}
+    rows = docs.collect()
+    assert len(got) == len(rows)
+    right = held = 0
+    for r in rows:
+        clean = "".join(c if c.isalpha() or c in L.normalize(r.text) and not c.isspace() else " " for c in (r.text or "").lower())
+        clean = " ".join(clean.split())
+        assert clean.split() == L.normalize(r.text).split()
+        sizes = []
+        for lang, shards in contents.items():
+            n = 0
+            for shard in shards:
+                for i in range(0, len(clean.encode()), L.BLOCK):
+                    n += len(z.ZstdCompressor(compression_params=params, dict_data=z.ZstdCompressionDict(shard, dict_type=z.DICT_TYPE_RAWCONTENT)).compress(clean.encode()[i : i + L.BLOCK]))
+            sizes.append((n / len(shards), lang))
+        best = min(sizes)[0]
+        assert got[r.doc_id].lang_pred in ([x for n, x in sizes if n <= best * 1.002] if clean else ["und"])
+        if got[r.doc_id].held_out and r.lang:
+            held, right = held + 1, right + (got[r.doc_id].lang_pred == r.lang)
+    assert right >= 0.9 * held
+
+
+def test_any_number_of_languages(spark):
+    """More languages than any fixed cap would learn, the rarest with one document."""
+    rng = random.Random(8)
+    rows, expect = [], {}
+    for k in range(230):
+        stems = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=4)) for _ in range(4)]
+        ids = [i for i in range(10 * k, 10 * k + 9) if zlib.crc32(str(i).encode()) % 3 != 1][: 1 if k == 229 else 3]
+        text = lambda stems=stems: " ".join("".join(rng.choices(stems, k=2)) for _ in range(40))
+        rows += [(i, text(), f"l{k}", "") for i in ids]
+        expect[f"l{k}"] = text()
+    contents = L.dictionaries(L.training_sample(spark.createDataFrame(rows, SCHEMA)))
+    assert set(contents) == set(expect)
+    classify = L.Classifier(contents)
+    assert classify(expect["l229"])[0] == "l229" and sum(classify(t)[0] == k for k, t in list(expect.items())[:40]) == 40
