@@ -3,8 +3,9 @@
 The content view sees a text's words, the shapes of its tokens and a few densities; the metadata view sees source,
 language and lengths.  Both start from the labelled sample.  In each round each view names the unlabelled documents
 it is surest of, in the classes' labelled proportions, and the other view learns from these pseudo-labels (a document
-that both name differently is dropped).  At the end each view is calibrated, and a logistic combination of the two,
-fitted on labelled documents that were set aside from training, scores every document.
+that both name differently is dropped).  At the end each view is calibrated on labelled documents that were set aside
+from training, a quarter of each class, and a logistic combination of the calibrated views, fitted on the same documents,
+scores every document.
 """
 
 from __future__ import annotations
@@ -20,10 +21,9 @@ from pyspark.sql import functions as F
 from arbora.llm.shared import fresh, quoted
 from arbora.llm.tokens import encode, fit_logistic, hashed, logistic, slices
 
-#: Bounds of the training sample: labelled documents of each class, unlabelled ones, and characters of each excerpt.
+#: Bounds of the training sample: labelled documents of each class, and unlabelled ones, each read whole.
 SAMPLE_CLASS = 1_000
-SAMPLE_UNLABELLED = 1_000
-EXCERPT = 6_000
+SAMPLE_UNLABELLED = 1_500
 SIZE = 1 << 16
 META_SIZE = 1 << 10
 ROUNDS = 4
@@ -133,25 +133,30 @@ class Metadata:
 class Quality:
     def __init__(self):
         self.content, self.metadata = Content(), Metadata()
-        self.combine, self.log = np.array([1.0, 0.0, 0.0]), []
+        self.combine, self.log = np.array([0.5, 0.5, 0.0]), []
+        self.scale = np.array([[1.0, 0.0], [1.0, 0.0]])  # of each view's odds: factor and offset
 
     def state(self) -> dict:
-        return {"content": vars(self.content), "metadata": vars(self.metadata), "combine": self.combine}
+        return {"content": vars(self.content), "metadata": vars(self.metadata), "combine": self.combine, "scale": self.scale}
 
     @classmethod
     def of(cls, state: dict) -> Quality:
         own = cls()
         vars(own.content).update(state["content"])
         vars(own.metadata).update(state["metadata"])
-        own.combine = state["combine"]
+        own.combine, own.scale = state["combine"], state["scale"]
         return own
 
+    def calibrated(self, content: np.ndarray, metadata: np.ndarray) -> np.ndarray:
+        """The calibrated log odds of both views."""
+        return np.clip(np.column_stack([content, metadata]), -8, 8) * self.scale[:, 0] + self.scale[:, 1]
+
     def views(self, texts: list, sources: list, langs: list, n_chars: list) -> np.ndarray:
         meta = self.metadata.odds(Metadata.features(sources, langs, n_chars))
         text = np.zeros(len(texts))
         for first, run in slices(texts):
             text[first : first + len(run)] = self.content.odds(Content.features(run))
-        return np.column_stack([np.clip(text, -8, 8), np.clip(meta, -8, 8)])
+        return self.calibrated(text, meta)
 
     def __call__(self, *columns) -> tuple[np.ndarray, np.ndarray]:
         v = self.views(*columns)
@@ -166,7 +171,8 @@ def train(rows: pd.DataFrame, rounds: int = ROUNDS, growth: float = GROWTH) -> Q
     if not len(known):
         return model
     y = np.where(y > 0, 1.0, np.where(np.isnan(y), np.nan, 0.0))
-    aside, first = known[3::4], np.setdiff1d(known, known[3::4])  # a quarter for the calibration
+    aside = np.concatenate([known[y[known] == v][3::4] for v in (0.0, 1.0)])  # a quarter of each class for the calibration
+    first = np.setdiff1d(known, aside)
     text = Content.features([t or "" for t in rows["text"]])
     meta = Metadata.features(rows["source"].tolist(), rows["lang"].tolist(), rows["n_chars"].tolist())
     pseudo: list[dict[int, float]] = [{}, {}]  # what each view has been told by the other
@@ -191,9 +197,10 @@ def train(rows: pd.DataFrame, rounds: int = ROUNDS, growth: float = GROWTH) -> Q
         pseudo[0].update({i: v for i, v in named[1].items() if i not in clash})
         free -= clash | named[0].keys() | named[1].keys()
         model.log.append((len(named[0]), len(named[1]), len(clash)))
-    judge = aside if len(aside) > 20 else known
-    views = np.column_stack([np.clip(model.content.odds(text), -8, 8), np.clip(model.metadata.odds(meta), -8, 8)])
-    model.combine = fit_logistic(views[judge], y[judge])
+    odds = model.content.odds(text), model.metadata.odds(meta)
+    if 0 < y[aside].sum() < len(aside):  # with fewer than four of a class the views are averaged as they are
+        model.scale = np.stack([fit_logistic(np.clip(o[aside], -8, 8)[:, None], y[aside]) for o in odds])
+        model.combine = fit_logistic(model.calibrated(*odds)[aside], y[aside])
     return model
 
 
@@ -203,12 +210,13 @@ def training_sample(docs: DataFrame, labels: DataFrame) -> pd.DataFrame:
     counts = {bool(r["q"]): r["n"] for r in known.groupBy((F.col("quality") > 0).alias("q")).agg(F.count(F.lit(1)).alias("n")).collect()}
     dice, top = F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(1 << 30)), 1 << 30
     rate = {q: min(top, int(top * SAMPLE_CLASS / max(1, counts.get(q, 0))) + 1) for q in (True, False)}
-    few = known.where(dice < F.when(F.col("quality") > 0, rate[True]).otherwise(rate[False])).limit(3 * SAMPLE_CLASS)
+    few = known.where(dice < F.when(F.col("quality") > 0, rate[True]).otherwise(rate[False])).orderBy(dice, "doc_id").limit(3 * SAMPLE_CLASS)
     total = max(1, docs.count())
-    columns = ["doc_id", F.substring("text", 1, EXCERPT).alias("text"), F.col("source").cast("string").alias("source"), F.col("lang").cast("string").alias("lang"), F.col("n_chars").cast("long").alias("n_chars")]
+    columns = ["doc_id", "text", F.col("source").cast("string").alias("source"), F.col("lang").cast("string").alias("lang"), F.col("n_chars").cast("long").alias("n_chars")]
     base = docs.where("text is not null and doc_id is not null").select(*columns)
-    other = base.where(dice >= top - min(top, int(top * SAMPLE_UNLABELLED / total) + 1)).limit(2 * SAMPLE_UNLABELLED)
-    rows = base.join(F.broadcast(few), "doc_id").unionByName(other.join(known, "doc_id", "left_anti").withColumn("quality", F.lit(None).cast("int")))
+    other = base.where(dice >= top - min(top, int(top * SAMPLE_UNLABELLED / total) + 1)).join(known, "doc_id", "left_anti")
+    other = other.orderBy(dice.desc(), "doc_id").limit(2 * SAMPLE_UNLABELLED)
+    rows = base.join(F.broadcast(few), "doc_id").unionByName(other.withColumn("quality", F.lit(None).cast("int")))
     return rows.dropDuplicates(["doc_id"]).toPandas().sort_values("doc_id", ignore_index=True)
 
 
@@ -231,7 +239,8 @@ def quality_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
     Learns from labels (doc_id, quality); null ids and labels teach nothing, and with no label every score is that of
     an even prior.  Null and empty texts are judged as texts without tokens, null metadata as values of their own.
-    Repeated rows are scored alike; other columns are not read.
+    Repeated rows are scored alike; other columns are not read.  Very long texts are read whole; a score of exactly 0.5
+    predicts 1, one of exactly LEAST is not rejected.
     """
     model = train(training_sample(docs, labels))
     judged = with_quality(docs.select("doc_id", "text", "source", "lang", "n_chars"), model)
