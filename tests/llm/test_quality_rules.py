@@ -53,6 +53,15 @@ def test_certified_cutoffs_reject_junk_only(spark):
     for i, _, lang, _ in rows:
         assert got[i].kept == (i % 10 != 0 or lang == "xx"), got[i]
     assert all("symbols" in r.rejected_by for r in got.values() if not r.kept)
+    # the same verdicts from SQL, here with cutoffs that are certified
+    import duckdb
+
+    c = duckdb.connect()
+    for name, df in (("documents", docs), ("labels", labels)):
+        c.register(name, df.toPandas())
+    want = {r[0]: (r[1], r[2], r[3]) for r in c.sql(f"SELECT doc_id, base_failed, kept, rejected_by FROM ({Q.oracle_sql()})").fetchall()}
+    assert want == {i: (r.base_failed, r.kept, r.rejected_by) for i, r in got.items()}
+    assert sum(not r.kept and not r.base_failed for r in got.values()) > 400
     # too few labels certify nothing
     few = Q.quality_verdicts(docs, labels.limit(20))
     assert few.where("not kept").isEmpty()
@@ -60,3 +69,9 @@ def test_certified_cutoffs_reject_junk_only(spark):
     assert Q.quality_verdicts(docs, labels.limit(0)).where("not kept").isEmpty()
     twice = docs.limit(3).unionByName(docs.limit(3)).unionByName(spark.createDataFrame([(None, None, None, None)], SCHEMA))
     assert Q.quality_verdicts(twice, labels).count() == 7
+
+
+def test_very_long_text(spark):
+    text = "many words of a long text " * 60_000
+    r = Q.measured(spark.createDataFrame([(1, text, "en", None)], SCHEMA)).first()
+    assert (r.n_words, r.n_repeat_words, r.word_chars) == (360_000, 360_000, len(text.replace(" ", "")))
