@@ -11,11 +11,26 @@ import pytest
 sys.path.insert(0, str(Path(__file__).resolve().parents[2]))
 import corpus_pipeline as C  # noqa: E402
 
-from arbora.llm import cotraining, language_id, mixing, packing, simhash  # noqa: E402
+from arbora.llm import cotraining, language_id, mixing, packing  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
 
 
+def classes(texts):
+    """Place of the first text of each one's class, by the sets of five-word shingles of all pairs."""
+    sets = []
+    for t in texts:
+        w = (t or "").lower().split()
+        sets.append({tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set())
+    own = list(range(len(sets)))
+    for i in range(len(sets)):
+        for j in range(i):
+            if own[i] != own[j] and 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j]):
+                low, high = min(own[i], own[j]), max(own[i], own[j])
+                own = [low if x == high else x for x in own]
+    return own
+
+
 @pytest.mark.skipif(not Path(SF).exists(), reason="needs the test tables")
 def test_stages_match_brute_force(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
@@ -38,16 +53,7 @@ def test_stages_match_brute_force(spark):
     assert {r.doc_id for r in got.collect()} == want and got.columns == columns
 
     kept = docs.where(docs.doc_id.isin(list(want)))
-    prints = {i: simhash.simhash(now[i].text) for i in sorted(want)}
-    own = {i: i for i in prints}
-    changed = True
-    while changed:
-        changed = False
-        for i in prints:
-            for j in prints:
-                if own[i] != own[j] and (prints[i] ^ prints[j]).bit_count() <= 2:
-                    own[i] = own[j] = min(own[i], own[j])
-                    changed = True
+    own = dict(zip(sorted(want), [sorted(want)[k] for k in classes([now[i].text for i in sorted(want)])], strict=True))
     want = {i for i in want if own[i] == i}
     got = C.near_duplicates(spark, kept, SF)
     assert {r.doc_id for r in got.collect()} == want and got.columns == columns
@@ -59,7 +65,7 @@ def test_stages_match_brute_force(spark):
 
     final = C.run(spark, SF).collect()
     assert {r.doc_id for r in final} == drawn
-    encoder, seats = packing.Encoder(public_tokenizers.path("byte_bpe_50k.json")), defaultdict(list)
+    encoder, seats = packing.Encoder(public_tokenizers.path("byte_bpe_50k.json"), added=True), defaultdict(list)
     for i in drawn:
         ids, _ = encoder([now[i].text])
         assert sum(r.length for r in final if r.doc_id == i) == len(np.asarray(ids))
@@ -91,5 +97,15 @@ def test_stages_keep_clashing_columns_nulls_and_empty_tables(spark):
     assert C.packed(spark, rows, SF).where("doc_id is null").count() >= 3
 
 
+def test_stages_take_very_long_texts(spark):
+    """One text of a megabyte goes through all stages."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(60)
+    long = docs.orderBy("doc_id").limit(1).withColumns({"doc_id": mixing.F.lit(9_000_002).cast("long"), "text": mixing.F.expr("left(repeat(concat(text, ' '), 3000), 1000000)")})
+    rows = docs.unionByName(long)
+    for name, stage in C.STAGES[:-1]:
+        assert stage(spark, rows, SF).columns == rows.columns, name
+    assert C.packed(spark, rows, SF).where("doc_id = 9000002").count() > 100
+
+
 def test_names_and_order():
     assert [n for n, _ in C.STAGES] == ["quality_classifier", "language_id", "near_duplicates", "mixing", "packing"]
