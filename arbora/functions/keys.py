@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from arbora.operators.skew import numbered_rows
@@ -123,8 +123,8 @@ def unknown_clades(rows: DataFrame, ranks: list[str], ordinal: str, prefix: str
         gap = F.coalesce(F.trim(F.col(rank)), F.lit("")) == ""
         out = out.withColumns({"_below": below, "_gap": gap})
         firsts = out.where("_gap").groupBy("_below").agg(F.min(ordinal).alias("_o"))
-        number = F.row_number().over(Window.orderBy("_o"))
-        out = out.join(firsts.select("_below", number.alias("_number")), "_below", "left")
+        numbered = numbered_rows(firsts, "_n", "_o").select("_below", (F.col("_n") + 1).alias("_number"))
+        out = out.join(numbered, "_below", "left")
         out = out.withColumn(rank, F.when(F.col("_gap"), F.concat(F.lit(f"{prefix}_{rank}_"), F.col("_number").cast("string"))).otherwise(F.col(rank))).drop("_below", "_gap", "_number")
     return out
 

@@ -68,9 +68,8 @@ def composite_table(occupied: DataFrame, rules: dict[str, Column]) -> DataFrame:
     return occupied.select("group_key", F.explode(F.array_compact(hit)).alias("composite")).select("composite", "group_key")
 
 
-def class_of(inner: Column, outer: Column, other: Column, names: tuple[str, str, str, str] = ("inner_only", "mixed", "outer_only", "none")) -> Column:
-    """Four classes from the counts of members inside the inner clade, inside the outer one only, and elsewhere."""
-    del other
+def class_of(inner: Column, outer: Column, names: tuple[str, str, str, str] = ("inner_only", "mixed", "outer_only", "none")) -> Column:
+    """Four classes from the counts of members inside the inner clade, and inside the outer one only; else none."""
     return F.when((inner > 0) & (outer > 0), names[1]).when(inner > 0, names[0]).when(outer > 0, names[2]).otherwise(names[3])
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from arbora.operators.skew import numbered_rows
@@ -119,15 +119,55 @@ def resolve_names(names: DataFrame, direct: DataFrame, aliases: DataFrame, previ
     return out.fillna("NOT_FOUND", ["how"])
 
 
-def suggestions(missing: DataFrame, known: DataFrame, k: int = 5, most: int = 2) -> DataFrame:
-    """(name, suggestion, rank): known names that contain it, then those within ``most`` edits.
+#: Names that are asked for at once: a user's list, collected, and each compared with all known names.
+MOST_NAMES = 10_000
 
-    Candidates share the first letter or contain the name; both tables are short lists of symbols.
+
+def suggestions(missing: DataFrame, known: DataFrame, k: int = 5, least: float = 0.6) -> DataFrame:
+    """(name, suggestion, rank): known names that contain it, then those of a matching ratio of at least ``least``.
+
+    The ratio is twice the characters in matching blocks over all characters, whatever the case.  A table of over
+    MOST_NAMES names raises; known names may be any number, and are read once.
     """
-    pairs = missing.select("name").join(known.select(F.col("name").alias("suggestion")), F.expr("contains(lower(suggestion), lower(name)) or levenshtein(lower(name), lower(suggestion)) <= " + str(most)))
-    order = F.struct((~F.expr("contains(lower(suggestion), lower(name))")).alias("a"), F.levenshtein(F.lower("name"), F.lower("suggestion")).alias("b"), F.col("suggestion").alias("c"))
-    ranked = pairs.groupBy("name").agg(F.slice(F.array_sort(F.collect_list(order)), 1, k).alias("s"))
-    return ranked.select("name", F.posexplode("s").alias("rank", "x")).select("name", F.col("x.c").alias("suggestion"), "rank")
+    wanted = [r["name"] for r in missing.select("name").where("name is not null").distinct().limit(MOST_NAMES + 1).collect()]
+    if len(wanted) > MOST_NAMES:
+        raise ValueError(f"over {MOST_NAMES} names to suggest for")
+
+    def compare(frames):
+        from difflib import SequenceMatcher
+
+        for pdf in frames:
+            rows = []
+            for s in pdf["suggestion"].dropna():
+                m = SequenceMatcher(None, "", "", autojunk=False)
+                m.set_seq2(s.lower())
+                for name in wanted:
+                    low = name.lower()
+                    if low in s.lower():
+                        rows.append((name, s, True, 1.0))
+                        continue
+                    m.set_seq1(low)
+                    if m.real_quick_ratio() >= least and m.quick_ratio() >= least and (ratio := m.ratio()) >= least:
+                        rows.append((name, s, False, ratio))
+            yield type(pdf)(rows, columns=["name", "suggestion", "inside", "ratio"])
+
+    found = known.select(F.col("name").alias("suggestion")).distinct().mapInPandas(compare, "name string, suggestion string, inside boolean, ratio double")
+    rank = F.row_number().over(Window.partitionBy("name").orderBy(F.desc("inside"), F.desc("ratio"), "suggestion"))
+    return found.select("name", "suggestion", (rank - 1).alias("rank")).where(F.col("rank") < k)
+
+
+def wide_base(base: DataFrame, key: str, sources: dict[str, DataFrame]) -> DataFrame:
+    """``base`` with the columns of every source as <source>_<column>; a source has one row a key, which is asserted.
+
+    Where a source is silent its columns are null, and <source>_available says whether it has the row.
+    """
+    out = base
+    for name, source in sources.items():
+        rest = [c for c in source.columns if c != key]
+        again = F.count(F.lit(1))
+        one = source.groupBy(key).agg(F.first(F.struct(*rest)).alias("_r"), again.alias("_n")).where(F.assert_true(F.col("_n") == 1, f"{name} repeats a key").isNull())
+        out = with_source(out, one.select(key, *[F.col(f"_r.{c}").alias(f"{name}_{c}") for c in rest]), name, [key])
+    return out
 
 
 def species_matrix(rows: DataFrame, cluster: str, tip: str, tips: list[str]) -> DataFrame:
@@ -139,9 +179,9 @@ def species_matrix(rows: DataFrame, cluster: str, tip: str, tips: list[str]) ->
 
 
 def ordered_distinct(rows: DataFrame, key: str, value: str, ordinal: str, delimiter: str = ";") -> DataFrame:
-    """(key, list): distinct values in first-seen order."""
-    items = F.array_distinct(F.transform(F.array_sort(F.collect_list(F.struct(ordinal, value))), lambda x: x[value]))
-    return rows.groupBy(key).agg(F.array_join(items, delimiter).alias("list"))
+    """(key, list): distinct values in first-seen order; only the distinct ones of a key are gathered."""
+    items = F.transform(F.array_sort(F.collect_list(F.struct("_o", value))), lambda x: x[value])
+    return rows.groupBy(key, value).agg(F.min(ordinal).alias("_o")).groupBy(key).agg(F.array_join(items, delimiter).alias("list"))
 
 
 def set_differences(expected: DataFrame, found: DataFrame, key: str) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from arbora.operators.graphs import components
-from arbora.operators.skew import numbered_rows
+from arbora.operators.skew import numbered_rows, stage
 
 
 def strong_hits(hits: DataFrame, query: str, subject: str, evalue: str, most: float = 1e-60) -> DataFrame:
@@ -48,6 +48,20 @@ def reciprocal_keepers(forward: DataFrame, reverse: DataFrame, seeds: DataFrame,
     return kept.join(seeds.select(F.col("id").alias("candidate")), "candidate", "left_anti").join(seed_sources.select(F.col("id").alias("candidate")), "candidate", "left_anti")
 
 
+def homologs(hits: DataFrame, reverse: DataFrame, seeds: DataFrame, sources: DataFrame, keepers: DataFrame, sequences: DataFrame, taxon: Column) -> DataFrame:
+    """(id, role, sequence): seeds, and the homologs found by them, with their whole sequences.
+
+    hits: (query, subject, region), of seeds on candidates; reverse: (candidate, hit), of the candidates' regions on the
+    seeds' own genomes; seeds: (id); sources: (id), all of the seeds' genomes; keepers: (taxon), species to keep;
+    sequences: (id, sequence).  A candidate stays if a seed hits it, its region hits a seed back, it is no sequence of a
+    seed's genome, and ``taxon`` (of the column candidate) is kept.
+    """
+    found = reciprocal_keepers(hits.select(F.col("subject").alias("candidate")), reverse, seeds, sources)
+    kept = found.withColumn("taxon", taxon).join(keepers.select("taxon").distinct(), "taxon", "left_semi")
+    both = seeds.select("id", F.lit("seed").alias("role")).unionByName(kept.select(F.col("candidate").alias("id"), F.lit("homolog").alias("role")))
+    return both.join(sequences, "id").select("id", "role", "sequence")
+
+
 def thresholds(hits: DataFrame, least: float = 95.0) -> DataFrame:
     """Hits with identity and both coverages at least ``least`` whose seed is not longer than its target."""
     return hits.where((F.col("identity") >= least) & (F.col("qcov") >= least) & (F.col("scov") >= least) & (F.col("seed_length") <= F.col("target_length")))
@@ -110,13 +124,18 @@ def seed_mapping(seeds: DataFrame, accessions: DataFrame, hits: DataFrame) -> Da
     """(seed, target, status): by accession, else by the only close hit, else by optimal assignment, else NOT_FOUND.
 
     seeds: (seed, accession), accessions: (accession, target), hits: (seed, target, identity, qcov, scov, seed_length,
-    target_length, score).  Later steps see only seeds and targets that earlier ones left.
+    target_length, score).  Later steps see only seeds and targets that earlier ones left.  What is left is assigned by
+    components of seeds and targets that hits connect, each in a task of its own.
     """
     direct = seeds.join(accessions, "accession").groupBy("seed").agg(F.min("target").alias("target")).withColumn("status", F.lit("ACCESSION"))
     left = thresholds(hits).join(direct, "seed", "left_anti").join(direct.select("target"), "target", "left_anti")
     alone = unique_claims(left, "seed", "target").withColumn("status", F.lit("UNIQUE"))
     more = left.join(alone, "seed", "left_anti").join(alone.select("target"), "target", "left_anti")
-    solved = optimal_assignment(more.withColumn("block", F.lit(1)), "block", "seed", "target", "score").select("seed", "target", F.lit("ASSIGNED").alias("status"))
+    more = stage(more, "contested")
+    ends = more.select(F.concat(F.lit("s"), F.col("seed").cast("string")).alias("a"), F.concat(F.lit("t"), F.col("target").cast("string")).alias("b"))
+    blocks = components(ends).select(F.col("node").alias("_node"), F.col("comp").alias("block"))
+    more = more.join(blocks, F.concat(F.lit("s"), F.col("seed").cast("string")) == F.col("_node"))
+    solved = optimal_assignment(more, "block", "seed", "target", "score").select("seed", "target", F.lit("ASSIGNED").alias("status"))
     found = direct.select("seed", "target", "status").unionByName(alone).unionByName(solved)
     return seeds.select("seed").join(found, "seed", "left").fillna("NOT_FOUND", ["status"])
 
@@ -210,11 +229,39 @@ def subsequences(hits: DataFrame, sequences: DataFrame, legacy_end: bool = False
     return last.join(sequences, F.col("subject") == F.col("id")).select("subject", F.substring(F.col("sequence"), F.col("h.sstart"), F.greatest(length, F.lit(0))).alias("region"))
 
 
-def similar_to(queries: DataFrame, vectors: DataFrame, key: str, vector: str, block: str, least: float) -> DataFrame:
-    """(block, query, subject, cosine): subjects of a stated query set, within its blocks, at least ``least`` alike."""
-    norm = F.sqrt(F.aggregate(F.col(vector), F.lit(0.0), lambda acc, x: acc + x.cast("double") * x))
-    side = lambda df, name, v, n: df.select(F.col(key).alias(name), block, F.col(vector).alias(v), norm.alias(n))
-    dot = F.aggregate(F.zip_with("va", "vb", lambda x, y: x.cast("double") * y), F.lit(0.0), lambda acc, x: acc + x)
-    pairs = side(queries, "query", "va", "na").join(side(vectors, "subject", "vb", "nb"), block).where("query <> subject")
-    pairs = pairs.withColumn("cosine", dot / (F.col("na") * F.col("nb")))
-    return pairs.where(F.col("cosine") >= least).select(block, "query", "subject", F.bround("cosine", 6).alias("cosine"))
+#: Rows a side of a cell of the grid on which a query set is compared with all rows.
+GRID_ROWS = 4_096
+
+
+def similar_to(queries: DataFrame, vectors: DataFrame, key: str, vector: str, least: float) -> DataFrame:
+    """(query, subject, cosine): subjects at least ``least`` alike of a stated query set, out of all vectors.
+
+    Queries and vectors are dealt to blocks of about GRID_ROWS by hash, and each cell of the grid of blocks is one
+    product of two matrices; so a task holds two blocks and what is alike in them, however many rows there are.
+    """
+    across, down = (max(1, -(-df.count() // GRID_ROWS)) for df in (queries, vectors))
+    block = lambda n, name: F.pmod(F.xxhash64(key), F.lit(n)).cast("int").alias(name)
+    every = lambda n, name: F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias(name)
+    values = F.col(vector).cast("array<double>").alias("v")
+    a = queries.select(F.col(key).alias("k"), values, block(across, "x"), every(down, "y"))
+    b = vectors.select(F.col(key).alias("k"), values, block(down, "y"), every(across, "x"))
+    id_type = vectors.schema[key].dataType.simpleString()
+
+    def cell(left, right):
+        import numpy as np
+
+        empty = type(left)({"query": left["k"].iloc[:0], "subject": left["k"].iloc[:0], "cosine": np.zeros(0)})
+        if not len(left) or not len(right):
+            return empty
+        p, q = np.stack(left["v"].to_list()), np.stack(right["v"].to_list())
+        norm = lambda m: np.sqrt(np.cumsum(m * m, 1)[:, -1])
+        n, m = norm(p), norm(q)
+        with np.errstate(invalid="ignore", divide="ignore"):
+            i, j = np.nonzero(p @ q.T / np.outer(n, m) >= least - 1e-9)
+            i, j = (z[left["k"].to_numpy()[i] != right["k"].to_numpy()[j]] for z in (i, j))
+            cosine = np.concatenate([np.zeros(0), *(np.cumsum(p[i[s : s + 8192]] * q[j[s : s + 8192]], 1)[:, -1] for s in range(0, len(i), 8192))]) / (n[i] * m[j])
+        keep = cosine >= least
+        return type(left)({"query": left["k"].to_numpy()[i][keep], "subject": right["k"].to_numpy()[j][keep], "cosine": cosine[keep]})
+
+    found = a.groupBy("x", "y").cogroup(b.groupBy("x", "y")).applyInPandas(cell, f"query {id_type}, subject {id_type}, cosine double")
+    return found.select("query", "subject", F.bround("cosine", 6).alias("cosine"))

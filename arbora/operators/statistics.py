@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -133,25 +135,37 @@ def copy_class(n: Column) -> Column:
     return F.when(n == 1, "1").when(n == 2, "2").when(n <= 5, "3-5").otherwise("6+")
 
 
-def clustering_metrics(members: DataFrame, n_tips: int) -> DataFrame:
-    """(metric, value) of a clustering; members: (cluster, tip, entity).
+def clustering_metrics(members: DataFrame, tips: DataFrame, near: int = 50, some: int = 10, broad: int = 10) -> DataFrame:
+    """(metric, value) of a clustering; members: (cluster, tip, entity), tips: (tip, phylum), all tips that were clustered.
 
-    Sections: totals, copy-number classes of (cluster, tip) pairs, clusters single-copy in half, three quarters and nine
-    tenths of their tips, completeness bands, and size classes.
+    Sections: totals, clusters whose tips have one copy each (in one, several or all tips) or nearly so (of those with
+    several tips), completeness in tips, sizes, copies as means a tip, and breadth in phyla (of those with several tips).
     """
-    pair = members.groupBy("cluster", "tip").agg(F.count(F.lit(1)).alias("c"))
-    per = pair.groupBy("cluster").agg(F.sum("c").alias("size"), F.count(F.lit(1)).alias("tips"), F.avg((F.col("c") == 1).cast("double")).alias("single"))
-    count = lambda cond, name: F.coalesce(F.sum(cond.cast("long")), F.lit(0)).cast("double").alias(name)
-    share = F.col("tips") / n_tips
-    a = per.agg(
-        F.count(F.lit(1)).cast("double").alias("clusters"), F.coalesce(F.sum("size"), F.lit(0)).cast("double").alias("entities"), F.bround(F.avg("size"), 4).alias("mean_size"), F.bround(F.avg("tips"), 4).alias("mean_tips"),
-        *[count(F.col("single") >= x, f"single_copy_{int(100 * x)}") for x in (0.5, 0.75, 0.9)],
-        *[count((share > lo) & (share <= hi), f"complete_{int(100 * hi)}") for lo, hi in ((0, 0.25), (0.25, 0.5), (0.5, 0.75), (0.75, 1.0))],
-        *[count(size_classes(F.col("size")) == s, f"size_{s}") for s in ("1", "2-10", "11-100", "101-1000", ">1000")],
-    )
-    b = pair.agg(*[count(copy_class(F.col("c")) == s, f"copies_{s}") for s in ("1", "2", "3-5", "6+")])
-    wide = a.crossJoin(b)
-    return wide.select(F.explode(F.array(*[F.struct(F.lit(c).alias("metric"), F.col(c).alias("value")) for c in wide.columns])).alias("x")).select("x.metric", "x.value")
+    n = F.lit(tips.select("tip").distinct().count())
+    pair = members.groupBy("cluster", "tip").agg(F.count(F.lit(1)).alias("c")).join(tips, "tip", "left")
+    held = F.count_distinct(F.coalesce("phylum", F.lit("Unknown")))
+    per = pair.groupBy("cluster").agg(F.sum("c").alias("size"), F.count(F.lit(1)).alias("tips"), F.sum((F.col("c") == 1).cast("long")).alias("single"), held.alias("phyla"))
+    size, held_tips, single, phyla = F.col("size"), F.col("tips"), F.col("single"), F.when(F.col("tips") >= 2, F.col("phyla"))
+    several, share = held_tips >= 2, single / held_tips
+    count = lambda cond: F.coalesce(F.sum(F.coalesce(cond, F.lit(False)).cast("long")), F.lit(0))
+    total = F.count(F.lit(1))
+    a = {
+        "clusters": total, "members": F.coalesce(F.sum("size"), F.lit(0)), "singletons": count(size == 1),
+        "singleton_percent": F.coalesce(F.bround(100.0 * count(size == 1) / F.nullif(total, F.lit(0)), 1), F.lit(0.0)), "multi_member": count(size != 1),
+        "one_copy_one_tip": count((single == held_tips) & (held_tips == 1)), "one_copy_several_tips": count((single == held_tips) & several), "one_copy_all_tips": count((single == held_tips) & (held_tips == n)),
+        **{f"one_copy_in_{int(100 * x)}_percent": count(several & (share >= x)) for x in (0.5, 0.75, 0.9)},
+        "complete_all": count(held_tips == n), f"complete_{near}_plus": count((held_tips < n) & (held_tips >= near)), "complete_half_plus": count((held_tips < n) & (held_tips < near) & (held_tips >= F.floor(n / 2))),
+        f"complete_{some}_to_half": count((held_tips < F.least(n, F.lit(near), F.floor(n / 2))) & (held_tips >= some)),
+        f"complete_2_to_{some - 1}": count((held_tips < F.least(n, F.lit(near), F.floor(n / 2), F.lit(some))) & several),
+        "size_greatest": F.coalesce(F.max("size"), F.lit(0)), "size_mean": F.coalesce(F.bround(F.avg("size"), 2), F.lit(0.0)), "size_median": F.coalesce(F.median("size"), F.lit(0.0)),
+        "size_2_to_10": count((size >= 2) & (size <= 10)), "size_11_to_100": count((size >= 11) & (size <= 100)), "size_101_to_1000": count((size >= 101) & (size <= 1000)), "size_over_1000": count(size > 1000),
+        "phyla_mean": F.coalesce(F.bround(F.avg(phyla), 2), F.lit(0.0)), "phyla_median": F.coalesce(F.median(phyla), F.lit(0.0)), "phyla_greatest": F.coalesce(F.max(phyla), F.lit(0)),
+        f"phyla_{broad}_plus": count(phyla >= broad), "phyla_one": count(phyla == 1),
+    }
+    b = {f"tip_mean_copies_{s}": F.bround(count(copy_class(F.col("c")) == s) / n, 0) for s in ("1", "2", "3-5", "6+")}
+    long = lambda df, ms: df.agg(*[m.cast("double").alias(k) for k, m in ms.items()]).select(F.explode(F.array(*[F.struct(F.lit(k).alias("metric"), F.col(f"`{k}`").alias("value")) for k in ms])).alias("x"))
+    tips_row = tips.agg(F.count_distinct("tip").cast("double").alias("value")).select(F.lit("tips").alias("metric"), "value")
+    return long(per, a).unionByName(long(pair, b)).select("x.metric", "x.value").unionByName(tips_row)
 
 
 def co_clustering(a: DataFrame, b: DataFrame) -> DataFrame:
@@ -174,6 +188,45 @@ def n50(lengths: DataFrame, length: str, *by: str) -> DataFrame:
     return rows.groupBy(*by).agg(F.sum("_c").alias("n"), F.sum(sum_).alias("total"), F.max(F.when(F.col("_run") * 2 >= F.col("_all"), F.col(length))).alias("n50"))
 
 
+def assembly(sequences: DataFrame, by: str, sequence: str) -> DataFrame:
+    """Per assembly: sequences, residues, n50, longest, percent of G and C among A, C, G and T, percent of N, and runs of N."""
+    base = F.upper(sequence)
+    of = lambda chars: F.length(base) - F.length(F.translate(base, chars, ""))
+    rows = sequences.select(by, F.length(sequence).cast("long").alias("_l"), of("GC").alias("_gc"), of("ACGT").alias("_acgt"), of("N").alias("_n"), F.size(F.regexp_extract_all(base, F.lit("N+"), F.lit(0))).alias("_gaps"))
+    totals = rows.groupBy(by).agg(
+        F.max("_l").alias("longest"), F.bround(100.0 * F.sum("_gc") / F.nullif(F.sum("_acgt"), F.lit(0)), 2).alias("gc_percent"), F.bround(100.0 * F.sum("_n") / F.nullif(F.sum("_l"), F.lit(0)), 2).alias("n_percent"), F.sum("_gaps").alias("gaps")
+    )
+    return n50(rows, "_l", by).join(totals, by)
+
+
+def additive_counts(by: str, *tables: DataFrame) -> DataFrame:
+    """(by, n): rows of all tables together, seeds and what they found."""
+    return reduce(lambda a, b: a.unionAll(b), [t.groupBy(by).agg(F.count(F.lit(1)).alias("n")) for t in tables]).groupBy(by).agg(F.sum("n").alias("n"))
+
+
+def summary_matrix(rows: DataFrame, outer: str, inner: str, entity: str) -> DataFrame:
+    """(outer, inner, n, entities): rows and distinct entities of each pair, of each outer value, and of all (nulls)."""
+    sets = rows.select(outer, inner, entity).groupingSets([[F.col(outer), F.col(inner)], [F.col(outer)], []], outer, inner)
+    return sets.agg(F.count(F.lit(1)).alias("n"), F.count_distinct(entity).alias("entities"))
+
+
+def pass_kinds(rows: DataFrame, entity: str, kind: str) -> DataFrame:
+    """(n_kinds, entities, rows): entities by how many kinds of features they have."""
+    per = rows.groupBy(entity).agg(F.count_distinct(kind).alias("n_kinds"), F.count(F.lit(1)).alias("n"))
+    return per.groupBy("n_kinds").agg(F.count(F.lit(1)).alias("entities"), F.sum("n").alias("rows"))
+
+
+def membrane_counts(topology: DataFrame, entity: str, string: str) -> DataFrame:
+    """(entity, passes, signal, kind) from a string of one letter a residue: H or h and B or b in membranes, S in a signal.
+
+    A pass is a run of membrane letters; kind is none, single or multi, with _signal where a signal is.
+    """
+    passes = F.size(F.regexp_extract_all(string, F.lit("[HhBb]+"), F.lit(0)))
+    signal = F.contains(F.col(string), F.lit("S"))
+    kind = F.when(passes == 0, "none").when(passes == 1, "single").otherwise("multi")
+    return topology.select(entity, passes.cast("long").alias("passes"), signal.alias("signal"), F.concat(kind, F.when(signal, "_signal").otherwise("")).alias("kind"))
+
+
 def completeness(facts: DataFrame, taxon: str, database: str, entity: str) -> DataFrame:
     """Per taxon: databases, their sorted list, rows, and distinct entities over all databases."""
     return facts.groupBy(taxon).agg(F.count_distinct(database).alias("databases"), F.array_join(F.array_sort(F.collect_set(database)), ",").alias("database_list"), F.count(F.lit(1)).alias("annotations"), F.count_distinct(entity).alias("entities"))

@@ -110,23 +110,29 @@ def history_checks(spark, sf):
     return checks.history_checks(presence(spark, sf), tree(spark, sf))
 
 
-# several topologies: three as inline edges for the oracle, all for the engine
-def _three() -> list[tuple[str, T.Node]]:
-    comb = T.Node(REGIONS[0])
-    for name in REGIONS[1:]:
-        comb = T.Node("", [comb, T.Node(name)])
-    found = T.numbered_topologies(comb)[:3]
-    T.name_inner(found)
-    return found
-
-
-_EDGES3 = ", ".join(f"('{t}', '{p}', '{c}')" for t, n in _three() for p, c in T.edges_of(n))
-TOPOLOGIES3 = f"""RECURSIVE top(topology, parent, child) AS (SELECT * FROM (VALUES {_EDGES3}) v),
+# several topologies, which the oracle enumerates by itself: clades are put together from smaller ones by bit masks, the
+# trees numbered with the comb first and then by canonical form, inner nodes named as they are first met, breadth first
+_PART = """SELECT '(' || least(a.form, b.form) || ',' || greatest(a.form, b.form) || ')' AS form, a.mask | b.mask AS mask,
+  list_concat([{'form': '(' || least(a.form, b.form) || ',' || greatest(a.form, b.form) || ')', 'route': ''}],
+  list_transform(a.parts, lambda x: {'form': x.form, 'route': '0' || x.route}), list_transform(b.parts, lambda x: {'form': x.form, 'route': '1' || x.route})) AS parts
+  FROM smaller a JOIN smaller b ON a.mask & b.mask = 0 AND a.mask & -a.mask < b.mask & -b.mask AND bit_count(a.mask) + bit_count(b.mask) = """
+_CLADES = "t1 AS (SELECT r_name AS form, (1 << (row_number() OVER (ORDER BY r_name) - 1)::INTEGER) AS mask, [{'form': r_name, 'route': ''}] AS parts FROM region),\n"
+for _n in range(2, len(REGIONS) + 1):
+    _CLADES += f"s{_n} AS (" + " UNION ALL ".join(f"SELECT * FROM t{_k}" for _k in range(1, _n)) + f"),\nt{_n} AS ({_PART.replace('smaller', f's{_n}')}{_n}),\n"
+_COMB = "(" * (len(REGIONS) - 1) + REGIONS[0] + "".join(f",{r})" for r in REGIONS[1:])
+_TOP = _CLADES + f"""numbered AS (SELECT lpad(row_number() OVER (ORDER BY form <> '{_COMB}', form)::VARCHAR, 3, '0') AS topology, parts FROM t{len(REGIONS)}),
+parts AS (SELECT topology, x.form AS form, x.route AS route FROM (SELECT topology, unnest(parts) AS x FROM numbered)),
+inner_names AS (SELECT form, 'N' || lpad(row_number() OVER (ORDER BY min((topology, length(route), route)))::VARCHAR, 3, '0') AS name FROM parts WHERE starts_with(form, '(') GROUP BY form),
+named AS (SELECT topology, route, coalesce(name, form) AS name FROM parts LEFT JOIN inner_names USING (form)),
+top(topology, parent, child) AS (SELECT n.topology, CASE WHEN n.route = '' THEN 'OOL' ELSE p.name END, n.name FROM named n LEFT JOIN named p ON p.topology = n.topology AND n.route <> '' AND p.route = left(n.route, length(n.route) - 1))"""
+ALL = f"""RECURSIVE {_TOP},
 geo AS (SELECT n_name AS tip, r_name AS grp FROM nation JOIN region ON n_regionkey = r_regionkey),
 edges3 AS (SELECT * FROM top UNION ALL SELECT topology, grp, tip FROM geo CROSS JOIN (SELECT DISTINCT topology FROM top)),
 up AS (SELECT topology, tip, tip AS node, 0 AS h FROM geo CROSS JOIN (SELECT DISTINCT topology FROM top) UNION ALL
   SELECT u.topology, u.tip, e.parent, u.h + 1 FROM up u JOIN edges3 e ON e.topology = u.topology AND e.child = u.node WHERE e.parent <> 'OOL'),
 paths3 AS (SELECT topology, tip, node, max(h) OVER (PARTITION BY topology, tip) - h AS depth FROM up)"""
+#: The first three only, for the queries that are about three.
+THREE = ALL.replace("edges3 AS (SELECT * FROM top UNION", "edges3 AS (SELECT * FROM top WHERE topology <= '003' UNION").replace("(SELECT DISTINCT topology FROM top)", "(SELECT DISTINCT topology FROM top WHERE topology <= '003')")
 ORIGIN3 = """sizes AS (SELECT feature, count(*) AS n FROM pres GROUP BY feature),
 shared3 AS (SELECT topology, feature, node, depth, count(*) AS k FROM pres JOIN paths3 USING (tip) GROUP BY ALL),
 origin3 AS (SELECT topology, feature, max(n) AS n_tips, arg_max(node, depth) AS origin, max(depth) AS depth FROM shared3 JOIN sizes USING (feature) WHERE k = n GROUP BY ALL)"""
@@ -135,51 +141,38 @@ counts3 AS (SELECT e.topology, e.parent, e.child, count(h.feature) AS inherited,
   LEFT JOIN held3 c ON c.topology = e.topology AND c.node = e.child AND c.feature = h.feature GROUP BY ALL)"""
 
 
-@query("origins_three_topologies", sql(TOPOLOGIES3, PRESENCE, ORIGIN3, "SELECT topology, feature, n_tips, origin, depth::INTEGER AS depth FROM origin3"))
+@query("origins_three_topologies", sql(THREE, PRESENCE, ORIGIN3, "SELECT topology, feature, n_tips, origin, depth::INTEGER AS depth FROM origin3"))
 def origins_three_topologies(spark, sf):
     return history.origins(presence(spark, sf), T.tables(spark, topologies(spark, sf, 3)))
 
 
-@query("edge_counts_three_topologies", sql(TOPOLOGIES3, PRESENCE, ORIGIN3, HELD3, "SELECT topology, parent, child, inherited, conserved, inherited - conserved AS lost FROM counts3"))
+@query("edge_counts_three_topologies", sql(THREE, PRESENCE, ORIGIN3, HELD3, "SELECT topology, parent, child, inherited, conserved, inherited - conserved AS lost FROM counts3"))
 def edge_counts_three_topologies(spark, sf):
     return history.edge_counts(presence(spark, sf), T.tables(spark, topologies(spark, sf, 3))).select("topology", "parent", "child", "inherited", "conserved", "lost")
 
 
-@query("topology_aggregate", sql(TOPOLOGIES3, PRESENCE, ORIGIN3, HELD3, """SELECT metric, sum(v)::DOUBLE AS total, min(v)::DOUBLE AS least, max(v)::DOUBLE AS greatest, median(v)::DOUBLE AS median,
+@query("topology_aggregate", sql(ALL, PRESENCE, ORIGIN3, HELD3, """SELECT metric, sum(v)::DOUBLE AS total, min(v)::DOUBLE AS least, max(v)::DOUBLE AS greatest, median(v)::DOUBLE AS median,
   round_even(avg(v), 4) AS mean, count(*) AS n FROM (SELECT topology, 'conserved' AS metric, sum(conserved)::DOUBLE AS v FROM counts3 GROUP BY topology
   UNION ALL SELECT topology, 'lost', sum(inherited - conserved)::DOUBLE FROM counts3 GROUP BY topology) GROUP BY metric"""))
 def topology_aggregate(spark, sf):
-    totals = history.run_totals(presence(spark, sf), T.tables(spark, topologies(spark, sf, 3)))
+    totals = history.run_totals(presence(spark, sf), T.tables(spark, topologies(spark, sf)))
     return history.topology_aggregate(totals, ["conserved", "lost"], [])
 
 
-def _all() -> list[tuple[str, T.Node]]:
-    comb = T.Node(REGIONS[0])
-    for name in REGIONS[1:]:
-        comb = T.Node("", [comb, T.Node(name)])
-    found = T.numbered_topologies(comb)
-    T.name_inner(found)
-    return found
-
-
-_EDGES = ", ".join(f"('{t}', '{p}', '{c}')" for t, n in _all() for p, c in T.edges_of(n))
-ALL = TOPOLOGIES3.replace(_EDGES3, _EDGES)
-
-
 @query("origins_all_topologies", sql(ALL, PRESENCE, ORIGIN3, "SELECT topology, origin, count(*) AS features FROM origin3 GROUP BY ALL"))
 def origins_all_topologies(spark, sf):
     """Origins by topology and node, counted: 105 topologies in one job."""
     return history.origin_counts(presence(spark, sf), T.tables(spark, topologies(spark, sf))["paths"])
 
 
-@query("ambiguous_nodes", sql(TOPOLOGIES3, "SELECT node, count(DISTINCT topology) AS topologies, 3::BIGINT AS \"of\" FROM paths3 GROUP BY node HAVING count(DISTINCT topology) < 3"))
+@query("ambiguous_nodes", sql(ALL, "SELECT node, count(DISTINCT topology) AS topologies, 105::BIGINT AS \"of\" FROM paths3 GROUP BY node HAVING count(DISTINCT topology) < 105"))
 def ambiguous_nodes(spark, sf):
-    return history.ambiguous_nodes(T.tables(spark, topologies(spark, sf, 3))["nodes"])
+    return history.ambiguous_nodes(T.tables(spark, topologies(spark, sf))["nodes"])
 
 
-@query("project_topologies", sql(TOPOLOGIES3, "SELECT DISTINCT topology, node FROM paths3 WHERE topology IN ('001', '003')"))
+@query("project_topologies", sql(ALL, "SELECT DISTINCT topology, node FROM paths3 WHERE topology IN ('001', '003')"))
 def project_topologies(spark, sf):
-    return history.project_topologies(T.tables(spark, topologies(spark, sf, 3))["nodes"].select("topology", "node"), "some", ["001", "003"])
+    return history.project_topologies(T.tables(spark, topologies(spark, sf))["nodes"].select("topology", "node"), "some", ["001", "003"])
 
 
 @query("expected_unique", sql(PRESENCE, WORLD, """m AS (SELECT grp, count(*) AS m FROM geo GROUP BY grp),
@@ -206,26 +199,26 @@ def clade_table(spark, sf):
     return topology.clade_table(tree(spark, sf))
 
 
-@query("root_paths", sql(TOPOLOGIES3, "SELECT topology, tip, string_agg(node, '>' ORDER BY depth) AS path FROM paths3 GROUP BY ALL"))
+@query("root_paths", sql(ALL, "SELECT topology, tip, string_agg(node, '>' ORDER BY depth) AS path FROM paths3 GROUP BY ALL"))
 def root_paths(spark, sf):
-    return topology.root_paths(T.tables(spark, topologies(spark, sf, 3)))
+    return topology.root_paths(T.tables(spark, topologies(spark, sf)))
 
 
-@query("tree_edges", sql(TOPOLOGIES3, "SELECT topology, parent, child FROM edges3"))
+@query("tree_edges", sql(ALL, "SELECT topology, parent, child FROM edges3"))
 def tree_edges(spark, sf):
-    return T.tables(spark, topologies(spark, sf, 3))["edges"]
+    return T.tables(spark, topologies(spark, sf))["edges"]
 
 
-@query("select_topologies", sql(TOPOLOGIES3, """SELECT DISTINCT a.topology FROM edges3 a JOIN edges3 b ON a.topology = b.topology AND a.parent = b.parent
+@query("select_topologies", sql(ALL, """SELECT DISTINCT a.topology FROM edges3 a JOIN edges3 b ON a.topology = b.topology AND a.parent = b.parent
   WHERE a.child = 'AFRICA' AND b.child = 'AMERICA'"""))
 def select_topologies(spark, sf):
-    return topology.select_topologies(T.tables(spark, topologies(spark, sf, 3))["edges"], sister=[("AFRICA", "AMERICA")])
+    return topology.select_topologies(T.tables(spark, topologies(spark, sf))["edges"], sister=[("AFRICA", "AMERICA")])
 
 
-@query("representative_topology", sql(TOPOLOGIES3, """SELECT topology, shared FROM (SELECT e.topology, count(r.child) AS shared FROM edges3 e LEFT JOIN edges3 r ON r.topology = '001' AND r.parent = e.parent AND r.child = e.child
+@query("representative_topology", sql(ALL, """SELECT topology, shared FROM (SELECT e.topology, count(r.child) AS shared FROM edges3 e LEFT JOIN edges3 r ON r.topology = '001' AND r.parent = e.parent AND r.child = e.child
   WHERE e.topology <> '001' GROUP BY e.topology) ORDER BY shared DESC, topology LIMIT 1"""))
 def representative_topology(spark, sf):
-    edges = T.tables(spark, topologies(spark, sf, 3))["edges"]
+    edges = T.tables(spark, topologies(spark, sf))["edges"]
     return topology.representative(edges, edges.where("topology <> '001'").select("topology").distinct(), "001")
 
 
@@ -254,6 +247,22 @@ def lowest_common(spark, sf):
     return history.origins(presence(spark, sf), tree(spark, sf)).select("feature", F.col("origin").alias("node"))
 
 
+@query("topology_forms", f"WITH {_TOP} SELECT topology, max(form) FILTER (route = '') AS canonical, count(*) AS nodes FROM parts GROUP BY topology")
+def topology_forms(spark, sf):
+    """The canonical form of every topology, and its nodes."""
+    rows = []
+    for t, root in topologies(spark, sf):
+        small = T.prune(root, {r for r in REGIONS if any(n.name == r for n in root.walk())})
+        rows.append((t, T.canonical(small), sum(1 for _ in small.walk())))
+    return spark.createDataFrame(rows, "topology string, canonical string, nodes long")
+
+
+@query("unfiltered_origins", sql(PRESENCE.replace(f" WHERE l_quantity >= {LOT}", ""), WORLD, ORIGIN, "SELECT feature, n_tips, origin, depth::INTEGER AS depth FROM origin"))
+def unfiltered_origins(spark, sf):
+    """Origins of all parts, whatever the lots they were sold in."""
+    return history.origins(presence(spark, sf, 0), tree(spark, sf)).select("feature", "n_tips", "origin", "depth")
+
+
 @query("newick_renderings")
 def newick_renderings(spark, sf):
     """Each topology as Newick, pruned to the regions, and its canonical form."""
@@ -320,8 +329,8 @@ def clade_signature(spark, sf):
 def composition_class(spark, sf):
     rows = presence(spark, sf).join(tip_groups(spark, sf), "tip").groupBy(F.col("feature").alias("group_key"))
     count = lambda *g: F.sum(F.col("grp").isin(*g).cast("long"))
-    rows = rows.agg(count("ASIA").alias("inner_tips"), count("EUROPE", "AFRICA").alias("outer_tips"), count("AMERICA", "MIDDLE EAST").alias("_other"))
-    return rows.select("group_key", "inner_tips", "outer_tips", composition.class_of(F.col("inner_tips"), F.col("outer_tips"), F.col("_other")).alias("cls"))
+    rows = rows.agg(count("ASIA").alias("inner_tips"), count("EUROPE", "AFRICA").alias("outer_tips"))
+    return rows.select("group_key", "inner_tips", "outer_tips", composition.class_of(F.col("inner_tips"), F.col("outer_tips")).alias("cls"))
 
 
 @query("cross_table", """SELECT l_partkey AS group_a, count(DISTINCT l_suppkey) AS n, count(DISTINCT l_suppkey) FILTER (s_acctbal >= 5000) AS rich, count(DISTINCT l_suppkey) FILTER (s_acctbal < 5000) AS poor,

@@ -133,15 +133,31 @@ def gene_drilldown(spark, sf):
     return integrate.with_source(table(spark, sf, "documents").select("doc_id", "source", "lang"), table(spark, sf, "labels"), "labels", ["doc_id"])
 
 
-@query("wide_annotations", """SELECT s_suppkey, s_name, n_name, r_name, items, parts, revenue, customers FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
-  LEFT JOIN (SELECT l_suppkey, count(*) AS items, count(DISTINCT l_partkey) AS parts, round_even(sum(l_extendedprice::DECIMAL(18, 2))::DOUBLE, 2) AS revenue FROM lineitem GROUP BY 1) ON l_suppkey = s_suppkey
-  LEFT JOIN (SELECT c_nationkey, count(*) AS customers FROM customer GROUP BY 1) ON c_nationkey = s_nationkey""")
+STATUSES, PRIORITIES = ("F", "O", "P"), ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")
+_WIDE = {**{f"status_{x}": f"o_orderstatus = '{x}'" for x in STATUSES}, **{f"priority_{x[0]}": f"o_orderpriority = '{x}'" for x in PRIORITIES}}
+_PER = "SELECT o_custkey AS c_custkey, count(*) AS n, max(o_orderkey) AS latest, round_even(sum(o_totalprice::DECIMAL(18, 2))::DOUBLE, 2) AS total FROM orders WHERE {} GROUP BY 1"
+_OTHERS = {
+    "place": ("SELECT c_custkey, n_name, r_name, n_regionkey FROM customer JOIN nation ON n_nationkey = c_nationkey JOIN region ON r_regionkey = n_regionkey", ["n_name", "r_name", "n_regionkey"]),
+    "segment": ("SELECT c_custkey, count(*) OVER (PARTITION BY c_mktsegment) AS peers, min(c_custkey) OVER (PARTITION BY c_mktsegment) AS first, c_mktsegment AS name FROM customer WHERE c_acctbal > 0", ["peers", "first", "name"]),
+    "lines": ("SELECT o_custkey AS c_custkey, count(*) AS n, count(DISTINCT l_partkey) AS parts, count(DISTINCT l_suppkey) AS suppliers FROM orders JOIN lineitem ON l_orderkey = o_orderkey GROUP BY 1", ["n", "parts", "suppliers"]),
+}
+_SOURCES = {k: (_PER.format(w), ["n", "latest", "total"]) for k, w in _WIDE.items()} | _OTHERS
+
+
+@query("wide_annotations", "WITH " + ", ".join(f"{k} AS ({q})" for k, (q, _) in _SOURCES.items()) + " SELECT c.c_custkey, c.c_name, " + ", ".join(f"{k}.{c} AS {k}_{c}" for k, (_, cs) in _SOURCES.items() for c in cs) + ", "
+       + ", ".join(f"{k}.c_custkey IS NOT NULL AS {k}_available" for k in _SOURCES) + " FROM customer c " + " ".join(f"LEFT JOIN {k} ON {k}.c_custkey = c.c_custkey" for k in _SOURCES))
 def wide_annotations(spark, sf):
-    s, n, r = (table(spark, sf, t) for t in ("supplier", "nation", "region"))
-    base = s.join(n, s["s_nationkey"] == n["n_nationkey"]).join(r, n["n_regionkey"] == r["r_regionkey"])
-    items = table(spark, sf, "lineitem").groupBy(F.col("l_suppkey").alias("s_suppkey")).agg(F.count(F.lit(1)).alias("items"), F.count_distinct("l_partkey").alias("parts"), F.bround(F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).cast("double"), 2).alias("revenue"))
-    near = table(spark, sf, "customer").groupBy(F.col("c_nationkey").alias("s_nationkey")).agg(F.count(F.lit(1)).alias("customers"))
-    return base.join(items, "s_suppkey", "left").join(near, "s_nationkey", "left").select("s_suppkey", "s_name", "n_name", "r_name", "items", "parts", "revenue", "customers")
+    """Every customer with 33 columns of eleven sources, and which of them know it."""
+    o, c, n, r, items = (table(spark, sf, t) for t in ("orders", "customer", "nation", "region", "lineitem"))
+    per = [F.count(F.lit(1)).alias("n"), F.max("o_orderkey").alias("latest"), F.bround(F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("double"), 2).alias("total")]
+    sources = {k: o.where(w).groupBy(F.col("o_custkey").alias("c_custkey")).agg(*per) for k, w in _WIDE.items()}
+    sources["place"] = c.join(n, c["c_nationkey"] == n["n_nationkey"]).join(r, n["n_regionkey"] == r["r_regionkey"]).select("c_custkey", "n_name", "r_name", "n_regionkey")
+    known = c.where("c_acctbal > 0")
+    peers = known.groupBy("c_mktsegment").agg(F.count(F.lit(1)).alias("peers"), F.min("c_custkey").alias("first"))
+    sources["segment"] = known.select("c_custkey", "c_mktsegment").join(peers, "c_mktsegment").select("c_custkey", "peers", "first", F.col("c_mktsegment").alias("name"))
+    lines = items.join(o, items["l_orderkey"] == o["o_orderkey"]).groupBy(F.col("o_custkey").alias("c_custkey"))
+    sources["lines"] = lines.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("l_partkey").alias("parts"), F.count_distinct("l_suppkey").alias("suppliers"))
+    return integrate.wide_base(c.select("c_custkey", "c_name"), "c_custkey", sources)
 
 
 @query("hierarchy_closure", """WITH RECURSIVE e AS (SELECT r_name AS parent, n_name AS child FROM region JOIN nation ON n_regionkey = r_regionkey UNION ALL SELECT 'WORLD', r_name FROM region),
@@ -174,8 +190,10 @@ def resolve_names(spark, sf):
     return integrate.resolve_names(p.select(name.alias("name")), b, b.withColumn("name", F.lower("name")), b.withColumn("name", F.concat(F.lit("old "), "name")))
 
 
-@query("name_suggestions", """WITH m AS (SELECT 'Brand#1x' AS name UNION ALL SELECT 'nd#2'), k AS (SELECT DISTINCT p_brand AS s FROM part), c AS (SELECT name, s, contains(lower(s), lower(name)) AS inside, levenshtein(lower(name), lower(s)) AS d FROM m, k)
-  SELECT name, s AS suggestion, (k - 1)::INTEGER AS rank FROM (SELECT *, row_number() OVER (PARTITION BY name ORDER BY NOT inside, d, s) AS k FROM c WHERE inside OR d <= 2) WHERE k <= 5""")
+@query("name_suggestions", """WITH k AS (SELECT DISTINCT p_brand AS s, substr(p_brand, 7) AS t FROM part), c AS (
+  SELECT 'Brand#1x' AS name, s, false AS inside, 2.0::DOUBLE * (6 + contains(t, '1')::INT) / (8 + length(s)) AS ratio FROM k
+  UNION ALL SELECT 'nd#2', s, starts_with(t, '2'), CASE WHEN starts_with(t, '2') THEN 1.0 ELSE 2.0::DOUBLE * (3 + contains(t, '2')::INT) / (4 + length(s)) END FROM k)
+  SELECT name, s AS suggestion, (k - 1)::INTEGER AS rank FROM (SELECT *, row_number() OVER (PARTITION BY name ORDER BY inside DESC, ratio DESC, s) AS k FROM c WHERE inside OR ratio >= 0.6) WHERE k <= 5""")
 def name_suggestions(spark, sf):
     missing = spark.createDataFrame([("Brand#1x",), ("nd#2",)], "name string")
     return integrate.suggestions(missing, table(spark, sf, "part").select(F.col("p_brand").alias("name")).distinct())

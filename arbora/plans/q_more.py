@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from arbora.operators import composition, history, integrate, similarity, topology
 from arbora.operators import trees as T
-from arbora.plans.q_history import BASE, MEMBERS, OCC, TOPOLOGIES3, _members, _occupied
+from arbora.operators.skew import numbered_rows
+from arbora.plans.q_history import ALL, BASE, MEMBERS, OCC, _members, _occupied
 from arbora.plans.world import LOT, PRESENCE, REGIONS, WORLD, Query, presence, sql, table, tip_groups, topologies, tree
 
 QUERIES: dict[str, Query] = {}
@@ -33,9 +34,7 @@ def header_matches(spark, sf):
 
 @query("lockstep_join", "SELECT row_number() OVER (ORDER BY c_custkey)::INTEGER AS k, c_custkey, c_name, c_acctbal FROM customer")
 def lockstep_join(spark, sf):
-    from pyspark.sql import Window
-
-    c = table(spark, sf, "customer").withColumn("k", F.row_number().over(Window.orderBy("c_custkey")))
+    c = numbered_rows(table(spark, sf, "customer").select("c_custkey", "c_name", "c_acctbal"), "_number", "c_custkey").withColumn("k", (F.col("_number") + 1).cast("int"))
     return integrate.lockstep(c.select("k", "c_custkey", "c_name"), c.select("k", "c_custkey", "c_acctbal"), "k", "c_custkey")
 
 
@@ -110,12 +109,12 @@ def composite_summary(spark, sf):
     return rows.agg(F.count_distinct("group_key").alias("groups"), F.count_distinct("entity").alias("entities"), F.count(F.lit(1)).alias("rows"))
 
 
-@query("clade_order", sql(TOPOLOGIES3, "SELECT topology, node, n::INTEGER AS n_tips, (row_number() OVER (PARTITION BY topology ORDER BY n DESC, node))::INTEGER AS place FROM (SELECT topology, node, count(*) AS n FROM paths3 GROUP BY ALL)"))
+@query("clade_order", sql(ALL, "SELECT topology, node, n::INTEGER AS n_tips, (row_number() OVER (PARTITION BY topology ORDER BY n DESC, node))::INTEGER AS place FROM (SELECT topology, node, count(*) AS n FROM paths3 GROUP BY ALL)"))
 def clade_order(spark, sf):
     """Nodes from the largest clade to the tips, as columns of wide tables are ordered."""
     from pyspark.sql import Window
 
-    nodes = T.tables(spark, topologies(spark, sf, 3))["nodes"]
+    nodes = T.tables(spark, topologies(spark, sf))["nodes"]
     return nodes.select("topology", "node", "n_tips", F.row_number().over(Window.partitionBy("topology").orderBy(F.desc("n_tips"), "node")).alias("place"))
 
 
@@ -151,16 +150,16 @@ def near_pairs(spark, sf):
     return similarity.neighbour_pairs(hits, placed, window=4)
 
 
-@query("newick_paths", sql(TOPOLOGIES3, "SELECT topology, node, string_agg(up, '>' ORDER BY d) AS path FROM (SELECT DISTINCT a.topology, a.node, b.node AS up, b.depth AS d FROM paths3 a JOIN paths3 b ON a.topology = b.topology AND a.tip = b.tip AND b.depth <= a.depth) GROUP BY ALL"))
+@query("newick_paths", sql(ALL, "SELECT topology, node, string_agg(up, '>' ORDER BY d) AS path FROM (SELECT DISTINCT a.topology, a.node, b.node AS up, b.depth AS d FROM paths3 a JOIN paths3 b ON a.topology = b.topology AND a.tip = b.tip AND b.depth <= a.depth) GROUP BY ALL"))
 def newick_paths(spark, sf):
     """The path from the root of every clade of several topologies."""
-    rows = [(t, n, ">".join(p)) for t, root in topologies(spark, sf, 3) for n, p in T.paths_of(root).items()]
+    rows = [(t, n, ">".join(p)) for t, root in topologies(spark, sf) for n, p in T.paths_of(root).items()]
     return spark.createDataFrame(rows, "topology string, node string, path string")
 
 
-@query("direct_children", sql(TOPOLOGIES3, "SELECT DISTINCT topology FROM edges3 WHERE parent = 'ASIA' AND child = 'NATION_2'"))
+@query("direct_children", sql(ALL, "SELECT DISTINCT topology FROM edges3 WHERE parent = 'ASIA' AND child = 'NATION_2'"))
 def direct_children(spark, sf):
-    return topology.select_topologies(T.tables(spark, topologies(spark, sf, 3))["edges"], direct_child=[("ASIA", "NATION_2")])
+    return topology.select_topologies(T.tables(spark, topologies(spark, sf))["edges"], direct_child=[("ASIA", "NATION_2")])
 
 
 @query("large_lots", f"SELECT l_partkey AS feature, count(*) AS lots, count(DISTINCT l_suppkey) AS suppliers FROM lineitem WHERE l_quantity >= {LOT} GROUP BY 1 HAVING count(DISTINCT l_suppkey) >= 5")

@@ -31,12 +31,12 @@ def _located(spark, sf):
 
 
 LOCATED = "loc AS (SELECT * FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey JOIN part ON l_partkey = p_partkey)"
-COUNTS = LOCATED + ", cnt AS (SELECT n_name, p_brand, count(*) AS n FROM loc WHERE l_quantity >= 49 GROUP BY ALL)"
+COUNTS = LOCATED + ", cnt AS (SELECT n_name, p_brand, count(*) AS n FROM loc GROUP BY ALL)"
 
 
 def _counts(spark, sf):
-    """(n_name, p_brand, n) of large lots; not every pair is there."""
-    return _located(spark, sf).where("l_quantity >= 49").groupBy("n_name", "p_brand").agg(F.count(F.lit(1)).alias("n"))
+    """(n_name, p_brand, n); not every pair need be there."""
+    return _located(spark, sf).groupBy("n_name", "p_brand").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("quantile_ranks", """SELECT p_partkey, CASE WHEN n = 1 THEN 0.5 ELSE round_even((lo + (t - 1) / 2.0::DOUBLE) / (n - 1), 6) END AS q FROM (SELECT p_partkey, count(*) OVER (PARTITION BY p_brand) AS n,
@@ -52,17 +52,17 @@ def summary_statistics(spark, sf):
     return statistics.summary(table(spark, sf, "part"), "p_retailprice", "p_brand")
 
 
-SIZES = "sz AS (SELECT l_partkey, count(*) AS size FROM lineitem WHERE l_quantity >= 45 GROUP BY 1)"
+SIZES = "sz AS (SELECT l_partkey, count(*) AS size FROM lineitem GROUP BY 1)"
 
 
 def _sizes(spark, sf):
-    return table(spark, sf, "lineitem").where("l_quantity >= 45").groupBy("l_partkey").agg(F.count(F.lit(1)).alias("size"))
+    return table(spark, sf, "lineitem").groupBy("l_partkey").agg(F.count(F.lit(1)).alias("size"))
 
 
 @query("cluster_statistics", f"""WITH {SIZES} SELECT count(*) AS clusters, sum(size)::BIGINT AS members, min(size) AS least, max(size) AS greatest, round_even(avg(size), 2) AS mean,
-  list_sort(list(size))[count(*) // 2 + 1] AS upper_median, count(*) FILTER (size = 1) AS singletons, round_even(100.0::DOUBLE * sum(size) / 100000, 2) AS coverage FROM sz""")
+  list_sort(list(size))[count(*) // 2 + 1] AS upper_median, count(*) FILTER (size = 1) AS singletons, round_even(100.0::DOUBLE * sum(size) / (SELECT count(*) FROM lineitem), 2) AS coverage FROM sz""")
 def cluster_statistics(spark, sf):
-    return statistics.cluster_statistics(_sizes(spark, sf), total=100_000)
+    return statistics.cluster_statistics(_sizes(spark, sf), total=table(spark, sf, "lineitem").count())
 
 
 @query("size_histogram", f"WITH {SIZES} SELECT size, count(*) AS clusters FROM sz GROUP BY size")
@@ -95,17 +95,17 @@ def low_flags(spark, sf):
     return _counts(spark, sf).select("n_name", "p_brand", statistics.low_flag("n", "p_brand").alias("low"))
 
 
-@query("count_matrix", f"WITH {LOCATED} SELECT p_brand, " + ", ".join(f"count(*) FILTER (n_name = 'NATION_{i}') AS NATION_{i}" for i in range(25)) + ", count(*) AS total_count, count(DISTINCT n_name) AS tip_count FROM loc WHERE l_quantity >= 49 GROUP BY p_brand")
+@query("count_matrix", f"WITH {LOCATED} SELECT p_brand, " + ", ".join(f"count(*) FILTER (n_name = 'NATION_{i}') AS NATION_{i}" for i in range(25)) + ", count(*) AS total_count, count(DISTINCT n_name) AS tip_count FROM loc GROUP BY p_brand")
 def count_matrix(spark, sf):
-    return integrate.species_matrix(_located(spark, sf).where("l_quantity >= 49"), "p_brand", "n_name", [f"NATION_{i}" for i in range(25)])
+    return integrate.species_matrix(_located(spark, sf), "p_brand", "n_name", [f"NATION_{i}" for i in range(25)])
 
 
-@query("jaccard_agreement", f"""WITH {LOCATED}, s AS (SELECT DISTINCT n_name, l_returnflag AS f, l_partkey FROM loc WHERE l_quantity >= 40), z AS (SELECT n_name, f, count(*) AS n FROM s GROUP BY ALL),
+@query("jaccard_agreement", f"""WITH {LOCATED}, s AS (SELECT DISTINCT n_name, l_returnflag AS f, l_partkey FROM loc), z AS (SELECT n_name, f, count(*) AS n FROM s GROUP BY ALL),
   b AS (SELECT x.n_name, x.f AS first, y.f AS second, count(*) AS both FROM s x JOIN s y ON x.n_name = y.n_name AND x.l_partkey = y.l_partkey AND x.f < y.f GROUP BY ALL)
   SELECT p.n_name, p.f AS first, q.f AS second, coalesce(b.both, 0) AS "both", p.n + q.n - coalesce(b.both, 0) AS either, round_even(100.0::DOUBLE * coalesce(b.both, 0) / (p.n + q.n - coalesce(b.both, 0)), 2) AS percent
   FROM z p JOIN z q ON p.n_name = q.n_name AND p.f < q.f LEFT JOIN b ON b.n_name = p.n_name AND b.first = p.f AND b.second = q.f""")
 def jaccard_agreement(spark, sf):
-    return statistics.jaccard(_located(spark, sf).where("l_quantity >= 40"), "l_partkey", "l_returnflag", "n_name").withColumnRenamed("l_returnflag", "first")
+    return statistics.jaccard(_located(spark, sf), "l_partkey", "l_returnflag", "n_name").withColumnRenamed("l_returnflag", "first")
 
 
 @query("code_pairs", """WITH c AS (SELECT DISTINCT l_orderkey, p_brand FROM lineitem JOIN part ON l_partkey = p_partkey) SELECT a.p_brand AS first, b.p_brand AS second, count(*) AS n FROM c a JOIN c b ON a.l_orderkey = b.l_orderkey AND a.p_brand < b.p_brand
@@ -148,20 +148,46 @@ def cluster_qc(spark, sf):
     return rows.agg(F.count(F.lit(1)).alias("sequences"), F.count_distinct("l_partkey").alias("clusters"), F.bround(100.0 * F.sum((F.col("l_quantity") >= 25).cast("long")) / F.count(F.lit(1)), 2).alias("coverage"))
 
 
-CLUSTERS = f"{LOCATED}, pr AS (SELECT l_partkey AS cluster, n_name AS tip, count(*) AS c FROM loc WHERE l_quantity >= 40 GROUP BY ALL), pc AS (SELECT cluster, sum(c) AS size, count(*) AS tips, avg((c = 1)::INT::DOUBLE) AS single FROM pr GROUP BY cluster)"
+CLUSTERS = f"""{LOCATED}, pr AS (SELECT l_partkey AS cluster, n_name AS tip, count(*) AS c FROM loc GROUP BY ALL),
+pc AS (SELECT cluster, sum(c) AS size, count(*) AS tips, count(*) FILTER (c = 1) AS single, count(DISTINCT r_name) AS phyla FROM pr JOIN nation ON n_name = tip JOIN region ON n_regionkey = r_regionkey GROUP BY cluster), many AS (SELECT * FROM pc WHERE tips >= 2)"""
 _METRICS = {
-    "clusters": "(SELECT count(*) FROM pc)", "entities": "(SELECT sum(size) FROM pc)", "mean_size": "(SELECT round_even(avg(size), 4) FROM pc)", "mean_tips": "(SELECT round_even(avg(tips), 4) FROM pc)",
-    **{f"single_copy_{int(100 * x)}": f"(SELECT count(*) FROM pc WHERE single >= {x})" for x in (0.5, 0.75, 0.9)},
-    **{f"complete_{int(100 * hi)}": f"(SELECT count(*) FROM pc WHERE tips / 25.0::DOUBLE > {lo} AND tips / 25.0::DOUBLE <= {hi})" for lo, hi in ((0, 0.25), (0.25, 0.5), (0.5, 0.75), (0.75, 1.0))},
-    "size_1": "(SELECT count(*) FROM pc WHERE size <= 1)", "size_2-10": "(SELECT count(*) FROM pc WHERE size BETWEEN 2 AND 10)", "size_11-100": "(SELECT count(*) FROM pc WHERE size BETWEEN 11 AND 100)", "size_101-1000": "(SELECT count(*) FROM pc WHERE size BETWEEN 101 AND 1000)", "size_>1000": "(SELECT count(*) FROM pc WHERE size > 1000)",
-    "copies_1": "(SELECT count(*) FROM pr WHERE c = 1)", "copies_2": "(SELECT count(*) FROM pr WHERE c = 2)", "copies_3-5": "(SELECT count(*) FROM pr WHERE c BETWEEN 3 AND 5)", "copies_6+": "(SELECT count(*) FROM pr WHERE c >= 6)",
+    "tips": "(SELECT count(*) FROM nation)", "clusters": "(SELECT count(*) FROM pc)", "members": "(SELECT sum(size) FROM pc)", "singletons": "(SELECT count(*) FROM pc WHERE size = 1)",
+    "singleton_percent": "(SELECT round_even(100.0::DOUBLE * count(*) FILTER (size = 1) / count(*), 1) FROM pc)", "multi_member": "(SELECT count(*) FROM pc WHERE size > 1)",
+    "one_copy_one_tip": "(SELECT count(*) FROM pc WHERE single = 1 AND tips = 1)", "one_copy_several_tips": "(SELECT count(*) FROM many WHERE single = tips)", "one_copy_all_tips": "(SELECT count(*) FROM pc WHERE single = 25)",
+    **{f"one_copy_in_{int(100 * x)}_percent": f"(SELECT count(*) FROM many WHERE single::DOUBLE / tips >= {x})" for x in (0.5, 0.75, 0.9)},
+    "complete_all": "(SELECT count(*) FROM pc WHERE tips = 25)", "complete_20_plus": "(SELECT count(*) FROM pc WHERE tips BETWEEN 20 AND 24)", "complete_half_plus": "(SELECT count(*) FROM pc WHERE tips BETWEEN 12 AND 19)",
+    "complete_5_to_half": "(SELECT count(*) FROM pc WHERE tips BETWEEN 5 AND 11)", "complete_2_to_4": "(SELECT count(*) FROM pc WHERE tips BETWEEN 2 AND 4)",
+    "size_greatest": "(SELECT max(size) FROM pc)", "size_mean": "(SELECT round_even(avg(size), 2) FROM pc)", "size_median": "(SELECT median(size) FROM pc)",
+    "size_2_to_10": "(SELECT count(*) FROM pc WHERE size BETWEEN 2 AND 10)", "size_11_to_100": "(SELECT count(*) FROM pc WHERE size BETWEEN 11 AND 100)", "size_101_to_1000": "(SELECT count(*) FROM pc WHERE size BETWEEN 101 AND 1000)", "size_over_1000": "(SELECT count(*) FROM pc WHERE size > 1000)",
+    "phyla_mean": "(SELECT coalesce(round_even(avg(phyla), 2), 0) FROM many)", "phyla_median": "(SELECT coalesce(median(phyla), 0) FROM many)", "phyla_greatest": "(SELECT coalesce(max(phyla), 0) FROM many)", "phyla_4_plus": "(SELECT count(*) FROM many WHERE phyla >= 4)", "phyla_one": "(SELECT count(*) FROM many WHERE phyla = 1)",
+    **{f"tip_mean_copies_{k}": f"(SELECT round_even(count(*) / 25.0::DOUBLE, 0) FROM pr WHERE {w})" for k, w in (("1", "c = 1"), ("2", "c = 2"), ("3-5", "c BETWEEN 3 AND 5"), ("6+", "c >= 6"))},
 }
 
 
 @query("clustering_metrics", f"WITH {CLUSTERS} " + " UNION ALL ".join(f"SELECT '{k}' AS metric, {v}::DOUBLE AS value" for k, v in _METRICS.items()))
 def clustering_metrics(spark, sf):
-    rows = _located(spark, sf).where("l_quantity >= 40").select(F.col("l_partkey").alias("cluster"), F.col("n_name").alias("tip"), F.col("l_orderkey").alias("entity"))
-    return statistics.clustering_metrics(rows, 25)
+    rows = _located(spark, sf).select(F.col("l_partkey").alias("cluster"), F.col("n_name").alias("tip"), F.col("l_orderkey").alias("entity"))
+    return statistics.clustering_metrics(rows, tip_groups(spark, sf).withColumnRenamed("grp", "phylum"), near=20, some=5, broad=4)
+
+
+@query("assembly_statistics", """WITH s AS (SELECT source, upper(text) AS t FROM documents), r AS (SELECT source, length(t) AS l, length(regexp_replace(t, '[^GC]', '', 'g')) AS gc, length(regexp_replace(t, '[^ACGT]', '', 'g')) AS acgt, length(regexp_replace(t, '[^N]', '', 'g')) AS nn,
+  len(regexp_extract_all(t, 'N+')) AS g, sum(length(t)) OVER (PARTITION BY source ORDER BY length(t) DESC ROWS UNBOUNDED PRECEDING) AS run, sum(length(t)) OVER (PARTITION BY source) AS total FROM s)
+  SELECT source, count(*) AS n, max(total)::BIGINT AS total, max(CASE WHEN run * 2 >= total THEN l END) AS n50, max(l) AS longest, round_even(100.0::DOUBLE * sum(gc) / sum(acgt), 2) AS gc_percent, round_even(100.0::DOUBLE * sum(nn) / sum(l), 2) AS n_percent, sum(g)::BIGINT AS gaps FROM r GROUP BY source""")
+def assembly_statistics(spark, sf):
+    """Documents as sequences of assemblies by source."""
+    return statistics.assembly(table(spark, sf, "documents").select("source", "text"), "source", "text")
+
+
+@query("membrane_counts", """WITH t AS (SELECT o_orderkey, repeat('i', 3) || string_agg(CASE WHEN l_returnflag = 'N' THEN 'HHH' WHEN l_returnflag = 'A' THEN 'oo' ELSE 'S' END, '' ORDER BY l_linenumber, l_partkey, l_suppkey, l_returnflag) AS s FROM orders JOIN lineitem ON l_orderkey = o_orderkey GROUP BY ALL)
+  SELECT o_orderkey, len(regexp_extract_all(s, 'H+')) AS passes, contains(s, 'S') AS signal, CASE len(regexp_extract_all(s, 'H+')) WHEN 0 THEN 'none' WHEN 1 THEN 'single' ELSE 'multi' END || CASE WHEN contains(s, 'S') THEN '_signal' ELSE '' END AS kind FROM t""")
+def membrane_counts(spark, sf):
+    """Orders as chains whose lines are stretches in, out of and before a membrane."""
+    items = table(spark, sf, "lineitem")
+    letter = F.when(F.col("l_returnflag") == "N", "HHH").when(F.col("l_returnflag") == "A", "oo").otherwise("S")
+    ordered = F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_returnflag", letter.alias("x"))))
+    chains = items.join(table(spark, sf, "orders").select("o_orderkey"), items["l_orderkey"] == F.col("o_orderkey")).groupBy("o_orderkey")
+    rows = chains.agg(F.concat(F.lit("iii"), F.array_join(F.transform(ordered, lambda v: v["x"]), "")).alias("s"))
+    return statistics.membrane_counts(rows, "o_orderkey", "s")
 
 
 @query("co_clustering", """WITH a AS (SELECT p_partkey, p_brand, p_type FROM part), f(n) AS (SELECT unnest([1])), x AS (SELECT count(*) AS n FROM a GROUP BY p_brand, p_type), y AS (SELECT count(*) AS n FROM a GROUP BY p_brand), z AS (SELECT count(*) AS n FROM a GROUP BY p_type)
@@ -188,11 +214,10 @@ def tool_rollup(spark, sf):
     return statistics.tool_rollup(per, "p_type", "p_brand")
 
 
-@query("additive_counts", "SELECT p_brand, sum(n)::BIGINT AS n FROM (SELECT p_brand, count(*) AS n FROM part GROUP BY 1 UNION ALL SELECT p_brand, count(*) FROM lineitem JOIN part ON l_partkey = p_partkey WHERE l_quantity >= 49 GROUP BY 1) GROUP BY p_brand")
+@query("additive_counts", "SELECT p_brand, sum(n)::BIGINT AS n FROM (SELECT p_brand, count(*) AS n FROM part GROUP BY 1 UNION ALL SELECT p_brand, count(*) FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1) GROUP BY p_brand")
 def additive_counts(spark, sf):
     """Seeds and found members counted together."""
-    seeds = table(spark, sf, "part").select("p_brand")
-    return seeds.unionAll(_located(spark, sf).where("l_quantity >= 49").select("p_brand")).groupBy("p_brand").agg(F.count(F.lit(1)).alias("n"))
+    return statistics.additive_counts("p_brand", table(spark, sf, "part"), _located(spark, sf))
 
 
 @query("ordered_distinct", "SELECT user_id, string_agg(event_type, ';' ORDER BY first_id) AS list FROM (SELECT user_id, event_type, min(event_id) AS first_id FROM events GROUP BY ALL) GROUP BY user_id")
@@ -203,14 +228,12 @@ def ordered_distinct(spark, sf):
 @query("pass_kinds", "SELECT n_kinds, count(*) AS entities, sum(n)::BIGINT AS events FROM (SELECT user_id, count(DISTINCT event_type) AS n_kinds, count(*) AS n FROM events GROUP BY 1) GROUP BY n_kinds")
 def pass_kinds(spark, sf):
     """Entities by how many kinds they have: a two-level count."""
-    per = table(spark, sf, "events").groupBy("user_id").agg(F.count_distinct("event_type").alias("n_kinds"), F.count(F.lit(1)).alias("n"))
-    return per.groupBy("n_kinds").agg(F.count(F.lit(1)).alias("entities"), F.sum("n").alias("events"))
+    return statistics.pass_kinds(table(spark, sf, "events"), "user_id", "event_type").withColumnRenamed("rows", "events")
 
 
 @query("summary_matrix", f"""WITH {LOCATED} SELECT n_name, p_type, count(*) AS n, count(DISTINCT l_partkey) AS parts FROM loc GROUP BY GROUPING SETS ((n_name, p_type), (n_name), ())""")
 def summary_matrix(spark, sf):
-    rows = _located(spark, sf).select("n_name", "p_type", "l_partkey").groupingSets([[F.col("n_name"), F.col("p_type")], [F.col("n_name")], []], "n_name", "p_type")
-    return rows.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("l_partkey").alias("parts"))
+    return statistics.summary_matrix(_located(spark, sf), "n_name", "p_type", "l_partkey").withColumnRenamed("entities", "parts")
 
 
 # similarity
@@ -260,33 +283,68 @@ def threshold_hits(spark, sf):
     return similarity.thresholds(rows).select("l_orderkey", "l_linenumber", "l_partkey")
 
 
-@query("unique_claims", "WITH p AS (SELECT DISTINCT l_orderkey, l_partkey FROM lineitem WHERE l_quantity >= 50) SELECT l_orderkey, l_partkey FROM (SELECT *, count(*) OVER (PARTITION BY l_orderkey) AS a, count(*) OVER (PARTITION BY l_partkey) AS b FROM p) WHERE a = 1 AND b = 1")
+@query("unique_claims", "WITH p AS (SELECT DISTINCT doc_id, md5(text) AS claim FROM documents) SELECT doc_id, claim FROM (SELECT *, count(*) OVER (PARTITION BY doc_id) AS a, count(*) OVER (PARTITION BY claim) AS b FROM p) WHERE a = 1 AND b = 1")
 def unique_claims(spark, sf):
-    return similarity.unique_claims(table(spark, sf, "lineitem").where("l_quantity >= 50"), "l_orderkey", "l_partkey")
+    """Documents that alone have their text."""
+    return similarity.unique_claims(table(spark, sf, "documents").select("doc_id", F.md5("text").alias("claim")), "doc_id", "claim")
 
 
-def _assignable(spark, sf):
-    rows = _located(spark, sf).groupBy("n_name", "p_brand", "p_type").agg(F.sum(F.col("l_quantity").cast("long")).alias("score"))
-    return rows.select(F.col("n_name").alias("block"), F.col("p_brand").alias("a"), F.col("p_type").alias("b"), F.col("score").cast("double").alias("score"))
+@query("optimal_assignment", f"""WITH {LOCATED}, s AS (SELECT n_name AS block, l_returnflag AS a, l_linenumber % 3 AS b, sum(l_quantity::BIGINT)::DOUBLE AS score FROM loc GROUP BY ALL),
+  w AS (SELECT k.n_name AS block, x.b AS b1, y.b AS b2, z.b AS b3, coalesce(p.score, 0) + coalesce(q.score, 0) + coalesce(r.score, 0) AS total FROM nation k, (SELECT unnest([0, 1, 2]) AS b) x, (SELECT unnest([0, 1, 2]) AS b) y, (SELECT unnest([0, 1, 2]) AS b) z
+    LEFT JOIN s p ON p.block = k.n_name AND p.a = 'A' AND p.b = x.b LEFT JOIN s q ON q.block = k.n_name AND q.a = 'N' AND q.b = y.b LEFT JOIN s r ON r.block = k.n_name AND r.a = 'R' AND r.b = z.b WHERE x.b <> y.b AND y.b <> z.b AND x.b <> z.b)
+  SELECT block, arg_max(b1, total) AS "A", arg_max(b2, total) AS "N", arg_max(b3, total) AS "R", max(total) AS total FROM w WHERE block IN (SELECT block FROM s) GROUP BY block""")
+def optimal_assignment(spark, sf):
+    """Return flags to thirds of the line numbers in each nation, the pairing of greatest total quantity; the oracle tries all."""
+    rows = _located(spark, sf).groupBy(F.col("n_name").alias("block"), F.col("l_returnflag").alias("a"), (F.col("l_linenumber") % 3).alias("b")).agg(F.sum(F.col("l_quantity").cast("long")).cast("double").alias("score"))
+    found = similarity.optimal_assignment(rows, "block", "a", "b", "score").groupBy("block")
+    return found.agg(*[F.max(F.when(F.col("a") == x, F.col("b"))).alias(x) for x in "ANR"], F.sum("score").alias("total"))
 
 
-@query("optimal_assignment")
-def optimal_assignment(spark, sf):
-    """Brands to part types in each nation, the pairing of greatest total quantity."""
-    return similarity.optimal_assignment(_assignable(spark, sf), "block", "a", "b", "score")
+SEEDED = LOCATED + """, h AS (SELECT p_brand AS seed, substr(p_brand, 7)::INTEGER AS acc, n_nationkey AS nk, n_name AS target, sum(l_quantity::BIGINT)::BIGINT AS score FROM loc WHERE n_nationkey // 2 = substr(p_brand, 7)::INTEGER // 2 GROUP BY ALL),
+  seeds AS (SELECT DISTINCT p_brand AS seed, substr(p_brand, 7)::INTEGER AS acc FROM part), direct AS (SELECT seed, n_name AS target FROM seeds JOIN nation ON n_nationkey = acc WHERE acc < 5),
+  lft AS (SELECT * FROM h WHERE seed NOT IN (SELECT seed FROM direct) AND target NOT IN (SELECT target FROM direct)),
+  alone AS (SELECT seed, target FROM (SELECT *, count(*) OVER (PARTITION BY seed) AS a, count(*) OVER (PARTITION BY target) AS b FROM lft) WHERE a = 1 AND b = 1),
+  more AS (SELECT * FROM lft WHERE seed NOT IN (SELECT seed FROM alone)), tot AS (SELECT m.seed, m.target, m.acc // 2 AS block, m.score + coalesce(o.score, 0) AS total FROM more m LEFT JOIN more o ON o.acc // 2 = m.acc // 2 AND o.seed <> m.seed AND o.target <> m.target),
+  solved AS (SELECT seed, target FROM (SELECT *, max(total) OVER (PARTITION BY block) AS best FROM tot) WHERE total = best),
+  found AS (SELECT *, 'ACCESSION' AS status FROM direct UNION ALL SELECT *, 'UNIQUE' FROM alone UNION ALL SELECT *, 'ASSIGNED' FROM solved)"""
 
 
-@query("seed_mapping")
+@query("seed_mapping", f"WITH {SEEDED} SELECT seed, target, coalesce(status, 'NOT_FOUND') AS status FROM seeds LEFT JOIN found USING (seed)")
 def seed_mapping(spark, sf):
-    """Brands mapped to nations: by accession, by an only close hit, by assignment."""
+    """Brands mapped to nations of neighbouring numbers: by accession, by an only close hit, by assignment in pairs."""
     p = table(spark, sf, "part")
-    seeds = p.select(F.col("p_brand").alias("seed")).distinct().withColumn("accession", F.regexp_extract("seed", r"(\d+)", 1).cast("int"))
-    accessions = table(spark, sf, "nation").where("n_nationkey < 5").select(F.col("n_nationkey").alias("accession"), F.col("n_name").alias("target"))
-    rows = _located(spark, sf).groupBy(F.col("p_brand").alias("seed"), F.col("n_name").alias("target")).agg(F.avg("l_quantity").alias("q"), F.sum("l_quantity").alias("score"))
-    hits = rows.select("seed", "target", (F.col("q") * 4).alias("identity"), F.lit(100.0).alias("qcov"), F.lit(100.0).alias("scov"), F.lit(1).alias("seed_length"), F.lit(1).alias("target_length"), "score")
+    accession = F.substring("p_brand", 7, 9).cast("int")
+    seeds = p.select(F.col("p_brand").alias("seed"), accession.alias("accession")).distinct()
+    accessions = table(spark, sf, "nation").where("n_nationkey < 5").select(F.col("n_nationkey").cast("int").alias("accession"), F.col("n_name").alias("target"))
+    nations = table(spark, sf, "nation").select("n_name", "n_nationkey")
+    rows = _located(spark, sf).select("n_name", "p_brand", "l_quantity").join(nations, "n_name").where(F.expr("n_nationkey div 2") == F.expr("int(substring(p_brand, 7, 9)) div 2"))
+    rows = rows.groupBy(F.col("p_brand").alias("seed"), F.col("n_name").alias("target")).agg(F.sum(F.col("l_quantity").cast("long")).alias("score"))
+    hits = rows.select("seed", "target", F.lit(99.0).alias("identity"), F.lit(100.0).alias("qcov"), F.lit(100.0).alias("scov"), F.lit(1).alias("seed_length"), F.lit(1).alias("target_length"), "score")
     return similarity.seed_mapping(seeds, accessions, hits)
 
 
+@query("homologs", """WITH seeds AS (SELECT s_suppkey AS id FROM supplier WHERE s_acctbal > 5000), sources AS (SELECT s_suppkey AS id FROM supplier WHERE s_nationkey < 3),
+  k AS (SELECT DISTINCT l_partkey AS id FROM lineitem WHERE l_suppkey IN (SELECT id FROM seeds) EXCEPT (SELECT id FROM seeds UNION SELECT id FROM sources)),
+  f AS (SELECT k.id FROM k JOIN part ON p_partkey = id WHERE p_brand <> 'Brand#1')
+  SELECT id, role, p_name AS sequence FROM (SELECT id, 'seed' AS role FROM seeds UNION ALL SELECT id, 'homolog' FROM f) JOIN part ON p_partkey = id""")
+def homologs(spark, sf):
+    """Suppliers as seeds, parts as candidates and brands as species, from seeds to whole sequences."""
+    s, p, items = (table(spark, sf, t) for t in ("supplier", "part", "lineitem"))
+    seeds, sources = s.where("s_acctbal > 5000").select(F.col("s_suppkey").alias("id")), s.where("s_nationkey < 3").select(F.col("s_suppkey").alias("id"))
+    hits = items.select(F.col("l_suppkey").alias("query"), F.col("l_partkey").alias("subject"), F.lit("1-9").alias("region"))
+    reverse = items.select(F.col("l_partkey").alias("candidate"), F.col("l_suppkey").alias("hit"))
+    brands = p.select(F.col("p_partkey").alias("candidate"), "p_brand")
+    keepers = p.where("p_brand <> 'Brand#1'").select(F.concat_ws("/", "p_brand", (F.col("p_partkey") % 5).cast("string")).alias("taxon"))
+    named = hits.join(brands, F.col("subject") == F.col("candidate")).select("query", F.concat_ws("|", F.col("subject").cast("string"), F.concat_ws("/", "p_brand", (F.col("subject") % 5).cast("string"))).alias("subject"), "region")
+    back = reverse.join(brands, "candidate").select(F.concat_ws("|", F.col("candidate").cast("string"), F.concat_ws("/", "p_brand", (F.col("candidate") % 5).cast("string"))).alias("candidate"), F.col("hit").cast("string").alias("hit"))
+    full = p.select(F.concat_ws("|", F.col("p_partkey").cast("string"), F.concat_ws("/", "p_brand", (F.col("p_partkey") % 5).cast("string"))).alias("id"), F.col("p_name").alias("sequence"))
+    text = lambda df: df.select(F.col("id").cast("string").alias("id"))
+    own = lambda df: text(df).join(full.withColumn("_k", F.substring_index("id", "|", 1)).withColumnRenamed("id", "_id"), F.col("id") == F.col("_k")).select(F.col("_id").alias("id"))
+    back = back.join(full.select(F.substring_index("id", "|", 1).alias("hit"), F.col("id").alias("_hit")), "hit").select("candidate", F.col("_hit").alias("hit"))
+    out = similarity.homologs(named, back, own(seeds), own(sources), keepers, full, F.substring_index("candidate", "|", -1))
+    return out.select(F.substring_index("id", "|", 1).cast("long").alias("id"), "role", "sequence")
+
+
 ISLANDS = """f AS (SELECT user_id, event_type, pos, CASE WHEN pos - lag(pos) OVER (PARTITION BY user_id, event_type ORDER BY pos) <= 3 THEN 0 ELSE 1 END AS fresh
   FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS pos FROM events)), i AS (SELECT *, sum(fresh) OVER (PARTITION BY user_id, event_type ORDER BY pos) AS k FROM f)"""
 
@@ -355,12 +413,12 @@ def hit_regions(spark, sf):
     return similarity.subsequences(hits, table(spark, sf, "part").select(F.col("p_partkey").cast("string").alias("id"), F.col("p_name").alias("sequence")))
 
 
-@query("similar_vectors", """WITH v AS (SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings) SELECT label, query, subject, cosine FROM (SELECT x.label, x.vec_id AS query, y.vec_id AS subject, round_even(list_dot_product(x.e, y.e) / (sqrt(list_dot_product(x.e, x.e)) * sqrt(list_dot_product(y.e, y.e))), 6) AS cosine
-  FROM v x JOIN v y ON x.label = y.label AND x.vec_id <> y.vec_id WHERE x.vec_id % 50 = 0) WHERE cosine >= 0.1""")
+@query("similar_vectors", """WITH v AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings) SELECT query, subject, cosine FROM (SELECT x.vec_id AS query, y.vec_id AS subject, round_even(list_dot_product(x.e, y.e) / (sqrt(list_dot_product(x.e, x.e)) * sqrt(list_dot_product(y.e, y.e))), 6) AS cosine
+  FROM v x JOIN v y ON x.vec_id <> y.vec_id WHERE x.vec_id % 50 = 0) WHERE cosine >= 0.1""")
 def similar_vectors(spark, sf):
-    """Every fiftieth vector is a query against all of its label."""
+    """Every fiftieth vector is a query against all vectors."""
     v = table(spark, sf, "embeddings")
-    return similarity.similar_to(v.where("vec_id % 50 = 0"), v, "vec_id", "embedding", "label", 0.1)
+    return similarity.similar_to(v.where("vec_id % 50 = 0"), v, "vec_id", "embedding", 0.1)
 
 
 @query("order_components", "WITH e AS (SELECT DISTINCT o_custkey, o_orderkey FROM orders) SELECT o_orderkey AS node, min(o_orderkey) OVER (PARTITION BY o_custkey) AS comp FROM e QUALIFY count(*) OVER (PARTITION BY o_custkey) > 1")

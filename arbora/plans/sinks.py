@@ -14,8 +14,8 @@ def header_cells(df: DataFrame, prose: dict[str, str] | None = None) -> list[str
     return [f"{n} ({p})" if p else n for n, p in said.items()]
 
 
-def write_tsv(df: DataFrame, path: str, order: list[str], prose: dict[str, str] | None = None, single: bool = True) -> None:
-    """Rows in order; nulls as empty cells.  ``single`` writes one file, for reports; facts keep their partitions."""
+def write_tsv(df: DataFrame, path: str, order: list[str], prose: dict[str, str] | None = None, single: bool = False) -> None:
+    """Rows in order; nulls as empty cells.  ``single`` writes one file, for reports; facts keep their partitions, one after the other."""
     named = df.select(*[F.col(f"`{c}`").cast("string").alias(h) for c, h in zip(df.columns, header_cells(df, prose), strict=True)])
     out = df.orderBy(*order)
     out = out.select(*[F.col(f"`{c}`").cast("string").alias(h) for c, h in zip(df.columns, named.columns, strict=True)])
@@ -60,7 +60,9 @@ def observed(df: DataFrame, name: str, **metrics: Column) -> tuple[DataFrame, Ob
 
 
 def markdown(df: DataFrame, title: str, most: int = 200) -> str:
-    """A small report table; ``most`` rows at the most."""
-    rows = df.limit(most).collect()
+    """A small report table; a table of over ``most`` rows raises, as a report would not be whole."""
+    rows = df.limit(most + 1).collect()
+    if len(rows) > most:
+        raise ValueError(f"over {most} rows; write a table instead")
     lines = [f"# {title}", "", "| " + " | ".join(df.columns) + " |", "|" + "---|" * len(df.columns)]
     return "\n".join(lines + ["| " + " | ".join("" if v is None else str(v) for v in r) + " |" for r in rows])

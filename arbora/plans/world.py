@@ -22,7 +22,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def world_tree(spark: SparkSession, sf_dir: str) -> T.Node:
     """ROOT over regions over nations, by name."""
     n, r = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
-    rows = n.join(r, n["n_regionkey"] == r["r_regionkey"]).select("r_name", "n_name").limit(T.MOST_NODES).collect()
+    rows = n.join(r, n["n_regionkey"] == r["r_regionkey"]).select("r_name", "n_name").limit(T.MOST_NODES + 1).collect()
+    if len(rows) > T.MOST_NODES:
+        raise T.TreeError("too many nodes for a tree")
     by: dict[str, list[str]] = {}
     for region, nation in rows:
         by.setdefault(region, []).append(nation)
@@ -45,9 +47,9 @@ def topologies(spark: SparkSession, sf_dir: str, most: int | None = None) -> lis
     return [(t, T.graft(n, regions)) for t, n in found]
 
 
-def presence(spark: SparkSession, sf_dir: str) -> DataFrame:
+def presence(spark: SparkSession, sf_dir: str, lot: int = LOT) -> DataFrame:
     """(feature, tip), distinct."""
-    items = table(spark, sf_dir, "lineitem").where(F.col("l_quantity") >= LOT).select("l_partkey", "l_suppkey")
+    items = table(spark, sf_dir, "lineitem").where(F.col("l_quantity") >= lot).select("l_partkey", "l_suppkey")
     s, n = table(spark, sf_dir, "supplier"), table(spark, sf_dir, "nation")
     at = s.join(n, s["s_nationkey"] == n["n_nationkey"]).select("s_suppkey", "n_name")
     rows = items.join(at, items["l_suppkey"] == at["s_suppkey"])

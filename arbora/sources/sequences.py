@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import gzip
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
@@ -92,6 +92,16 @@ def long_headers(fasta: DataFrame, most: int) -> DataFrame:
     return fasta.where(F.length("header") <= most)
 
 
+def keep_taxa(fasta: DataFrame, keepers: DataFrame, taxon: Column) -> DataFrame:
+    """Sequences of the listed species; keepers: (taxon)."""
+    return fasta.withColumn("taxon", taxon).join(keepers.select("taxon").distinct(), "taxon", "left_semi").drop("taxon")
+
+
+def of_locus_types(rows: DataFrame, column: str, allowed: tuple[str, ...]) -> DataFrame:
+    """Rows of the allowed locus types, whatever case and blanks around; other and empty types drop out."""
+    return rows.where(F.lower(F.trim(column)).isin([a.lower() for a in allowed]))
+
+
 def longest_isoform(rows: DataFrame, gene: str, sequence: str, ordinal: str) -> DataFrame:
     """The longest sequence a gene, first listed on ties; genes without sequence drop out."""
     rows = rows.where(F.coalesce(F.length(sequence), F.lit(0)) > 0)

@@ -77,6 +77,51 @@ def read_species_matrix(spark: SparkSession, path: str, unassigned: str | None =
     return melt(path).unionByName(melt(unassigned)) if unassigned else melt(path)
 
 
+def clustering_format(spark: SparkSession, path: str) -> str:
+    """Which clustering file it is, by its first line: counts (``files: ...``), species (a TSV with a header of species),
+    colon (``group: a b c``) or members (``group<TAB>a<TAB>b``)."""
+    first = spark.read.text(path).where("trim(value) <> '' and not startswith(value, '#')").limit(1).collect()
+    line = first[0]["value"] if first else ""
+    if line.startswith("files:"):
+        return "counts"
+    if re.match(r"(orthogroup|hog|og|group|cluster)\t", line, re.I):
+        return "species"
+    if re.match(r"[^\s:]+:\s", line):
+        return "colon"
+    if "\t" in line:
+        return "members"
+    raise ValueError(f"{path} is no clustering")
+
+
+def read_clustering(spark: SparkSession, path: str, unassigned: str | None = None) -> DataFrame:
+    """(grp, member) of a clustering file of any format that lists members."""
+    kind = clustering_format(spark, path)
+    if kind == "members":
+        return read_memberships(spark, path).select("grp", "member")
+    if kind == "species":
+        return read_species_matrix(spark, path, unassigned).select("grp", "member")
+    if kind == "colon":
+        rows = spark.read.text(path).where("trim(value) <> ''")
+        parts = F.split(F.trim(F.substring_index("value", ":", -1)), r"\s+")
+        return rows.select(F.substring_index("value", ":", 1).alias("grp"), F.explode(parts).alias("member")).where("member <> ''")
+    raise ValueError(f"{path} has counts, no members")
+
+
+def read_phylonames(spark: SparkSession, path: str) -> DataFrame:
+    """(species, phyloname, taxon): the map of species names to taxon paths; the taxon is the path without its rank prefix."""
+    rows = read_tsv(spark, path, required=("genus_species", "phyloname"))
+    return rows.select(F.col("genus_species").alias("species"), "phyloname", F.substring_index("phyloname", "_", -2).alias("taxon"))
+
+
+def read_registry(spark: SparkSession, path: str, columns: dict[str, str]) -> DataFrame:
+    """A registry CSV with quoted cells, which may hold commas, quotes and line feeds; columns by wanted and given name."""
+    raw = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(path)
+    lacking = [c for c in columns.values() if c not in raw.columns]
+    if lacking:
+        raise ValueError(f"{path} lacks {', '.join(lacking)}")
+    return raw.select(*[F.trim(F.col(f"`{c}`")).alias(n) for n, c in columns.items()])
+
+
 def read_hits(spark: SparkSession, path: str, titled: bool = False, strict: bool = True) -> DataFrame:
     """Tabular similarity hits with the e-value as number and as text.  strict: a malformed row raises, else it drops."""
     mode = "FAILFAST" if strict else "DROPMALFORMED"
@@ -187,9 +232,9 @@ def read_manifest(spark: SparkSession, path: str, header: bool = False, names: t
 
 
 def read_per_file(spark: SparkSession, pattern: str, key_pattern: str, schema: str, sep: str = "\t") -> DataFrame:
-    """All files of a glob with the part of the file name that ``key_pattern`` captures as file_key."""
+    """All files of a glob with the part of the file name (of the path, if it has a slash) that ``key_pattern`` captures as file_key."""
     rows = spark.read.schema(schema).option("sep", sep).option("header", True).csv(pattern)
-    return rows.withColumn("file_key", F.regexp_extract(F.col("_metadata.file_name"), key_pattern, 1))
+    return rows.withColumn("file_key", F.regexp_extract(F.col("_metadata.file_path" if "/" in key_pattern else "_metadata.file_name"), key_pattern, 1))
 
 
 def read_json_fragments(spark: SparkSession, path: str) -> DataFrame:

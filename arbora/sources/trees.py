@@ -8,8 +8,11 @@ from arbora.operators import trees as T
 
 
 def read_newick(spark: SparkSession, path: str) -> list[T.Node]:
-    """The trees of a text file, one a line or one over several lines."""
-    text = "\n".join(r["value"] for r in spark.read.text(path).limit(T.MOST_NODES).collect())
+    """The trees of a text file, one a line or one over several lines; more than MOST_NODES lines raise."""
+    lines = spark.read.text(path).limit(T.MOST_NODES + 1).collect()
+    if len(lines) > T.MOST_NODES:
+        raise T.TreeError("too many lines for trees")
+    text = "\n".join(r["value"] for r in lines)
     return [T.parse_newick(part + ";") for part in text.split(";") if part.strip()]
 
 
