@@ -52,6 +52,8 @@ def lookup(left: DataFrame, right: DataFrame, key: str, total: int) -> DataFrame
     all others by a join that Spark plans by size, so that no task gets a hot key whole.
     """
     least = max(HOT_LEAST, int(total * HOT_SHARE))
+    if total <= least:  # no key can have more rows
+        return left.join(right, key, "left")
     counts = left.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where((F.col("_n") > least) & F.col(key).isNotNull())
     hot = [r[0] for r in counts.select(key).limit(int(1 / HOT_SHARE) + 1).collect()]
     if not hot:
