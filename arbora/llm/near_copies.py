@@ -6,13 +6,15 @@ no allotment of ten bits to partitions of 64 is selective, so a second search pr
 fingerprint: the least values of BANDS * ROWS permutations of the shingles, in BANDS groups of ROWS, one of which two
 similar sets share but for a chance of (1 - 0.8 ** ROWS) ** BANDS, 3 in a million at 0.8 and less above it.
 
-Sets are first compared with one hub: the set of their buckets that shares most buckets with others.  Buckets whose
-sets are then still in different classes are compared set by set; pairs are sifted by size and by parity (1024 bits,
+Sets are first compared with one hub: the set of their buckets that shares most buckets with others.  Buckets that then
+still hold different classes are compared set by set; pairs are sifted by size and by parity (1024 bits,
 each the parity of the shingles that fall on it: sets differ by no fewer shingles than bits), which loses no pair.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -97,23 +99,18 @@ def _named(df: DataFrame, head: str) -> DataFrame:
     return df.select(*[F.col(c).alias(head + c) for c in df.columns])
 
 
-def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs (a, b) of set ids whose whole sets are similar; ``texts`` (place, text) has the text of each set.
+def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (a, b) of set ids whose whole ``sets`` (sid, s) are similar, written.
 
     The sets of ``b`` travel with the pairs; a hub that is ``a`` of very many of them is looked up in a broadcast.
     """
-    needed = pairs.select(F.col("a").alias("sid")).unionByName(pairs.select(F.col("b").alias("sid"))).distinct()
-    whole = F.pandas_udf(lambda ts: pd.Series([shingles(t).tobytes() for t in ts]), "binary")
-    sets = materialize(texts(needed).select("sid", whole("text").alias("s")), "sets")
 
     def check(a: pd.Series, b: pd.Series) -> pd.Series:
-        return pd.Series([x is not None and y is not None and similar(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)) for x, y in zip(a, b, strict=True)], dtype=bool)
+        return pd.Series([similar(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)) for x, y in zip(a, b, strict=True)], dtype=bool)
 
     right = pairs.join(sets.select(F.col("sid").alias("b"), F.col("s").alias("b_s")), "b")
     both = lookup(right, sets.select(F.col("sid").alias("a"), F.col("s").alias("a_s")), "a", pairs.count())
-    out = materialize(both.where(F.pandas_udf(check, "boolean")("a_s", "b_s")).select("a", "b"), "links")
-    discard(sets)
-    return out
+    return materialize(both.where(F.pandas_udf(check, "boolean")("a_s", "b_s")).select("a", "b"), "links")
 
 
 def hub_pairs(postings: DataFrame) -> DataFrame:
@@ -145,10 +142,14 @@ def links(sets: DataFrame, texts) -> DataFrame:
     pairs = materialize(pairs.distinct(), "pairs")
     sizes = some.select("sid", "n")
     fits = pairs.join(_named(sizes, "a_"), F.col("a") == F.col("a_sid")).join(_named(sizes, "b_"), F.col("b") == F.col("b_sid")).where("5 * a_n >= 4 * b_n and 5 * b_n >= 4 * a_n")
-    stars = _verified(materialize(fits.select("a", "b"), "fits"), texts)
+    # the sets of all candidates, of both rounds, are made once
+    needed = reduce(DataFrame.unionByName, [postings.select("sid"), *(pairs.select(F.col(c).alias("sid")) for c in "ab")]).distinct()
+    whole = F.pandas_udf(lambda ts: pd.Series([shingles(t).tobytes() for t in ts]), "binary")
+    wholes = materialize(texts(needed).select("sid", whole("text").alias("s")), "wholes")
+    stars = _verified(materialize(fits.select("a", "b"), "fits"), wholes)
 
     comps = components(stars).withColumnRenamed("node", "sid")
-    left = postings.where("many > 2").join(comps, "sid", "left").withColumn("comp", F.coalesce("comp", "sid"))
+    left = postings.join(comps, "sid", "left").withColumn("comp", F.coalesce("comp", "sid"))
     open_ = left.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high").select("key")
     facts = some.select("sid", "n", *[F.col("bits")[i].alias(f"p{i}") for i in range(WORDS)])
     left = materialize(left.join(open_, "key", "left_semi").join(facts, "sid").drop("many"), "undecided")
@@ -156,8 +157,8 @@ def links(sets: DataFrame, texts) -> DataFrame:
     apart = (F.col("a_key") == F.col("b_key")) & (F.col("a_sid") < F.col("b_sid")) & (F.col("a_comp") != F.col("b_comp"))
     rest = a.join(b, apart & _sift("a_", "b_")).select(F.col("a_sid").alias("a"), F.col("b_sid").alias("b")).distinct()
     rest = rest.join(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
-    out = materialize(stars.unionByName(_verified(materialize(rest, "rest"), texts)), "all_links")
-    discard(first, near, shared, postings, pairs, stars, left)
+    out = materialize(stars.unionByName(_verified(materialize(rest, "rest"), wholes)), "all_links")
+    discard(first, near, shared, postings, pairs, stars, left, wholes)
     return out
 
 

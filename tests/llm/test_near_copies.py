@@ -60,6 +60,24 @@ def test_stage_matches_brute_force_jaccard(spark):
     assert sorted(r.doc_id for r in got.collect()) == sorted(set(own))
 
 
+def test_pairs_whose_hubs_are_others(spark):
+    """x and y are alike, but each shares more buckets with other sets that it is not alike to."""
+    rng = random.Random(6)
+    words = [f"v{i}" for i in range(3000)]
+    rows = []
+    for _ in range(25):
+        base = rng.choices(words, k=200)
+        for k in range(5):  # a row of texts, each like its neighbours only
+            w = list(base)
+            for j in range(k):
+                w[40 * j : 40 * j + 4] = rng.choices(words, k=4)
+            rows += [" ".join(w)] + [" ".join(w[: 150 + 5 * x] + rng.choices(words, k=50 - 5 * x)) for x in range(3)]
+    rng.shuffle(rows)
+    own = classes(rows)
+    got = N.drop_near_copies(spark.createDataFrame([(i, t, "x", 1) for i, t in enumerate(rows)], SCHEMA))
+    assert sorted(r.doc_id for r in got.collect()) == sorted(set(own)) and len(set(own)) < len(rows) - 50
+
+
 def test_exactly_four_fifths():
     a = list(range(9))
     assert N.similar(*[N.np.array(x, dtype=N.np.uint64) for x in (a, a[:-1] + [99])]) is (5 * 8 >= 4 * 10)
