@@ -39,7 +39,7 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 SCOPES = frozenset("ul ol dl table body html div section article".split())
 PATHS, WORDS, PATH_DIM, WORD_DIM, DENSE, HIDDEN = 1024, 2048, 24, 8, 9, 16
-PAGES, EPOCHS, BATCH = 1_600, 8, 40
+PAGES, EPOCHS, BATCH = 1_000, 6, 40
 
 
 def tokens(page: str) -> Iterator[tuple[str, str, str, str]]:

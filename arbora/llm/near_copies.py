@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from arbora.llm import simhash
-from arbora.llm.shared import discard, lookup, materialize, quoted
+from arbora.llm.shared import chosen_rows, discard, lookup, materialize, quote
 from arbora.operators.graphs import components
 
 SEED = 42
@@ -181,20 +181,6 @@ def drop_near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
     found = components(links(sets, texts))
     of_set = named.join(found.withColumnRenamed("node", "sid"), "sid", "left").withColumn("comp", F.coalesce("comp", "sid"))
     best = of_set.groupBy("comp").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "th")).alias("best"))
-    kept = materialize(best.select(F.col("best.id").alias("_kept_id"), F.col("best.th").alias("_kept_th")), "kept")
-    again = rows.groupBy("id", "th").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select(F.col("id").alias("_kept_id"), F.col("th").alias("_kept_th"))
-    again = materialize(again.join(kept, (again["_kept_th"] == kept["_kept_th"]) & again["_kept_id"].eqNullSafe(kept["_kept_id"]), "left_semi"), "repeated")
+    out = chosen_rows(docs, doc_id, key, best.select("best.id", "best.th"), rows.select("id", "th"))
     discard(rows, sets, named)
-
-    same = (key == F.col("_kept_th")) & F.col(quote(doc_id)).eqNullSafe(F.col("_kept_id"))
-    chosen = docs.join(kept, same, "left_semi")
-    if again.isEmpty():  # no row is repeated
-        return chosen.select(*quoted(docs.columns))
-    rest = [c for c in docs.columns if c != doc_id]
-    least = chosen.join(again, same, "left_semi").groupBy(quote(doc_id), key.alias("_th_")).agg(F.min(F.struct(*quoted(rest))).alias("_least"))
-    back = [F.col(quote(doc_id)) if c == doc_id else F.col(f"_least.{quote(c)}") for c in docs.columns]
-    return chosen.join(again, same, "left_anti").select(*quoted(docs.columns)).unionByName(least.select(*back))
-
-
-def quote(name: str) -> str:
-    return "`" + name.replace("`", "``") + "`"
+    return out

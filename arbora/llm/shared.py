@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from arbora.operators.skew import discard, lookup, new_path
 from arbora.operators.skew import stage as materialize
 
-__all__ = ["discard", "fold", "fresh", "lookup", "materialize", "new_path", "quoted", "read"]
+__all__ = ["chosen_rows", "discard", "fold", "fresh", "lookup", "materialize", "new_path", "quote", "quoted", "read"]
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -25,7 +25,30 @@ def fresh(df: DataFrame, name: str) -> str:
 
 def quoted(columns: list[str]) -> list[Column]:
     """The columns by name, whatever dots the names hold."""
-    return [F.col("`" + c.replace("`", "``") + "`") for c in columns]
+    return [F.col(quote(c)) for c in columns]
+
+
+def quote(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def chosen_rows(docs: DataFrame, doc_id: str, key: Column, kept: DataFrame, rows: DataFrame) -> DataFrame:
+    """The rows of ``docs`` with an id and a ``key`` (of the text) of ``kept`` (id, th): one row each, all columns.
+
+    ``rows`` (id, th) are those of all of ``docs``.  Of rows with one id and one text the least by the other columns stays.
+    """
+    kept = materialize(kept.select(F.col("id").alias("_kept_id"), F.col("th").alias("_kept_th")), "kept")
+    many = rows.groupBy("id", "th").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
+    again = many.join(kept, (F.col("th") == F.col("_kept_th")) & F.col("id").eqNullSafe(F.col("_kept_id")), "left_semi")
+    again = materialize(again.select(F.col("id").alias("_kept_id"), F.col("th").alias("_kept_th")), "repeated")
+    same = (key == F.col("_kept_th")) & F.col(quote(doc_id)).eqNullSafe(F.col("_kept_id"))
+    chosen = docs.join(kept, same, "left_semi")
+    if again.isEmpty():  # no row is repeated
+        return chosen.select(*quoted(docs.columns))
+    rest = [c for c in docs.columns if c != doc_id]
+    least = chosen.join(again, same, "left_semi").groupBy(quote(doc_id), key.alias("_th_")).agg(F.min(F.struct(*quoted(rest))).alias("_least"))
+    back = [F.col(quote(doc_id)) if c == doc_id else F.col(f"_least.{quote(c)}") for c in docs.columns]
+    return chosen.join(again, same, "left_anti").select(*quoted(docs.columns)).unionByName(least.select(*back))
 
 
 def fold(doc_id: str | Column = "doc_id", n: int = 5) -> Column:

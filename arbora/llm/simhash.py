@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from arbora.llm.shared import discard, fresh, lookup, materialize, quoted
+from arbora.llm.shared import chosen_rows, discard, lookup, materialize, quote
 from arbora.operators.graphs import components
 
 SEED = 42
@@ -194,26 +194,17 @@ def classes_of(rows: DataFrame, tau: int = TAU) -> DataFrame:
     return lookup(rows, of_print, "fp", n_rows).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", "n_copies")
 
 
-def drop_near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The row with the smallest id of each near-duplicate class; of repeated rows with that id one stays.
+def drop_near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE, tau: int = TAU) -> DataFrame:
+    """One row of each near-duplicate class, with all columns: that with the smallest id; null ids come last.
 
-    Classes without any id keep one row, too.  All columns are returned.
+    Classes are made of texts, so ids need not be unique: of rows with one id and one text the least by the other columns
+    stays, and no class is lost.  Null, empty and blank texts are one class.
     """
-    columns = quoted(docs.columns)
-    rest = [c for c in docs.columns if c != doc_id]
-    order, back = F.struct(*quoted(rest)), [F.col(doc_id) if c == doc_id else F.col(f"_row.`{c}`") for c in docs.columns]
-    classes = near_duplicate_classes(docs, doc_id, text)
-    kept = classes.where("component_id is not null").select(F.col("component_id").alias(doc_id)).distinct()
-    chosen = docs.join(kept, doc_id, "left_semi")
-    again = materialize(docs.where(F.col(doc_id).isNotNull()).groupBy(doc_id).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select(doc_id), "repeated")
-    once = chosen.join(again, doc_id, "left_anti").select(*columns)
-    of_many = chosen.join(again, doc_id, "left_semi").groupBy(doc_id).agg(F.min(order).alias("_row")).select(*back)
-    out = once.unionByName(of_many)
-    lone = classes.where("component_id is null").select("fingerprint").distinct()
-    if not lone.isEmpty():  # classes without any id: the least row of each fingerprint
-        name = fresh(docs, "_fp")
-        lost = with_fingerprint(docs.where(F.col(doc_id).isNull()), text, name=name)
-        lost = lost.withColumn(name, F.lower(F.lpad(F.hex(name), 16, "0"))).join(lone.withColumnRenamed("fingerprint", name), name, "left_semi")
-        least = lost.groupBy(name).agg(F.min(order).alias("_row")).withColumn(doc_id, F.lit(None).cast(docs.schema[doc_id].dataType))
-        out = out.unionByName(least.select(*back))
-    return out
+    key = F.xxhash64(F.coalesce(F.col(quote(text)), F.lit("")))
+    plain = docs.select(F.col(quote(doc_id)).alias("id"), key.alias("th"), F.col(quote(text)).alias("text"))
+    rows = materialize(with_fingerprint(plain, "text", shingle, "fp").select("id", "th", "fp"), "fingerprints")
+    prints = rows.groupBy("fp").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "th")).alias("best"))
+    prints = materialize(prints, "distinct")
+    found = components(links(prints.select("fp"), prints.count(), tau)).withColumnRenamed("node", "fp")
+    best = prints.join(found, "fp", "left").groupBy(F.coalesce("comp", "fp").alias("comp")).agg(F.min("best").alias("best"))
+    return chosen_rows(docs, doc_id, key, best.select("best.id", "best.th"), rows.select("id", "th"))

@@ -29,7 +29,7 @@ SIZE = 1 << 18
 #: A cue must be found in so many toxic documents that the log of the chance of none of them being clean is below this.
 LUCK = -6.0
 STEPS = 128
-ROUNDS = 40
+ROUNDS = 24
 
 
 def word_features(word: str) -> list[int]:

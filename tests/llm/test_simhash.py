@@ -109,6 +109,37 @@ def test_empty_and_repeated(spark):
     assert sorted(str(r.doc_id) for r in S.drop_near_duplicates(df).collect()) == ["5", "9", "None"]
 
 
+def test_repeated_ids_lose_no_class(spark):
+    rows = [(3, "one text of its own", "a", 1), (7, "one text of its own", "b", 1), (7, "quite another text here", "c", 1), (5, "a third one that stands alone", "d", 1), (5, "and a fourth which is not like it", "e", 1)]
+    kept = S.drop_near_duplicates(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert sorted((r.doc_id, r.text) for r in kept) == sorted({(3, rows[0][1]), (7, rows[2][1]), (5, rows[3][1]), (5, rows[4][1])})
+
+
+def test_any_number_of_bits(spark):
+    rng = random.Random(3)
+    base = [rng.getrandbits(64) for _ in range(6)]
+    fps = set(base)
+    for b in base:
+        for k in (1, 2, 3, 4, 5):
+            for _ in range(3):
+                x = b
+                for bit in rng.sample(range(64), k):
+                    x ^= 1 << bit
+                fps.add(x)
+    fps = sorted(fps)
+    signed = [f - (1 << 64) if f >> 63 else f for f in fps]
+    rows = spark.createDataFrame([(f,) for f in signed], "fp long")
+    for tau, limit in ((0, 24), (1, 2), (3, 2), (5, 2)):
+        own = list(range(len(fps)))
+        for i in range(len(fps)):
+            for j in range(i):
+                if bin(fps[i] ^ fps[j]).count("1") <= tau and own[i] != own[j]:
+                    low, high = min(own[i], own[j]), max(own[i], own[j])
+                    own = [low if x == high else x for x in own]
+        want = {signed[i]: min(signed[j] for j in range(len(fps)) if own[j] == own[i]) for i in range(len(fps)) if own.count(own[i]) > 1}
+        assert {r.node: r.comp for r in S.components(S.links(rows, len(fps), tau, pair_limit=limit)).collect()} == want, tau
+
+
 def test_very_long_text():
     long = "word " * 400_000
     assert S.simhash(long) == S.simhash("word word word")
