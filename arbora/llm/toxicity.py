@@ -24,11 +24,12 @@ from arbora.llm.tokens import WORD, encode, fit_logistic, hashed, logistic, slic
 
 FOLDS, HELD_OUT = 5, 0
 #: Bounds of the training sample: toxic and other documents, each read whole.
-SAMPLE_TOXIC, SAMPLE_CLEAN = 1_200, 1_800
+SAMPLE_TOXIC, SAMPLE_CLEAN = 1_000, 1_400
 SIZE = 1 << 18
 #: A cue must be found in so many toxic documents that the log of the chance of none of them being clean is below this.
 LUCK = -6.0
 STEPS = 128
+PAIRS = 1 << 18
 ROUNDS = 24
 
 
@@ -52,10 +53,10 @@ def is_cue(word: str, marks: set[str]) -> bool:
 
 
 def _entering(a: np.ndarray, b: np.ndarray, c: np.ndarray, d: np.ndarray, first: float) -> np.ndarray:
-    """What enters each row if x becomes (a x + b) / (c x + d) at each of its places (columns), and rows follow each other."""
-    p, q, r, s = a[:, 0].copy(), b[:, 0].copy(), c[:, 0].copy(), d[:, 0].copy()
-    for i in range(1, a.shape[1]):
-        p, q, r, s = a[:, i] * p + b[:, i] * r, a[:, i] * q + b[:, i] * s, c[:, i] * p + d[:, i] * r, c[:, i] * q + d[:, i] * s
+    """What enters each column if x becomes (a x + b) / (c x + d) at each of its places (rows), and columns follow each other."""
+    p, q, r, s = a[0].copy(), b[0].copy(), c[0].copy(), d[0].copy()
+    for i in range(1, len(a)):
+        p, q, r, s = a[i] * p + b[i] * r, a[i] * q + b[i] * s, c[i] * p + d[i] * r, c[i] * q + d[i] * s
         if i % 4 == 3:
             scale = p + q + r + s
             p, q, r, s = p / scale, q / scale, r / scale, s / scale
@@ -69,14 +70,19 @@ def _entering(a: np.ndarray, b: np.ndarray, c: np.ndarray, d: np.ndarray, first:
 def messages(a: np.ndarray, b: np.ndarray, c: np.ndarray, d: np.ndarray) -> np.ndarray:
     """x after each place of a sequence of maps x -> (a x + b) / (c x + d), the first of which has no use for x."""
     n = len(a)
-    rows = -(-n // STEPS)
-    grid = [np.concatenate([v, np.full(rows * STEPS - n, fill)]).reshape(rows, STEPS) for v, fill in ((a, 1.0), (b, 0.0), (c, 0.0), (d, 1.0))]
-    x, out = _entering(*grid, 1.0), np.empty((STEPS, rows))
-    a, b, c, d = (np.ascontiguousarray(v.T) for v in grid)
+    runs = -(-n // STEPS)
+
+    def grid(v: np.ndarray, fill: float) -> np.ndarray:  # a column a run
+        out = np.full((runs, STEPS), fill)
+        out.ravel()[:n] = v
+        return np.ascontiguousarray(out.T)
+
+    a, b, c, d = grid(a, 1.0), grid(b, 0.0), grid(c, 0.0), grid(d, 1.0)
+    x = _entering(a, b, c, d, 1.0)
     for i in range(STEPS):
         x = (a[i] * x + b[i]) / (c[i] * x + d[i])
-        out[i] = x
-    return out.T.ravel()[:n]
+        a[i] = x  # no longer needed as a factor
+    return a.T.ravel()[:n]
 
 
 def forward_backward(e: np.ndarray, first: np.ndarray, start: float, t: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -137,12 +143,14 @@ class Field:
             g = logistic(odds) - y
             by_word = [np.bincount(codes, g, n), np.bincount(codes[here - 1], g[here], n), np.bincount(codes[here], g[here - 1], n)]
             gw = np.stack([np.bincount(features.ravel(), np.repeat(x, features.shape[1]), SIZE) for x in by_word]) * scale + l2 * self.w
-            # pairs of neighbouring states
-            x, z = f[here - 1], e[here] + b[here]
-            logs = np.stack([np.zeros_like(x) + self.t[0, 0], z + self.t[0, 1], x + self.t[1, 0], x + z + self.t[1, 1]])
-            pair = np.exp(logs - logs.max(0))
-            pair /= pair.sum(0)
-            gt = (pair.sum(1).reshape(2, 2) - seen) * scale
+            expected = np.zeros(4)  # pairs of neighbouring states
+            for k in range(0, len(here), PAIRS):
+                at = here[k : k + PAIRS]
+                x, z = f[at - 1], e[at] + b[at]
+                logs = np.stack([np.zeros_like(x) + self.t[0, 0], z + self.t[0, 1], x + self.t[1, 0], x + z + self.t[1, 1]])
+                pair = np.exp(logs - logs.max(0))
+                expected += (pair / pair.sum(0)).sum(1)
+            gt = (expected.reshape(2, 2) - seen) * scale
             gs, gb = g[first].sum() * scale, g.sum() * scale
             for i, grad in enumerate((gw, gs, gt, gb)):
                 sums[i] = sums[i] + grad * grad
