@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from arbora.llm.shared import materialize
+from arbora.llm.shared import materialize, write_buckets
 from arbora.llm.tokens import slices
 
 CAPACITY = 1024
@@ -186,18 +186,25 @@ def pack(docs: DataFrame, tokenizer: str, caps: Capacities = Capacities(), rule:
     histogram = {r["length"]: r["n"] for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect()}  # a row a length
     slots = docs.sparkSession.sparkContext.broadcast(tuple(plan(histogram, caps, rule=rule)))
     before = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("part", "length", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
-    ranked = pieces.join(offsets, ["part", "length"]).select("doc_id", "piece", "start", "length", "ids_crc32", (F.col("rank") + F.col("before")).alias("rank"))
+    offsets = counts.select("part", "length", F.coalesce(F.sum("n").over(before), F.lit(0)).cast("long").alias("before"))
+    buckets = write_buckets(offsets, "part", counts.count(), "offsets")  # a task looks up the few parts that it reads
 
     def seat(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         length, first, _, sequence, offset = slots.value
-        key = length * (1 << 40) + first
+        key, at, starts = length * (1 << 40) + first, -1, np.zeros(0, dtype=np.int64)
         for batch in batches:
-            rank = batch.column(5).to_numpy()
-            i = np.searchsorted(key, batch.column(3).to_numpy().astype(np.int64) * (1 << 40) + rank, "right") - 1
-            found = [pa.array(sequence[i] + rank - first[i]), pa.array(offset[i])]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:5], *found], names=[*batch.schema.names[:5], "sequence_id", "offset"])
-
-    ranked = ranked.withColumns({c: F.col(c).cast("long") for c in ("length",)})
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in ranked.schema.fields[:5]) + ", sequence_id long, offset long"
-    return ranked.mapInArrow(seat, schema)
+            parts, lengths = (batch.column(i).to_numpy().astype(np.int64) for i in (5, 3))
+            rank = batch.column(6).to_numpy().copy()
+            cuts = [0, *(np.flatnonzero(np.diff(parts)) + 1).tolist(), len(parts)]
+            for x, y in zip(cuts, cuts[1:], strict=False):
+                if y > x and parts[x] != at:
+                    at, starts = int(parts[x]), np.zeros(caps.tokens + 1, dtype=np.int64)
+                    for t in buckets.of(at, ["length", "before"]):
+                        starts[t.column(0).to_numpy()] = t.column(1).to_numpy()
+                rank[x:y] += starts[lengths[x:y]]
+            i = np.searchsorted(key, lengths * (1 << 40) + rank, "right") - 1
+            found = [pa.array(lengths), batch.column(4), pa.array(sequence[i] + rank - first[i]), pa.array(offset[i])]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], *found], names=[*batch.schema.names[:5], "sequence_id", "offset"])
+
+    id_type = docs.schema["doc_id"].dataType.simpleString()
+    return pieces.mapInArrow(seat, f"doc_id {id_type}, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")

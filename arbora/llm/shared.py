@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from arbora.operators.skew import discard, lookup, new_path
 from arbora.operators.skew import stage as materialize
 
-__all__ = ["chosen_rows", "discard", "fold", "fresh", "lookup", "materialize", "new_path", "quote", "quoted", "read"]
+__all__ = ["Buckets", "chosen_rows", "discard", "fold", "fresh", "lookup", "materialize", "new_path", "quote", "quoted", "read", "write_buckets"]
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -54,3 +57,37 @@ def chosen_rows(docs: DataFrame, doc_id: str, key: Column, kept: DataFrame, rows
 def fold(doc_id: str | Column = "doc_id", n: int = 5) -> Column:
     """crc32 of the id as text modulo ``n``; null for a null id."""
     return F.crc32(F.col(doc_id).cast("string") if isinstance(doc_id, str) else doc_id.cast("string")) % n
+
+
+#: Rows of a bucket, about.
+BUCKET_ROWS = 500_000
+
+
+def write_buckets(df: DataFrame, by: str, total: int, name: str) -> Buckets:
+    """Writes ``df`` (``total`` rows) to the shared folder in buckets by an integer column, for tasks that look values up."""
+    n, path = max(1, -(-total // BUCKET_ROWS)), new_path(df.sparkSession, name)
+    rows = df.withColumn("bucket", F.pmod(F.col(by), F.lit(n)))
+    rows.repartition(n, "bucket").sortWithinPartitions("bucket", by).write.partitionBy("bucket").parquet(path)
+    return Buckets(path, n, by)
+
+
+class Buckets:
+    """Read by tasks, through pyarrow's file systems: the rows of one value, or all rows, file by file."""
+
+    def __init__(self, path: str, n: int, by: str):
+        self.path, self.n, self.by = path, n, by
+
+    def of(self, value: int, columns: list[str]) -> Iterator[pa.Table]:
+        return self._tables(f"/bucket={value % self.n}", columns, [(self.by, "==", value)])
+
+    def all(self, columns: list[str]) -> Iterator[pa.Table]:
+        return self._tables("", columns, None)
+
+    def _tables(self, folder: str, columns: list[str], only: list | None) -> Iterator[pa.Table]:
+        import pyarrow.parquet as pq
+        from pyarrow import fs
+
+        store, root = fs.FileSystem.from_uri(self.path)
+        found = store.get_file_info(fs.FileSelector(root + folder, recursive=True, allow_not_found=True))
+        for path in sorted(f.path for f in found if f.path.endswith(".parquet")):
+            yield pq.read_table(path, filesystem=store, columns=columns, filters=only, partitioning=None)

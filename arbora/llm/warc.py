@@ -18,15 +18,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from arbora.llm.shared import lookup, materialize, new_path
+from arbora.llm.shared import Buckets, lookup, materialize, new_path, write_buckets
 
 DATE = "2020-01-01T00:00:00Z"
 ARCHIVE_BYTES = 64 << 20
 #: Reads are joined across gaps up to GAP, and hold at most RUN bytes (or one record).
 GAP, RUN = 64 << 10, 8 << 20
-#: Reading tasks: one an archive up to READERS of them, or of TASK_BYTES each; rows of a bucket of fates.
+#: Reading tasks: one an archive up to READERS of them, or of TASK_BYTES each.
 READERS, TASK_BYTES = 2_000, 1 << 30
-BUCKET_ROWS = 500_000
+FATE = ["page_id", "sha1", "refers_to"]
 URN = "urn:uuid:a2b0a000-0000-5000-"
 INDEX = "archive string, offset long, length long, page_id long, url string, digest string, record_type string"
 
@@ -81,8 +81,8 @@ def parse(member: bytes) -> tuple[dict[str, str], dict[str, str], bytes]:
     return warc, fields(http.split(b"\r\n")[1:]), body
 
 
-def fates(pages: DataFrame) -> tuple[str, int]:
-    """Path and number of buckets of a table (part, page_id, sha1, refers_to) of all rows, in buckets by ``part``.
+def fates(pages: DataFrame) -> Buckets:
+    """(part, page_id, sha1, refers_to) of all rows, in buckets by ``part``.
 
     ``part`` is the partition of ``pages`` that a row was read in, so that the task that reads it again finds what it
     needs in one bucket, and payloads need not travel.  ``refers_to`` is the smallest id of the payload.
@@ -90,35 +90,25 @@ def fates(pages: DataFrame) -> tuple[str, int]:
     rows = materialize(pages.select("page_id", F.sha1(F.coalesce("html", F.lit(""))).alias("sha1"), F.spark_partition_id().alias("part")), "digests")
     first = rows.groupBy("sha1").agg(F.min("page_id").alias("refers_to"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
     total = rows.count()
-    buckets, path = max(1, -(-total // BUCKET_ROWS)), new_path(pages.sparkSession, "fates")
-    found = lookup(rows, first, "sha1", total).withColumn("bucket", F.col("part") % buckets)
-    found.repartition(buckets, "bucket").sortWithinPartitions("bucket", "part").write.partitionBy("bucket").parquet(path)
-    return path, buckets
+    return write_buckets(lookup(rows, first, "sha1", total), "part", total, "fates")
 
 
 class Fates:
     """What becomes of the rows of one partition; rows that it was not told of, as the partition is another now, are sought in all buckets."""
 
-    def __init__(self, path: str, buckets: int, part: int):
-        from pyarrow import fs
-
-        self.store, self.root = fs.FileSystem.from_uri(path)
-        self.known = {k: v for t in self.read(f"{self.root}/bucket={part % buckets}", ("part", "==", part)) for k, v in t}
-
-    def read(self, folder: str, *only: tuple) -> Iterator[Iterator[tuple[tuple, int | None]]]:
-        import pyarrow.parquet as pq
-        from pyarrow import fs
+    def __init__(self, buckets: Buckets, part: int):
+        self.buckets = buckets
+        self.known = {k: v for t in buckets.of(part, FATE) for k, v in self.cells(t)}
 
-        found = self.store.get_file_info(fs.FileSelector(folder, recursive=True, allow_not_found=True))
-        for path in sorted(f.path for f in found if f.path.endswith(".parquet")):
-            t = pq.read_table(path, filesystem=self.store, columns=["page_id", "sha1", "refers_to"], filters=list(only) or None, partitioning=None)
-            ids, digests, first = (t.column(i).to_pylist() for i in range(3))
-            yield zip(zip(ids, digests, strict=True), first, strict=True)
+    @staticmethod
+    def cells(t: pa.Table) -> Iterator[tuple[tuple, int | None]]:
+        ids, digests, first = (t.column(i).to_pylist() for i in range(3))
+        return zip(zip(ids, digests, strict=True), first, strict=True)
 
     def __call__(self, keys: list[tuple[int | None, str]]) -> list[int | None]:
         missing = {k for k in keys if k not in self.known}
         if missing:
-            self.known.update({k: v for t in self.read(self.root) for k, v in t if k in missing})
+            self.known.update({k: v for t in self.buckets.all(FATE) for k, v in self.cells(t) if k in missing})
         return [None if k[0] is not None and k[0] == self.known[k] else self.known[k] for k in keys]
 
 
@@ -131,7 +121,7 @@ def write_archives(pages: DataFrame, smallest_revisit: int = 0) -> DataFrame:
     """
     folder = new_path(pages.sparkSession, "archives")
     pages = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html")
-    path, buckets = fates(pages)
+    buckets = fates(pages)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyarrow import fs
@@ -140,7 +130,7 @@ def write_archives(pages: DataFrame, smallest_revisit: int = 0) -> DataFrame:
 
         store, root = fs.FileSystem.from_uri(folder)
         store.create_dir(root, recursive=True)
-        fate = Fates(path, buckets, TaskContext.get().partitionId())
+        fate = Fates(buckets, TaskContext.get().partitionId())
         stream, name, at = None, "", 0
         try:
             for batch in batches:
