@@ -61,8 +61,8 @@ def tokens(page: str) -> Iterator[tuple[str, str, str, str]]:
         if c in "!?" and c or c == "/" and not page[k + 2 : k + 3].isalpha():
             if page.startswith("<!--", k):
                 short = next((x for x in ("<!-->", "<!--->") if page.startswith(x, k)), None)
-                end = k + len(short) if short else page.find("-->", k + 4) + 3
-                at = end if end > k else n
+                end = page.find("-->", k + 4)
+                at = k + len(short) if short else end + 3 if end >= 0 else n
             else:
                 at = page.find(">", k) + 1 or n
             continue
@@ -260,14 +260,11 @@ class Labeller:
     def scan(self, s: Sequences, x: np.ndarray, d: str, keep: list | None = None) -> np.ndarray:
         """Hidden state at every block, of the LSTM that reads forward or backward."""
         where, n = s.forward if d == "f" else s.backward, len(s.pages)
-        wide = len(x) > CELLS  # one page of very many blocks: gate inputs are made for a run of steps at a time
-        z = None if wide else product(x, self.p[f"x{d}"]) + self.p[f"b{d}"]
+        z = product(x, self.p[f"x{d}"]) + self.p[f"b{d}"]
         h, c, out, w = np.zeros((n, HIDDEN), np.float32), np.zeros((n, HIDDEN), np.float32), np.zeros((len(x), HIDDEN), np.float32), self.p[f"h{d}"]
         for t, m in enumerate(s.active):
             at = where[t, :m]
-            if wide and t % STEPS == 0:
-                z = (product(x[where[t : t + STEPS].ravel()], self.p[f"x{d}"]) + self.p[f"b{d}"]).reshape(-1, n, 4 * HIDDEN)
-            g = (z[t % STEPS, :m] if wide else z[at]) + product(h[:m], w)
+            g = z[at] + product(h[:m], w)
             gates, new = _sig(g[:, : 3 * HIDDEN]), np.tanh(g[:, 3 * HIDDEN :])
             i, f, o = gates[:, :HIDDEN], gates[:, HIDDEN : 2 * HIDDEN], gates[:, 2 * HIDDEN :]
             before, was = c[:m].copy(), h[:m].copy()
@@ -283,7 +280,24 @@ class Labeller:
         if not len(s.dense):
             return np.zeros(0)
         x = self.inputs(s)
-        return np.concatenate([self.scan(s, x, "f"), self.scan(s, x, "b"), x], 1) @ self.p["out"] + self.p["bias"]
+        hidden = [self.scan_one(x)] if len(s.pages) == 1 and len(x) > STEPS else [self.scan(s, x, "f"), self.scan(s, x, "b")]
+        return np.concatenate([*hidden, x], 1) @ self.p["out"] + self.p["bias"]
+
+    def scan_one(self, x: np.ndarray) -> np.ndarray:
+        """Hidden states of one long page, both directions side by side; gate inputs are made for STEPS blocks at a time."""
+        n, w = len(x), np.stack([self.p["hf"], self.p["hb"]])
+        h, c, out = np.zeros((2, 1, HIDDEN), np.float32), np.zeros((2, 1, HIDDEN), np.float32), np.empty((n, 2 * HIDDEN), np.float32)
+        with np.errstate(over="ignore"):
+            for first in range(0, n, STEPS):
+                last = min(n, first + STEPS)
+                z = np.stack([product(x[first:last], self.p["xf"]) + self.p["bf"], product(x[n - last : n - first][::-1], self.p["xb"]) + self.p["bb"]], 1)[:, :, None]
+                for t in range(last - first):
+                    g = z[t] + np.matmul(h, w)
+                    gates = 1 / (1 + np.exp(-g[..., : 3 * HIDDEN]))
+                    c = gates[..., HIDDEN : 2 * HIDDEN] * c + gates[..., :HIDDEN] * np.tanh(g[..., 3 * HIDDEN :])
+                    h = gates[..., 2 * HIDDEN :] * np.tanh(c)
+                    out[first + t, :HIDDEN], out[n - 1 - first - t, HIDDEN:] = h[0, 0], h[1, 0]
+        return out
 
     def gradients(self, s: Sequences, y: np.ndarray) -> dict[str, np.ndarray]:
         x, kept = self.inputs(s), {"f": [], "b": []}

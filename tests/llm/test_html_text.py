@@ -46,6 +46,33 @@ def test_blocks():
     assert H.blocks("<div class='Ad-Box x'><a href=/>go</a></div>") == [(("div", ".ad", ".box", ".x"), "go", 2, 2)]
 
 
+def test_one_long_page_is_read_as_any_other(monkeypatch):
+    model = H.trained()
+    s = H.Sequences([H.blocks("<article><h1>Title</h1>" + "<p>Some words, with more.</p><div class=ad>Buy this now</div>" * 700 + "</article>")])
+    want = model.logits(s)
+    monkeypatch.setattr(H, "STEPS", 256)
+    assert np.abs(model.logits(s) - want).max() < 1e-3
+
+
+def test_hostile_pages_take_time_in_proportion():
+    import time
+
+    began = time.time()
+    assert H.blocks("<x" * 500_000) == [] and H.blocks("<!--" * 300_000) == [] and H.blocks("<b>" * 100_000 + "</x>" * 100_000) == []
+    assert H.blocks("<x a='>' " * 200_000) == [] and [t for _, t, _, _ in H.blocks("<svg>a" * 50_000)] == ["a" * 50_000]
+    deep = H.blocks("<div>a" * 50_000)
+    assert len(deep) == 50_000 and all(len(path) <= H.NEAR for path, *_ in deep)
+    assert time.time() - began < 60
+
+
+def test_markup_never_reaches_the_text():
+    text = lambda page: [t for _, t, _, _ in H.blocks(page)]
+    assert text("<p title=it's>hello</p>") == ["hello"] and text('<p title="a>b" x=\'>\'>c') == ["c"]
+    assert text("a < b <3 c") == ["a < b <3 c"] and text("<p>cut off <b clas") == ["cut off"] and text("x<!-->y<!-- z -->w") == ["xyw"]
+    assert text("<script>'</p>'</SCRIPT ><style>p</style>t<textarea><p>no</textarea>u<?php ?>v</>w") == ["tuvw"]
+    assert text("<p>one<script>never closed <p>two") == ["one"] and text("<svg/><p>after</p>") == ["after"]
+
+
 def test_unseen_layouts():
     model, layouts, right, total = H.trained(), H.Layouts(1234), 0, 0
     for _ in range(300):
