@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import gzip
+import sys
 
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
@@ -71,6 +73,8 @@ class FastaSource(DataSource):
 
 
 def register(spark: SparkSession) -> None:
+    """Makes the format "fasta" known; the class travels by value, so that workers need no copy of this package."""
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
     spark.dataSource.register(FastaSource)
 
 
