@@ -20,8 +20,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from arbora.llm import simhash
+from arbora.llm import simhash  # for its search; tasks get functions, not modules
 from arbora.llm.shared import chosen_rows, discard, lookup, materialize, quote
+from arbora.llm.simhash import fingerprint
 from arbora.operators.graphs import components
 
 SEED = 42
@@ -78,7 +79,7 @@ def signatures(texts: list[str | None]) -> pd.DataFrame:
     odd = np.stack([np.bincount((s & np.uint64(64 * WORDS - 1)).astype(np.int64), minlength=64 * WORDS) & 1 for s in sets]).astype(np.uint8)
     return pd.DataFrame({
         "sid": np.array([xxhash.xxh64_intdigest(s.tobytes(), SEED) for s in sets], dtype=np.uint64).view(np.int64), "n": [len(s) for s in sets],
-        "fp": np.array([simhash.fingerprint(s) for s in sets], dtype=np.uint64).view(np.int64), "bits": list(np.packbits(odd, axis=1).view(np.int64)), "bands": list(bands(sets)),
+        "fp": np.array([fingerprint(s) for s in sets], dtype=np.uint64).view(np.int64), "bits": list(np.packbits(odd, axis=1).view(np.int64)), "bands": list(bands(sets)),
     })
 
 
