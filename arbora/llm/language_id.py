@@ -20,7 +20,7 @@ from arbora.llm.shared import fold, fresh, quoted
 FOLDS, HELD_OUT = 3, 1
 UNKNOWN = "und"
 #: Bounds of the training sample: documents of each language, and bytes of a dictionary.
-SAMPLE_DOCS = 200
+SAMPLE_DOCS = 400
 DICTIONARY = 110_000
 MOST_BROADCAST = 1_000_000
 SHARDS = 2
@@ -57,11 +57,11 @@ def training_sample(docs: DataFrame) -> dict[str, list[str]]:
 def dictionaries(sample: dict[str, list[str]]) -> dict[str, list[bytes]]:
     """Dictionary contents by language: its texts dealt in turn to SHARDS dictionaries, each filled to DICTIONARY bytes.
 
-    The last text of a dictionary is cut between two characters.
+    Shorter texts come first, so that a dictionary holds many; the last text of one is cut between two characters.
     """
     made = {}
     for lang, texts in sample.items():
-        clean, shards = [t for t in map(normalize, texts) if t], []
+        clean, shards = sorted((t for t in map(normalize, texts) if t), key=lambda t: (len(t), t)), []
         for s in range(SHARDS):
             data = " ".join(clean[s::SHARDS]).encode("utf-8", "replace")[:DICTIONARY]
             shards.append(data.decode("utf-8", "ignore").encode())
