@@ -86,10 +86,10 @@ def clustering_format(spark: SparkSession, path: str) -> str:
         return "counts"
     if re.match(r"(orthogroup|hog|og|group|cluster)\t", line, re.I):
         return "species"
-    if re.match(r"[^\s:]+:\s", line):
-        return "colon"
     if "\t" in line:
         return "members"
+    if re.match(r"[^:]+:(\s|$)", line):
+        return "colon"
     raise ValueError(f"{path} is no clustering")
 
 
