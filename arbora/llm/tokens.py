@@ -9,7 +9,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-SLICE = 3_000_000
+SLICE = 1_500_000
 WORD = re.compile(r"\w+")
 
 
