@@ -129,9 +129,9 @@ def links(sets: DataFrame, texts) -> DataFrame:
     ``texts``: from a table of needed ``sid`` to one of (sid, text).
     """
     some = sets.where("n > 0")
-    # the operator's own candidates: prints within two bits, and sets of one print
+    # the operator's own candidates: prints within two bits, and sets of one print; crowded buckets are left to the bands
     first = materialize(some.groupBy("fp").agg(F.min("sid").alias("least"), F.count(F.lit(1)).alias("sets")), "prints")
-    near = simhash.links(first.select("fp"), first.count())
+    near = simhash.links(first.select("fp"), first.count(), large=False)
     at = lambda c, name: first.select(F.col("fp").alias(c), F.col("least").alias(name))
     found = near.withColumnsRenamed({"a": "x", "b": "y"}).join(at("x", "a"), "x").join(at("y", "b"), "y").select("a", "b")
     twins = some.select("sid", "fp").join(first.where("sets > 1"), "fp").where("sid <> least").select(F.col("least").alias("a"), F.col("sid").alias("b"))

@@ -129,10 +129,11 @@ def _signed(x: int) -> int:
     return x - (1 << 64) if x >= 1 << 63 else x
 
 
-def links(prints: DataFrame, total: int, tau: int = TAU, pair_limit: int = PAIR_LIMIT, sample: int = SAMPLE) -> DataFrame:
+def links(prints: DataFrame, total: int, tau: int = TAU, pair_limit: int = PAIR_LIMIT, sample: int = SAMPLE, large: bool = True) -> DataFrame:
     """Links (a, b), a < b, whose closure is that of all pairs of ``prints`` (distinct column fp) within ``tau`` bits.
 
-    For any ``tau``; over MOST_BALLS bits large buckets are compared pair by pair, too, which costs the square of their size.
+    Without ``large``, pairs that meet in buckets of over ``pair_limit`` only are left out, for callers that find them
+    another way.  For any ``tau``; over MOST_BALLS bits large buckets are compared pair by pair, too, which costs the square of their size.
     """
     every = max(1, total // sample)
     got = prints.where(F.pmod(F.xxhash64("fp"), F.lit(every)) == 0).select("fp").toPandas()["fp"].to_numpy(np.int64).view(np.uint64)
@@ -141,11 +142,11 @@ def links(prints: DataFrame, total: int, tau: int = TAU, pair_limit: int = PAIR_
     rows = prints.select("fp", F.posexplode(keys).alias("mask", "key"))
     sizes = materialize(rows.groupBy("mask", "key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "buckets")
     crowded = materialize(rows.join(sizes, ["mask", "key"]), "crowded")
-    small = crowded.where(F.col("n") <= pair_limit) if tau <= MOST_BALLS else crowded
+    small = crowded.where(F.col("n") <= pair_limit) if tau <= MOST_BALLS or not large else crowded
     a, b = small.withColumnRenamed("fp", "a"), small.withColumnRenamed("fp", "b")
     near = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= tau
     found = a.join(b, (a["mask"] == b["mask"]) & (a["key"] == b["key"]) & (F.col("a") < F.col("b")) & near).select("a", "b")
-    if tau <= MOST_BALLS:
+    if large and tau <= MOST_BALLS:
         found = found.unionByName(stars(crowded.where(F.col("n") > pair_limit).select("fp").distinct(), tau))
     out = materialize(found.distinct(), "links")
     discard(sizes, crowded)
