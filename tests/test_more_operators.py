@@ -27,6 +27,13 @@ def test_search_on_a_grid_of_several_blocks(spark, monkeypatch):
     assert similarity.similar_to(df.limit(0), df, "k", "v", 0.3).collect() == []
 
 
+def test_search_holds_its_least_against_rounded_cosines(spark):
+    rows = [(0, [1.0, 0.0])] + [(i, [c, (1 - c * c) ** 0.5]) for i, c in enumerate([0.0999994, 0.0999997, 0.1000004], start=1)]
+    df = spark.createDataFrame(rows, "k long, v array<double>")
+    got = similarity.similar_to(df.where("k = 0"), df, "k", "v", 0.1).collect()
+    assert sorted((r.subject, r.cosine) for r in got) == [(2, 0.1), (3, 0.1)]
+
+
 def test_suggestions_are_those_of_difflib(spark):
     rng = random.Random(2)
     known = sorted({"".join(rng.choices("ABCD12", k=rng.randint(2, 7))) for _ in range(150)})
